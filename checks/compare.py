@@ -17,8 +17,8 @@ ALL_TABLES = (
 ).split()
 
 
-def session(cpus: int = 8) -> SparkSession:
-    spark = (
+def session(cpus: int = 8, **settings: str) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("logferry-checks")
         .config("spark.sql.shuffle.partitions", str(cpus))
@@ -26,8 +26,10 @@ def session(cpus: int = 8) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -7,13 +7,9 @@ values and have one text per dialect.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logferry.sources.files import Files, fresh_name
-
 TABLES = ("events", "orders", "customer", "supplier")
 
 EVENT_PARTITIONS = 4
@@ -137,16 +133,6 @@ FROM {supplier}
 }
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder inside the shared one that the cluster names; a temporary one where unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="run-")
-    path = f"{shared}/run-{fresh_name()}"
-    Files(spark).mkdirs(path)
-    return path
-
-
 class Inputs:
     """The derived tables of one data folder."""
 

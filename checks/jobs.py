@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.inputs import EVENT_PARTITIONS, ORDER_PARTITIONS, Inputs, scratch
+from checks.inputs import EVENT_PARTITIONS, ORDER_PARTITIONS, Inputs
 from logferry.functions import headers_text, normalize, with_digest
 from logferry.operators import catalog, mappings, progress, ranking, records, scans, state
 from logferry.operators.digest import fingerprint, root_digest, roundtrip_check
@@ -16,6 +16,7 @@ from logferry.plans.transfer import clone, dump, restore
 from logferry.schemas import MAPPINGS
 from logferry.sources.archive import read_archive, read_manifest, write_archive
 from logferry.sources.cluster import Cluster
+from logferry.sources.files import shared_folder
 from logferry.streaming.jobs import clone_stream, forward
 from logferry.streaming.scans import stream_from_end, stream_from_progress
 
@@ -66,16 +67,16 @@ def split(log: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def source_cluster(inputs: Inputs) -> Cluster:
-    return Cluster(inputs.spark, f"{scratch(inputs.spark)}/source", "source")
+    return Cluster(inputs.spark, f"{shared_folder(inputs.spark)}/source", "source")
 
 
 def dest_cluster(inputs: Inputs) -> Cluster:
-    return Cluster(inputs.spark, f"{scratch(inputs.spark)}/dest", "dest")
+    return Cluster(inputs.spark, f"{shared_folder(inputs.spark)}/dest", "dest")
 
 
 def drain(stream: DataFrame, inputs: Inputs) -> DataFrame:
     """All rows that a stream holds now."""
-    place = scratch(inputs.spark)
+    place = shared_folder(inputs.spark)
     started = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", f"{place}/checkpoint")
@@ -143,7 +144,7 @@ def stream_from_progress_(inputs: Inputs) -> DataFrame:
 
 @query
 def archive_scan(inputs: Inputs) -> DataFrame:
-    path = f"{scratch(inputs.spark)}/events"
+    path = f"{shared_folder(inputs.spark)}/events"
     write_archive(records.to_archive(inputs.events_log()), path, EVENT_PARTITIONS)
     return as_text(read_archive(inputs.spark, path), "seq")
 
@@ -153,7 +154,7 @@ def archive_scan(inputs: Inputs) -> DataFrame:
 
 @query
 def archive_write(inputs: Inputs) -> DataFrame:
-    path = f"{scratch(inputs.spark)}/orders"
+    path = f"{shared_folder(inputs.spark)}/orders"
     rows = records.to_archive(inputs.orders_log())
     write_archive(rows, path, ORDER_PARTITIONS + 1, fan_in=FAN_IN)
     return manifest_rows(inputs.spark, path)
@@ -426,7 +427,7 @@ def apply_actions(inputs: Inputs) -> DataFrame:
 @query
 def dump_job(inputs: Inputs) -> DataFrame:
     log = source_cluster(inputs).import_topic("events", inputs.events_log(), EVENT_PARTITIONS)
-    path = f"{scratch(inputs.spark)}/events"
+    path = f"{shared_folder(inputs.spark)}/events"
     dump(log, path, fan_in=FAN_IN)
     return manifest_rows(inputs.spark, path)
 
@@ -434,7 +435,7 @@ def dump_job(inputs: Inputs) -> DataFrame:
 @query
 def restore_job(inputs: Inputs) -> DataFrame:
     log = source_cluster(inputs).import_topic("events", inputs.events_log(), EVENT_PARTITIONS)
-    path = f"{scratch(inputs.spark)}/events"
+    path = f"{shared_folder(inputs.spark)}/events"
     dump(log, path)
     dest = dest_cluster(inputs)
     dest.create_topic("copy", EVENT_PARTITIONS)
@@ -471,7 +472,7 @@ def clone_continuous(inputs: Inputs) -> DataFrame:
     source, dest = source_cluster(inputs), dest_cluster(inputs)
     log = source.import_topic("events", before, EVENT_PARTITIONS)
     dest.create_topic("copy", EVENT_PARTITIONS)
-    place = scratch(inputs.spark)
+    place = shared_folder(inputs.spark)
     for step in range(2):
         finish([clone_stream(source, "events", dest, "copy", f"{place}/c", available_now=True)])
         if step == 0:
@@ -489,7 +490,7 @@ def forward_new(inputs: Inputs) -> DataFrame:
     dest.create_topic("copy", EVENT_PARTITIONS)
     ends = log.bounds()
     log.ingest(after)
-    place = f"{scratch(inputs.spark)}/c"
+    place = f"{shared_folder(inputs.spark)}/c"
     for _ in range(2):
         finish([forward(source, "events", dest, "copy", place, ends, available_now=True)])
     return as_text(dest.topic("copy").scan())
@@ -533,7 +534,7 @@ def _prepared(inputs: Inputs) -> tuple[Cluster, Cluster, DataFrame]:
     source.import_topic("orders", inputs.orders_log(), ORDER_PARTITIONS)
     before, _ = split(inputs.events_log())
     log = source.import_topic("events", before, EVENT_PARTITIONS)
-    archive = f"{scratch(inputs.spark)}/events"
+    archive = f"{shared_folder(inputs.spark)}/events"
     dump(log, archive)
     return source, dest, declared_topics(inputs.spark, archive)
 
@@ -542,7 +543,7 @@ def _prepared(inputs: Inputs) -> tuple[Cluster, Cluster, DataFrame]:
 def run_all(inputs: Inputs) -> DataFrame:
     source, dest, declared = _prepared(inputs)
     _, after = split(inputs.events_log())
-    place = scratch(inputs.spark)
+    place = shared_folder(inputs.spark)
     started = run(dest, {"primary": source}, declared, place)
     # The streams took their ends when they started; what arrives now is forwarded.
     source.topic("events").ingest(after)

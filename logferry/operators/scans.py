@@ -88,21 +88,21 @@ def resume_ranges(progress: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
-def beyond_end(progress: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Saved offsets that lie after the captured end."""
-    return (
-        progress.select("partition", "next_offset")
-        .join(bounds.select("partition", "high"), "partition")
-        .where(F.col("next_offset") > F.col("high"))
-    )
-
-
 def resume_scan(log: DataFrame, progress: DataFrame, bounds: DataFrame) -> DataFrame:
     """Records after the saved progress and before the captured end."""
-    bad = beyond_end(progress, bounds).take(1)
+    ranges = resume_ranges(progress, bounds)
+    rows = local_rows(ranges)
+    # Bounds never end before they begin, so such a range comes from saved progress.
+    if rows is None:
+        bad = ranges.where(F.col("low") > F.col("high")).take(1)
+    else:
+        bad = [r for r in rows if r["low"] > r["high"]]
+        ranges = local_table(
+            log.sparkSession, (r.asDict() for r in rows), ["partition", "low", "high"]
+        )
     if bad:
         raise BeyondEnd(
-            f"saved offset {bad[0]['next_offset']} is beyond captured end offset "
-            f"{bad[0]['high']} for partition {bad[0]['partition']}"
+            f"saved offset {bad[0]['low']} is beyond captured end offset {bad[0]['high']} "
+            f"for partition {bad[0]['partition']}"
         )
-    return slice_log(log, resume_ranges(progress, bounds)).select(*LOG_COLUMNS)
+    return slice_log(log, ranges).select(*LOG_COLUMNS)

@@ -5,33 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logferry.operators.digest import FAN_IN
 from logferry.operators.progress import finish_progress
-from logferry.operators.ranking import offset_stats, renumber
+from logferry.operators.ranking import is_dense, offset_stats, renumber
 from logferry.operators.scans import bounded_scan, resume_scan
 from logferry.operators.small import local_table
 from logferry.operators.state import upsert_state
-from logferry.schemas import ARCHIVE_FORMAT, COMPLETE, IN_PROGRESS, MARKERS
+from logferry.schemas import (
+    ARCHIVE_FORMAT,
+    COMPLETE,
+    IN_PROGRESS,
+    MARKERS,
+    REASON_NO_STATE,
+    REASON_OTHER_SOURCE,
+)
 from logferry.sources.archive import read_archive, read_manifest, write_archive
 from logferry.sources.cluster import Cluster
 from logferry.sources.files import AlreadyPublished, Files
 from logferry.sources.topic_log import Head, TopicLog
 
 
-def dump(log: TopicLog, archive: str, force: bool = False, fan_in: int | None = None) -> dict:
-    """Archive everything up to the end captured now; returns the archive's manifest.
+class Untrusted(RuntimeError):
+    """The destination holds records that saved progress does not account for."""
 
-    One shuffle in either case: a log without gaps takes its positions from the offsets and is laid
-    out by slab; a gappy one is ranked, which already leaves the rows in runs.
-    """
+
+def dump(log: TopicLog, archive: str, force: bool = False, fan_in: int = FAN_IN) -> dict:
+    """Archive everything up to the end captured now; returns the archive's manifest."""
     if Files(log.spark).exists(archive) and not force:
         raise AlreadyPublished(f"archive {archive} already exists; pass force to replace it")
     head = log.head()
     rows = bounded_scan(log.scan(upto=head.commit), log.bounds(head))
+    return dump_rows(rows, archive, log.partitions, force, fan_in)
+
+
+def dump_rows(
+    rows: DataFrame, archive: str, partitions: int, force: bool = False, fan_in: int = FAN_IN
+) -> dict:
+    """Archive bounded LOG rows of any source.
+
+    The rows are shuffled once. A log without gaps takes its positions from the offsets and is laid
+    out by slab; a gappy one is ranked, which already leaves the rows in runs.
+    """
     stats = offset_stats(rows).collect()
-    gaps = any(r["high"] - r["low"] != r["records"] for r in stats)
     numbered = renumber(rows, stats, {}, "seq")
-    extra = {} if fan_in is None else {"fan_in": fan_in}
-    return write_archive(numbered, archive, log.partitions, force, placed=gaps, **extra)
+    ranked = not is_dense(stats)
+    return write_archive(numbered, archive, partitions, force, placed=ranked, fan_in=fan_in)
 
 
 def topic_key(cluster: Cluster, name: str) -> DataFrame:
@@ -103,17 +121,12 @@ def clone(
     The rows and the source offsets they cover are committed together, so a crash at any point and
     a rerun neither lose nor repeat a record. The PROGRESS table follows the commit.
     """
-    origin = source.describe(source_topic)
-    target = dest.describe(name)
-    if origin["partitions"] != target["partitions"]:
-        raise ValueError(
-            f"topic {name} has {target['partitions']} partitions but its source has "
-            f"{origin['partitions']}"
-        )
+    origin, target = source.describe(source_topic), dest.describe(name)
+    same_shape(origin, target)
     source_log, log = source.open(origin), dest.open(target).create()
     seen = source_log.head()
     bounds = source_log.bounds(seen) if bounds is None else bounds
-    head = log.head()
+    head = trusted_head(log, origin)
     before = committed_progress(log, head, origin["topic_id"])
     rows = resume_scan(source_log.scan(upto=seen.commit), before, bounds)
     stats = offset_stats(rows).collect()
@@ -126,6 +139,22 @@ def clone(
     return head
 
 
+def same_shape(origin, target) -> None:
+    if origin["partitions"] != target["partitions"]:
+        raise ValueError(
+            f"topic {target['name']} has {target['partitions']} partitions but its source has "
+            f"{origin['partitions']}"
+        )
+
+
+def trusted_head(log: TopicLog, origin) -> Head:
+    """State of a clone destination; refuses one that was filled from anywhere else."""
+    head = log.head()
+    if head.commit and set(head.copied) != {origin["topic_id"]}:
+        raise Untrusted(REASON_OTHER_SOURCE if head.copied else REASON_NO_STATE)
+    return head
+
+
 def committed_progress(log: TopicLog, head: Head, source_topic_id: str) -> DataFrame:
     """(partition, next_offset) as committed with the records; null where nothing was copied."""
     done = head.copied.get(source_topic_id, {})

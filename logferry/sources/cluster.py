@@ -57,25 +57,23 @@ class Cluster:
         replication_factor: int = 1,
         config: Mapping[str, str] | None = None,
     ) -> TopicLog:
-        self._declare(name, partitions, replication_factor, config)
-        return self.topic(name).create()
+        return self._declare(name, partitions, replication_factor, config).create()
 
     def import_topic(
         self, name: str, rows: DataFrame, partitions: int, high: Mapping[int, int] | None = None
     ) -> TopicLog:
         """A new topic holding ``rows`` with their own offsets."""
-        self._declare(name, partitions, 1, None)
-        log = self.topic(name).create()
+        log = self._declare(name, partitions, 1, None).create()
         log.ingest(rows, high)
         return log
 
-    def _declare(self, name, partitions, replication_factor, config) -> None:
+    def _declare(self, name, partitions, replication_factor, config) -> TopicLog:
         settings = {**(config or {}), TIMESTAMP_SETTING: TIMESTAMP_VALUE}
-        row = self.spark.createDataFrame(
+        given = self.spark.createDataFrame(
             [(name, None, 1, partitions, replication_factor, settings)], CATALOG
-        ).withColumn(
-            "topic_id", topic_identity(self.cluster_id, F.col("name"), F.col("generation"))
         )
+        identity = topic_identity(self.cluster_id, F.col("name"), F.col("generation"))
+        row = given.withColumn("topic_id", identity)
 
         def add(current: DataFrame) -> DataFrame:
             if current.where(F.col("name") == name).take(1):
@@ -83,3 +81,4 @@ class Cluster:
             return current.unionByName(row)
 
         self.catalog.update(add)
+        return self.topic(name)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 class AlreadyPublished(RuntimeError):
@@ -74,3 +75,25 @@ class Files:
 
 def fresh_name() -> str:
     return uuid.uuid4().hex
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder inside the one that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session may do without that setting.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="run-")
+    path = f"{shared}/run-{fresh_name()}"
+    Files(spark).mkdirs(path)
+    return path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, and not again when a task is lost."""
+    path = f"{shared_folder(df.sparkSession)}/rows"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,7 +23,7 @@ from logferry.functions import normalize
 from logferry.operators.ranking import offset_stats, renumber
 from logferry.operators.small import local_table
 from logferry.schemas import LOG, LOG_COLUMNS
-from logferry.sources.files import Files, fresh_name
+from logferry.sources.files import AlreadyPublished, Files, fresh_name
 
 # Rows that one task writes together when a log or archive is laid out.
 ROWS_PER_SLAB = 262_144
@@ -106,9 +106,7 @@ class TopicLog:
         rows = normalize(rows)
         if stats is None:
             stats = offset_stats(rows).collect()
-        strange = [r["partition"] for r in stats if not 0 <= r["partition"] < self.partitions]
-        if strange:
-            raise ValueError(f"partition {strange[0]} does not exist in {self.path}")
+        self._check_ids(stats)
         staged = f"{self.path}/staging/{fresh_name()}"
         placed = renumber(rows, stats, head.high, "offset").select(*LOG_COLUMNS)
         (
@@ -141,6 +139,7 @@ class TopicLog:
             .parquet(staged)
         )
         stats = offset_stats(self.spark.read.schema(LOG).parquet(staged)).collect()
+        self._check_ids(stats)
         for row in stats:
             if row["low"] < head.high.get(row["partition"], 0):
                 self._files.delete(staged)
@@ -160,7 +159,16 @@ class TopicLog:
             f"{staged}/_manifest.json",
             {"low": new.low, "high": new.high, "batches": new.batches, "copied": new.copied},
         )
-        self._files.publish(staged, f"{self.data}/commit={new.commit}")
+        try:
+            self._files.publish(staged, f"{self.data}/commit={new.commit}")
+        except AlreadyPublished:
+            self._files.delete(staged)
+            raise
+
+    def _check_ids(self, stats: Sequence[Row]) -> None:
+        strange = [r["partition"] for r in stats if not 0 <= r["partition"] < self.partitions]
+        if strange:
+            raise ValueError(f"partition {strange[0]} does not exist in {self.path}")
 
     def _after(self, head, stats, batch, copied) -> Head:
         high = dict(head.high)

@@ -13,7 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 from logferry.operators.ranking import offset_stats
 from logferry.operators.scans import slice_log
 from logferry.operators.small import local_table
-from logferry.plans.transfer import committed_progress, save_progress
+from logferry.plans.transfer import (
+    committed_progress,
+    same_shape,
+    save_progress,
+    trusted_head,
+)
 from logferry.sources.cluster import Cluster
 from logferry.sources.files import Files, fresh_name
 from logferry.sources.topic_log import TopicLog
@@ -34,16 +39,17 @@ def clone_stream(
     destination already holds. A replayed batch adds nothing and a lost checkpoint costs rereading.
     """
     origin, target = source.describe(source_topic), dest.describe(name)
-    _same_shape(origin, target)
+    same_shape(origin, target)
     log = dest.open(target).create()
     rows = stream_from_progress(
-        source.open(origin), committed_progress(log, log.head(), origin["topic_id"])
+        source.open(origin),
+        committed_progress(log, trusted_head(log, origin), origin["topic_id"]),
     )
 
     def copy(batch: DataFrame, batch_id: int) -> None:
         here = Cluster(batch.sparkSession, dest.root, dest.cluster_id)
         sink = here.open(target)
-        head = sink.head()
+        head = trusted_head(sink, origin)
         done = committed_progress(sink, head, origin["topic_id"])
         starts = done.select(
             "partition",
@@ -78,7 +84,7 @@ def forward(
     batch.
     """
     origin, target = source.describe(source_topic), dest.describe(name)
-    _same_shape(origin, target)
+    same_shape(origin, target)
     dest.open(target).create()
     log = source.open(origin)
     run, ends = _run(log, checkpoint, bounds)
@@ -110,14 +116,6 @@ def _run(log: TopicLog, checkpoint: str, bounds: DataFrame | None) -> tuple[str,
     return saved["run"], local_table(log.spark, rows, ["partition", "high"])
 
 
-def _same_shape(origin, target) -> None:
-    if origin["partitions"] != target["partitions"]:
-        raise ValueError(
-            f"topic {target['name']} has {target['partitions']} partitions but its source has "
-            f"{origin['partitions']}"
-        )
-
-
 def _start(rows, copy, name, checkpoint, available_now) -> StreamingQuery:
     writer = (
         rows.writeStream.foreachBatch(copy)
