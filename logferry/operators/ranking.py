@@ -19,8 +19,9 @@ def partition_sequence(log: DataFrame, chunk: int = RANK_CHUNK) -> DataFrame:
     Offsets are unique in a partition, so a chunk of ``chunk`` consecutive offsets never holds more
     rows than that and can be ranked by one task whatever the skew between partitions. A second,
     two-column read of the log counts rows per chunk; its running sum is each chunk's first
-    position. The rows are shuffled once, by (partition, chunk), and the join reuses that
-    partitioning.
+    position. The rows are shuffled once, by (partition, chunk), and the merge join reuses that
+    partitioning and sort order. The hint keeps size estimates, which go by compressed file size,
+    from broadcasting the log itself.
     """
     chunk_no = F.expr(f"`offset` div {int(chunk)}")
     before = (
@@ -39,7 +40,7 @@ def partition_sequence(log: DataFrame, chunk: int = RANK_CHUNK) -> DataFrame:
     ranked = log.withColumn("chunk_no", chunk_no).withColumn(
         "rank_in_chunk", F.row_number().over(inside)
     )
-    return ranked.join(bases, ["partition", "chunk_no"]).select(
+    return ranked.join(bases.hint("merge"), ["partition", "chunk_no"]).select(
         *log.columns, (F.col("base") + F.col("rank_in_chunk") - 1).alias("seq")
     )
 

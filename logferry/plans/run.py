@@ -169,9 +169,6 @@ def reconcile(
     wanted = topics.desired(
         mappings, origin.select("source_ref", "partitions"), manifests
     )
-    lost = wanted.where(F.col("desired_partitions").isNull()).orderBy("name").take(1)
-    if lost:
-        raise BadMappings(f"source of {lost[0]['name']} does not exist")
     identities = origin.where(F.col("mode") == "clone").select(
         "name", "source_cluster", "source_topic", "source_topic_id"
     )
@@ -188,11 +185,19 @@ def reconcile(
     )
     # The decisions must not change while they are carried out: fix them as a plain table. It has
     # one row per declared topic.
-    actions = spark.createDataFrame(decided.collect(), decided.schema)
+    rows = decided.collect()
+    for row in rows:
+        if row["desired_partitions"] is None:
+            raise BadMappings(f"source of {row['name']} does not exist")
+    actions = spark.createDataFrame(rows, decided.schema)
     topics.require_allowed(actions, force)
-    _apply(dest, sources, actions)
     for table in (dest.progress, dest.markers):
-        table.update(lambda rows: clear_stateless(rows, dest.cluster_id, mappings))
+        table.update(
+            lambda saved: clear_stateless(
+                topics.apply_to_state(saved, actions, dest.cluster_id), dest.cluster_id, actions
+            )
+        )
+    _apply(dest, sources, actions)
     foreign = validate_sources(dest.progress.read().where(mine), identities).take(1)
     if foreign:
         raise RuntimeError(f"saved state of {foreign[0]['name']} belongs to another source")
@@ -205,8 +210,6 @@ def _apply(dest: Cluster, sources: Mapping[str, Cluster], actions: DataFrame) ->
         return
     names = [r["name"] for r in changed]
     old = dest.catalog.read().where(F.col("name").isin(names)).collect()
-    for table in (dest.progress, dest.markers):
-        table.update(lambda rows: topics.apply_to_state(rows, actions, dest.cluster_id))
     dest.catalog.update(lambda rows: topics.apply_to_catalog(rows, actions, dest.cluster_id))
     files = Files(dest.spark)
     for row in old:
