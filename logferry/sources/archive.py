@@ -82,7 +82,7 @@ def write_archive(
 
     Rows are laid out in slabs of consecutive positions, so each file covers a short range of one
     partition and a large partition is written by many tasks. ``placed`` says that the rows already
-    come in such runs and need no further shuffle.
+    come in such runs, in order, and need neither a shuffle nor a sort.
     """
     spark = archive.sparkSession
     files = Files(spark)
@@ -91,16 +91,11 @@ def write_archive(
     rows = normalize(archive, "seq").select(*ARCHIVE_COLUMNS)
     if not placed:
         slab = F.expr(f"seq div {ROWS_PER_SLAB}")
-        rows = rows.repartition("partition", slab)
+        rows = rows.repartition("partition", slab).sortWithinPartitions("partition", "seq")
     parent = path.rstrip("/").rsplit("/", 1)[0]
     staged = f"{parent}/staging-{fresh_name()}"
     try:
-        (
-            rows.sortWithinPartitions("partition", "seq")
-            .write.partitionBy("partition")
-            .option("compression", "zstd")
-            .parquet(staged)
-        )
+        rows.write.partitionBy("partition").option("compression", "zstd").parquet(staged)
         manifest = _describe(spark, staged, partitions, fan_in)
         files.write_json(f"{staged}/_manifest.json", manifest)
         if force and files.exists(path):
