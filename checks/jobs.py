@@ -549,10 +549,10 @@ def run_all(inputs: Inputs) -> DataFrame:
     source.topic("events").ingest(after)
     try:
         for each in started:
-            each.processAllAvailable()
+            each.query.processAllAvailable()
     finally:
         for each in started:
-            each.stop()
+            each.query.stop()
     return topic_contents(dest)
 
 

@@ -1,8 +1,8 @@
 """Copy, archive and replay partitioned record logs with Spark."""
 
-from logferry.plans.run import finish, reconcile, restore_all, run
-from logferry.plans.transfer import clone, dump, restore
-from logferry.sources.archive import read_archive, write_archive
+from logferry.plans.run import finish, finish_copies, reconcile, restore_all, run, status
+from logferry.plans.transfer import clone, dump, dump_rows, restore
+from logferry.sources.archive import read_archive, verify_archive, write_archive
 from logferry.sources.cluster import Cluster
 from logferry.sources.topic_log import TopicLog
 from logferry.streaming.jobs import clone_stream, forward
@@ -14,14 +14,18 @@ __all__ = [
     "clone",
     "clone_stream",
     "dump",
+    "dump_rows",
     "finish",
+    "finish_copies",
     "forward",
     "read_archive",
     "reconcile",
     "restore",
     "restore_all",
     "run",
+    "status",
     "stream_from_end",
     "stream_from_progress",
+    "verify_archive",
     "write_archive",
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logferry.operators import catalog as topics
 from logferry.operators.mappings import audit_mappings, declarations, split_source
-from logferry.operators.progress import initial_progress
+from logferry.operators.progress import copy_status, initial_progress
 from logferry.operators.state import clear_stateless, validate_sources
 from logferry.plans.transfer import clone, identity, restore, save
-from logferry.schemas import MAPPINGS
+from logferry.schemas import MAPPINGS_COLUMNS
 from logferry.sources.archive import read_manifest
 from logferry.sources.cluster import Cluster
 from logferry.sources.files import Files, fresh_name
@@ -52,6 +53,16 @@ def restore_all(
             result.result()
 
 
+@dataclass(frozen=True)
+class Copy:
+    """A running clone or stream of one destination topic."""
+
+    topic: str
+    query: StreamingQuery
+    # Next source offset per partition of a stream, which saves no progress.
+    positions: dict[int, int]
+
+
 def run(
     dest: Cluster,
     sources: Mapping[str, Cluster],
@@ -59,31 +70,32 @@ def run(
     checkpoints: str,
     force: bool = False,
     available_now: bool = False,
-) -> list[StreamingQuery]:
-    """Reconcile, then start one query per clone and stream. Wait with ``finish``."""
+    every: str | None = None,
+) -> list[Copy]:
+    """Reconcile, then start one query per clone and stream. Wait with ``finish_copies``."""
     declared = _audited(mappings, sources)
     if not any(m["mode"] in ("clone", "stream") for m in declared):
         raise BadMappings("run needs at least one clone or stream topic")
     reconcile(dest, sources, mappings, force)
-    started: list[StreamingQuery] = []
+    started: list[Copy] = []
     try:
         for m in declared:
             if m["mode"] not in ("clone", "stream"):
                 continue
+            name, positions = m["name"], {}
             source, topic = _source(m, sources)
+            timing = {"available_now": available_now, "every": every}
             if m["mode"] == "clone":
-                target = dest.describe(m["name"])
-                place = f"{checkpoints}/{m['name']}-{target['topic_id']}"
-                started.append(
-                    clone_stream(source, topic, dest, m["name"], place, available_now)
-                )
+                place = f"{checkpoints}/{name}-{dest.describe(name)['topic_id']}"
+                query = clone_stream(source, topic, dest, name, place, **timing)
             else:
-                place = f"{checkpoints}/{m['name']}-{fresh_name()}"
-                started.append(
-                    forward(source, topic, dest, m["name"], place, available_now=available_now)
+                place = f"{checkpoints}/{name}-{fresh_name()}"
+                query = forward(
+                    source, topic, dest, name, place, positions=positions, **timing
                 )
+            started.append(Copy(name, query, positions))
     except BaseException:
-        _stop(started)
+        _stop([c.query for c in started])
         raise
     return started
 
@@ -100,6 +112,34 @@ def finish(started: list[StreamingQuery]) -> None:
         _stop(started)
 
 
+def finish_copies(started: list[Copy]) -> None:
+    finish([c.query for c in started])
+
+
+def status(dest: Cluster, started: list[Copy]) -> DataFrame:
+    """``copy_status`` of running copies: saved progress of clones, positions of streams, and the
+    error of a copy that failed."""
+    spark = dest.spark
+    topics_of = spark.createDataFrame(
+        [(c.topic, dest.describe(c.topic)["partitions"]) for c in started],
+        "topic STRING, partitions INT",
+    )
+    listed = topics_of.select(
+        "topic", F.explode(F.sequence(F.lit(0), F.col("partitions") - 1)).alias("partition")
+    )
+    passed = spark.createDataFrame(
+        [(c.topic, p, offset) for c in started for p, offset in c.positions.items()],
+        "topic STRING, `partition` INT, next_offset BIGINT",
+    )
+    saved = dest.progress.read().where(F.col("dest_cluster") == dest.cluster_id)
+    progress = saved.select(F.col("dest_topic").alias("topic"), "partition", "next_offset")
+    failed = [(c.topic, str(c.query.exception())) for c in started if c.query.exception()]
+    errors = listed.join(
+        spark.createDataFrame(failed, "topic STRING, last_error STRING"), "topic"
+    )
+    return copy_status(progress.unionByName(passed), errors, listed)
+
+
 def _stop(started: list[StreamingQuery]) -> None:
     for query in started:
         if query.isActive:
@@ -225,6 +265,3 @@ def _apply(dest: Cluster, sources: Mapping[str, Cluster], actions: DataFrame) ->
             save(dest.progress, dest, row["name"], fresh)
         if row["mode"] == "restore":
             restore(dest, row["name"], row["archive"])
-
-
-MAPPINGS_COLUMNS = [part.split()[0] for part in MAPPINGS.replace(", STRING>", ">").split(", ")]

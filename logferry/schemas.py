@@ -39,6 +39,9 @@ PROGRESS_COLUMNS = [
 MARKER_COLUMNS = [
     "dest_cluster", "dest_topic", "topic_id", "archive_digest", "format_version", "status",
 ]
+MAPPINGS_COLUMNS = [
+    "name", "mode", "source_ref", "archive", "partitions", "replication_factor", "config", "force",
+]
 
 # Layout of archives written by this package; readers refuse any other number.
 ARCHIVE_FORMAT = 1

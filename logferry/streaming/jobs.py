@@ -32,11 +32,13 @@ def clone_stream(
     name: str,
     checkpoint: str,
     available_now: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Keep ``name`` up to date with ``source_topic``, with saved progress.
 
-    The progress committed with the records decides, not the checkpoint: every batch drops what the
+    The progress committed with the records decides, not the checkpoint: a batch drops what the
     destination already holds. A replayed batch adds nothing and a lost checkpoint costs rereading.
+    ``every`` is the time between micro-batches and so decides how many commits there will be.
     """
     origin, target = source.describe(source_topic), dest.describe(name)
     same_shape(origin, target)
@@ -65,7 +67,7 @@ def clone_stream(
             here, target, source, origin, committed_progress(sink, head, origin["topic_id"])
         )
 
-    return _start(rows, copy, f"clone {name}", checkpoint, available_now)
+    return _start(rows, copy, f"clone {name}", checkpoint, available_now, every)
 
 
 def forward(
@@ -76,12 +78,14 @@ def forward(
     checkpoint: str,
     bounds: DataFrame | None = None,
     available_now: bool = False,
+    every: str | None = None,
+    positions: dict[int, int] | None = None,
 ) -> StreamingQuery:
     """Forward records produced after now (or after ``bounds``).
 
     Nothing is remembered for the next run, which takes a new ``checkpoint`` folder. Starting again
     with the same folder continues the same run: from the end captured then, without repeating a
-    batch.
+    batch. ``positions`` is filled with the next source offset per partition, for status only.
     """
     origin, target = source.describe(source_topic), dest.describe(name)
     same_shape(origin, target)
@@ -95,8 +99,10 @@ def forward(
         stats = offset_stats(batch).collect()
         if stats:
             sink.append(batch, batch=(run, batch_id), stats=stats)
+            if positions is not None:
+                positions.update({r["partition"]: r["high"] for r in stats})
 
-    return _start(rows, copy, f"forward {name}", checkpoint, available_now)
+    return _start(rows, copy, f"forward {name}", checkpoint, available_now, every)
 
 
 def _run(log: TopicLog, checkpoint: str, bounds: DataFrame | None) -> tuple[str, DataFrame]:
@@ -116,10 +122,14 @@ def _run(log: TopicLog, checkpoint: str, bounds: DataFrame | None) -> tuple[str,
     return saved["run"], local_table(log.spark, rows, ["partition", "high"])
 
 
-def _start(rows, copy, name, checkpoint, available_now) -> StreamingQuery:
+def _start(rows, copy, name, checkpoint, available_now, every) -> StreamingQuery:
     writer = (
         rows.writeStream.foreachBatch(copy)
         .queryName(f"{name} {fresh_name()[:8]}")
         .option("checkpointLocation", checkpoint)
     )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
+    return writer.start()

@@ -6,7 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from logferry.operators import catalog, mappings, state
-from logferry.plans.run import BadMappings, finish, reconcile, restore_all, run
+from logferry.plans.run import (
+    BadMappings,
+    finish_copies,
+    reconcile,
+    restore_all,
+    run,
+    status,
+)
 from logferry.plans.transfer import dump
 from logferry.schemas import CATALOG, MAPPINGS, MARKERS, PROGRESS
 
@@ -339,11 +346,13 @@ def test_run_copies_both_kinds(spark, source, dest, make_log, tmp_path):
     started = run(dest, {"primary": source}, declared, str(tmp_path / "c"))
     try:
         live.ingest(make_log((0, 1, b"new")))
-        for query in started:
-            query.processAllAvailable()
+        for copy in started:
+            copy.query.processAllAvailable()
+        lines = [tuple(r) for r in status(dest, started).collect()]
     finally:
-        for query in started:
-            query.stop()
+        for copy in started:
+            copy.query.stop()
+    assert lines == [("cloned", 0, 1, "ok", None), ("streamed", 0, 2, "ok", None)]
     assert [r["value"] for r in dest.topic("cloned").scan().collect()] == [b"a"]
     assert [r["value"] for r in dest.topic("streamed").scan().collect()] == [b"new"]
 
@@ -357,11 +366,14 @@ def test_first_failure_stops_all(spark, source, dest, make_log, tmp_path):
         ("bad", "clone", "primary:other", None, None, None, {}, False),
     )
     started = run(dest, {"primary": source}, declared, str(tmp_path / "c"))
-    for query in started:
-        query.processAllAvailable()
+    for copy in started:
+        copy.query.processAllAvailable()
     # Somebody else writes to the destination; the next batch must not be appended.
     dest.topic("bad").append(make_log((0, 0, b"intruder")), copied=("elsewhere", {0: 1}))
     other.ingest(make_log((0, 1, b"c")))
     with pytest.raises(Exception, match="source identity"):
-        finish(started)
-    assert not any(q.isActive for q in started)
+        finish_copies(started)
+    assert not any(c.query.isActive for c in started)
+    lines = {r["topic"]: r for r in status(dest, started).collect()}
+    assert (lines["bad"]["status"], lines["good"]["status"]) == ("error", "ok")
+    assert "source identity" in lines["bad"]["last_error"]
