@@ -128,7 +128,8 @@ def clone(
     bounds = source_log.bounds(seen) if bounds is None else bounds
     head = trusted_head(log, origin)
     before = committed_progress(log, head, origin["topic_id"])
-    rows = resume_scan(source_log.scan(upto=seen.commit), before, bounds)
+    done = source_log.covered(head.copied.get(origin["topic_id"], {}))
+    rows = resume_scan(source_log.scan(done, seen.commit), before, bounds)
     stats = offset_stats(rows).collect()
     ends = {
         r["partition"]: r["next_offset"] for r in finish_progress(before, bounds).collect()

@@ -45,6 +45,23 @@ class Files:
         found = (n.split("=", 1)[1] for n in self.names(path) if n.startswith(f"{key}="))
         return sorted(int(n) for n in found if n.isdigit())
 
+    def last(self, path: str, key: str) -> int:
+        """Largest ``n`` for which ``key=<n>`` exists under ``path``, when all from 1 on do.
+
+        Takes a few look-ups instead of a listing, which would grow with ``n``.
+        """
+        beyond = 1
+        while self.exists(f"{path}/{key}={beyond}"):
+            beyond *= 2
+        found = beyond // 2
+        while beyond - found > 1:
+            middle = (found + beyond) // 2
+            if self.exists(f"{path}/{key}={middle}"):
+                found = middle
+            else:
+                beyond = middle
+        return found
+
     def read_json(self, path: str) -> dict:
         stream = self._fs(path).open(self._path(path))
         try:

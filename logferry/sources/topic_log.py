@@ -53,9 +53,10 @@ class TopicLog:
         return self
 
     def head(self) -> Head:
-        commit = max(self._files.numbers(self.data, "commit"), default=0)
-        if commit == 0:
-            return Head()
+        commit = self._files.last(self.data, "commit")
+        return self._at(commit) if commit else Head()
+
+    def _at(self, commit: int) -> Head:
         raw = self._files.read_json(f"{self.data}/commit={commit}/_manifest.json")
         return Head(
             commit,
@@ -74,17 +75,35 @@ class TopicLog:
         )
         return local_table(self.spark, rows, ["partition", "low", "high"])
 
-    def scan(self, upto: int | None = None) -> DataFrame:
-        """LOG rows; ``upto`` prunes commits after that one by directory."""
+    def covered(self, offsets: Mapping[int, int]) -> int:
+        """The last commit whose records all lie before ``offsets``; 0 if there is none.
+
+        Ends only grow from commit to commit, so a few manifests are looked at, not all.
+        """
+        covered, beyond = 0, self.head().commit + 1
+        while beyond - covered > 1:
+            middle = (covered + beyond) // 2
+            if all(end <= offsets.get(p, 0) for p, end in self._at(middle).high.items()):
+                covered = middle
+            else:
+                beyond = middle
+        return covered
+
+    def scan(self, after: int = 0, upto: int | None = None) -> DataFrame:
+        """LOG rows. ``after`` and ``upto`` leave out whole commits, by directory."""
         rows = self.spark.read.schema(f"{LOG}, commit BIGINT").parquet(self.data)
+        if after:
+            rows = rows.where(F.col("commit") > after)
         if upto is not None:
             rows = rows.where(F.col("commit") <= upto)
         return normalize(rows).select(*LOG_COLUMNS)
 
-    def stream(self) -> DataFrame:
+    def stream(self, after: int = 0) -> DataFrame:
         """Unbounded LOG rows. A micro-batch always takes whole commits, because the number of
         files per trigger is not limited; progress is therefore always a prefix."""
         rows = self.spark.readStream.schema(f"{LOG}, commit BIGINT").parquet(self.data)
+        if after:
+            rows = rows.where(F.col("commit") > after)
         return normalize(rows).select(*LOG_COLUMNS)
 
     def append(

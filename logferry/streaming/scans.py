@@ -6,20 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logferry.operators.scans import slice_log
+from logferry.operators.small import local_rows
 from logferry.sources.topic_log import TopicLog
 
 
 def stream_from_end(log: TopicLog, bounds: DataFrame | None = None) -> DataFrame:
     """Records at or after the end captured at startup. Saved progress plays no part."""
     ends = log.bounds() if bounds is None else bounds
-    return _from(log.stream(), ends.select("partition", F.col("high").alias("low")))
+    return _from(log, ends.select("partition", F.col("high").alias("low")))
 
 
 def stream_from_progress(log: TopicLog, progress: DataFrame) -> DataFrame:
     """Records at or after the saved next offset; from the beginning where there is none."""
     starts = progress.select("partition", F.coalesce("next_offset", F.lit(0)).alias("low"))
-    return _from(log.stream(), starts)
+    return _from(log, starts)
 
 
-def _from(stream: DataFrame, starts: DataFrame) -> DataFrame:
-    return slice_log(stream, starts.withColumn("high", F.lit(None).cast("long")))
+def _from(log: TopicLog, starts: DataFrame) -> DataFrame:
+    rows = local_rows(starts)
+    # Commits that lie wholly before the starts are left out by directory.
+    after = log.covered({r["partition"]: r["low"] for r in rows}) if rows else 0
+    return slice_log(log.stream(after), starts.withColumn("high", F.lit(None).cast("long")))

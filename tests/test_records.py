@@ -4,6 +4,8 @@ import json
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from logferry.functions import normalize, with_digest
@@ -78,6 +80,19 @@ def test_renumber_dense_and_gappy(spark, step):
     assert seen == {(0, i) for i in range(50)} | {(1, 1_000 + i) for i in range(50)}
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    rows=st.sets(st.tuples(st.integers(0, 3), st.integers(0, 2**62)), min_size=1, max_size=40),
+    chunk=st.sampled_from([1, 7, 65_536, 2**40]),
+)
+def test_sequence_equals_brute_force(spark, rows, chunk):
+    frame = spark.createDataFrame(list(rows), "`partition` INT, `offset` BIGINT")
+    got = {(r["partition"], r["offset"]): r["seq"] for r in ranking.partition_sequence(frame, chunk).collect()}
+    assert got == {
+        (p, o): sum(1 for q, x in rows if q == p and x < o) for p, o in rows
+    }
+
+
 def test_dense_log_is_renumbered_without_a_shuffle(spark):
     rows = spark.range(100).select(F.lit(0).alias("partition"), F.col("id").alias("offset"))
     stats = ranking.offset_stats(rows).collect()

@@ -13,7 +13,7 @@ from logferry.plans.run import finish
 from logferry.plans.transfer import clone, dump, restore
 from logferry.sources import kafka
 from logferry.sources.archive import read_archive
-from logferry.sources.files import AlreadyPublished
+from logferry.sources.files import AlreadyPublished, Files
 from logferry.sources.topic_log import TopicLog
 from logferry.streaming.jobs import clone_stream, forward
 
@@ -245,6 +245,28 @@ def test_bounds_reach_the_parquet_scan(spark, source, make_log):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
+def test_covered_commits_are_left_out(source, dest, make_log):
+    log = source.import_topic("t", make_log((0, 0, b"a"), (1, 0, b"b")), 2)
+    for step in range(1, 6):
+        log.ingest(make_log((step % 2, step * 10, b"c")))
+    assert log.head().commit == 6
+    assert log.covered({}) == 0
+    assert log.covered({0: 1, 1: 1}) == 1
+    assert log.covered({0: 21, 1: 10}) == 1
+    assert log.covered({0: 21, 1: 12}) == 3
+    assert log.covered({0: 1_000, 1: 1_000}) == 6
+    assert log.scan(after=3).count() == 3
+    assert log.scan(after=3, upto=4).count() == 1
+    assert log.stream(after=3)._jdf.queryExecution().toString().count("commit") > 1
+
+
+def test_last_number(spark, tmp_path):
+    files = Files(spark)
+    for n in range(1, 12):
+        assert files.last(str(tmp_path), "commit") == n - 1
+        (tmp_path / f"commit={n}").mkdir()
+
+
 def test_finish_never_lowers(spark):
     saved = spark.createDataFrame([(0, 9), (1, None)], "`partition` INT, next_offset BIGINT")
     ends = spark.createDataFrame([(0, 0, 5), (1, 0, 5), (2, 0, 0)], "`partition` INT, low BIGINT, high BIGINT")
