@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logferry.llm import mixing
+from logferry.llm import language_model, languages, mixing, pages, quality, token_counts
 from logferry.llm.decontamination import contaminated
 from logferry.llm.fingerprints import fingerprints
 from logferry.llm.near_duplicates import near_duplicates
 from logferry.llm.store import table
+from logferry.llm.surrogates import replaced
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,15 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", quality.held_out(4, 2).alias("held_out"), "score", "predicted")
+
+
+def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -27,5 +37,27 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_fingerprints, op5_mixing, op6_near_duplicates)}
-ORACLES = {"op5_mixing": mixing.ORACLE}
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.languages(table(spark, sf_dir, "documents"))
+
+
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(table(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_fingerprints, op3_quality, op4_pages, op5_mixing, op6_near_duplicates, op7_surrogates,
+        op8_languages, op9_language_model, op10_token_counts,
+    )
+}
+ORACLES = {"op5_mixing": mixing.ORACLE, "op10_token_counts": token_counts.ORACLE}
