@@ -4,14 +4,17 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import differences
+from checks.jobs import QUERIES
+from checks.oracles import ORACLES
 from tests.conftest import FOLDER
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
     found, rows = differences(spark, db, FOLDER, name)
     assert found is None
