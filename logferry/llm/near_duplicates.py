@@ -8,9 +8,11 @@ positions. Pairs beyond are found too when some chunk agrees: at similarity 0.75
 missed with probability 8e-7, and at 0.8 with 2e-8. Candidates are confirmed on the full sets.
 
 Equal sets are one node from the start. In a bucket of equal keys, members are first compared with one
-member drawn at random for that bucket. Only where a bucket still spans several components, members
-outside the drawn member's component are compared with the others, so a large group of copies costs a
-few comparisons per member and no link between components is lost.
+member drawn at random for that bucket. Where a bucket still spans several components, its commonest
+component gives its family; nodes of a family outside that component are compared with all of the
+family, tile against tile, and only links leave a tile. So a large group of copies costs a few
+comparisons per member, a group just below the threshold is compared in blocks, no pairs are emitted
+within a group, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ POSITIONS = CHUNKS * SPAN
 #: A pair of similarity 0.75 has more differing positions than this with probability below 1e-7.
 MOST_DIFFERENT = 38
 PERCENT = 75
+#: Nodes of a family in a tile, about.
+TILE = 128
 
 _RNG = np.random.Generator(np.random.PCG64(20))
 _FACTOR = _RNG.integers(0, 2**63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -126,21 +130,106 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([column(batch, c).filter(pa.array(fit, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
 
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each pair of tiles, the nodes that some signature of the other tile is near to."""
+    for batch in batches:
+        rows: list[tuple] = []
+        for family, tile_x, tile_y, nodes in zip(*(column(batch, c) for c in ("family", "tile_x", "tile_y", "nodes")), strict=True):
+            v = nodes.values
+            is_x, node, size, component = (v.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+            signs = np.frombuffer(b"".join(v.field(4).to_pylist()), "<u2").reshape(len(node), POSITIONS)
+            x, y = np.flatnonzero(is_x), np.flatnonzero(~is_x)
+            fit = component[x][:, None] != component[y][None, :]
+            fit &= 100 * np.minimum.outer(size[x], size[y]) >= PERCENT * np.maximum.outer(size[x], size[y])
+            for k in np.flatnonzero(fit.any(axis=1)):
+                fit[k] &= (signs[x[k]] != signs[y]).sum(axis=1) <= MOST_DIFFERENT
+            for side, found in ((True, x[fit.any(axis=1)]), (False, y[fit.any(axis=0)])):
+                rows += [(family.as_py(), tile_x.as_py(), tile_y.as_py(), side, int(node[k]), int(component[k])) for k in found]
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["family", "tile_x", "tile_y", "is_x", "node", "component"])
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links between nodes of different components in each pair of tiles, by full sets."""
+    for batch in batches:
+        links: list[tuple[int, int]] = []
+        for nodes in column(batch, "nodes"):
+            v = nodes.values
+            is_x, node, component = (v.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            sets = [np.frombuffer(b, np.uint64) for b in v.field(3).to_pylist()]
+            y = np.flatnonzero(~is_x)
+            values, owner = np.concatenate([sets[k] for k in y]), np.repeat(np.arange(len(y)), [len(sets[k]) for k in y])
+            sizes = np.array([len(sets[k]) for k in y])
+            for k in np.flatnonzero(is_x):
+                at = np.minimum(np.searchsorted(sets[k], values), len(sets[k]) - 1)
+                shared = np.bincount(owner[sets[k][at] == values], minlength=len(y))
+                fit = (100 * shared >= PERCENT * (len(sets[k]) + sizes - shared)) & (component[y] != component[k])
+                links += [(int(node[k]), int(n)) for n in node[y[fit]]]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in links], pa.int64()) for k in range(2)], ["a", "b"])
+
+
+def _sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(node, shingles)`` of the distinct ``nodes``, from their texts."""
+    return docs.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
+
+
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; the sets come from the texts again."""
+    """The pairs (a, b) whose full sets are similar enough."""
     signs = nodes.select("node", "signature")
     likely = written(
         pairs.join(signs.toDF("a", "sign_a"), "a").join(signs.toDF("b", "sign_b"), "b").mapInArrow(_alike, "a long, b long"),
         "likely",
     )
-    wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
+    sets = _sets_of(likely.select(F.col("a").alias("node")).union(likely.select("b")), docs)
     return written(
         likely.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b").mapInArrow(_confirmed, "a long, b long").distinct(),
         "confirmed",
     )
 
 
+def _links_across(placed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between components among nodes that share a bucket; ``placed`` has variant, key, node, size, component."""
+    commonest = (
+        placed.groupBy("variant", "key", "component")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("variant", "key")
+        .agg(F.max_by("component", F.expr("shiftleft(n, 32) | (xxhash64(component, variant, key) & 4294967295L)")).alias("family"), F.count(F.lit(1)).alias("components"))
+        .where("components > 1")
+        .drop("components")
+    )
+    families = written(placed.join(commonest, ["variant", "key"]).select("family", "node", "size", "component").distinct(), "families")
+    tiles = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    rows = (
+        families.join(tiles, "family")
+        .join(nodes.select("node", "signature"), "node")
+        .withColumn("tile", F.pmod(F.xxhash64("node", "family"), F.col("tiles")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    )
+    entry = ["node", "size", "component", "signature"]
+    sides = rows.where("component <> family").select("family", F.col("tile").alias("tile_x"), F.col("other").alias("tile_y"), F.lit(True).alias("is_x"), *entry).union(
+        rows.select("family", F.col("other").alias("tile_x"), F.col("tile").alias("tile_y"), F.lit(False).alias("is_x"), *entry)
+    )
+    keys = ["family", "tile_x", "tile_y"]
+    near = written(
+        sides.groupBy(*keys)
+        .agg(F.collect_list(F.struct("is_x", *entry)).alias("nodes"), F.max("is_x").alias("some_x"))
+        .where("some_x")
+        .select(*keys, "nodes")
+        .mapInArrow(_plausible, "family long, tile_x int, tile_y int, is_x boolean, node long, component long"),
+        "plausible",
+    )
+    return written(
+        near.join(_sets_of(near, docs), "node")
+        .groupBy(*keys)
+        .agg(F.collect_list(F.struct("is_x", "node", "component", "shingles")).alias("nodes"))
+        .select("nodes")
+        .mapInArrow(_linked, "a long, b long")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct(),
+        "across",
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs`` (doc_id, text).
 
@@ -175,20 +264,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = _links(first, classes, docs)
     found = components(links)
 
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    middle = found.select(F.col("node").alias("drawn"), F.col("component").alias("main"))
-    placed = written(placed.join(middle, "drawn", "left").withColumn("main", F.coalesce("main", "drawn")), "placed")
-    outside = placed.where("component <> main").select("variant", "key", F.col("node").alias("x"), F.col("size").alias("x_size"), F.col("component").alias("x_component"))
-    split = outside.select("variant", "key").distinct()
-    others = placed.where("node <> drawn").join(split, ["variant", "key"], "left_semi")
-    across = (
-        outside.join(others, ["variant", "key"])
-        .where("x_component <> component AND (component = main OR x < node) AND x <> node")
-        .where(fitting("size", "x_size"))
-        .select(*ordered("x", "node"))
-        .distinct()
-    )
-    links = links.union(_links(across, classes, docs))
+    placed = written(members.join(found, "node", "left").select("variant", "key", "node", "size", F.coalesce("component", "node").alias("component")), "placed")
+    links = links.union(_links_across(placed, classes, docs))
     labels = components(links)
     linked = classes.join(labels, "node", "left").select("set_digest", F.coalesce("component", "node").alias("component"))
     return (
