@@ -30,6 +30,8 @@ RAW = set("script style textarea title noscript template iframe xmp noembed nofr
 #: Start tags that end an open paragraph, and elements that end their own open sibling.
 ENDS_P = set("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SELF_ENDING = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr"}, "th": {"tr"}, "option": {"select"}}
+#: Elements that are a piece of a text and not its whole.
+TEXT_BLOCKS = set("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figure figcaption ul ol dl".split())
 #: Elements, and words in class, id or role, that are never main text.
 DROPPED = set("head nav header footer aside form button select dialog menu object canvas audio video input".split()) | RAW - {"title"} | {"title"}
 DROPPED_WORDS = set(
@@ -239,7 +241,7 @@ def wrapper(shape: list, varying: dict[str, int], constant: set[str]) -> tuple[l
     while True:
         below = [(look(c, f"{at}/{c[0]}"), c) for c in node[2]]
         size, child = max(below, key=lambda v: v[0], default=(0, None))
-        if not total or child is None or size < ROOT_SHARE * total:
+        if not total or child is None or size < ROOT_SHARE * total or child[0].split(".")[0] in TEXT_BLOCKS:
             return [at], sorted({*dropped, *constant})
         node, at = child, f"{at}/{child[0]}"
 

@@ -88,14 +88,14 @@ def scan(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS) -> Da
     whole = Window.partitionBy("file")
     stitched = (
         blocks.withColumn("number", F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)))
-        .withColumn("last_end", F.coalesce(F.max(F.element_at("ends", -1)).over(before), F.lit(-1)))
+        .withColumn("last_end", F.coalesce(F.max(F.array_max("ends")).over(before), F.lit(-1)))
         .withColumn("is_last", F.col("block") == F.max("block").over(whole))
         .withColumn("size", F.sum("tokens").over(whole))
     )
     spans = F.expr(
         "concat(transform(ends, (e, i) -> named_struct('n', e - IF(i = 0, last_end, ends[i - 1]) - 1, 'ended', true)),"
-        " IF(is_last AND size - 1 > IF(size(ends) > 0, element_at(ends, -1), last_end),"
-        " array(named_struct('n', size - 1 - IF(size(ends) > 0, element_at(ends, -1), last_end), 'ended', false)), array()))"
+        " IF(is_last AND size - 1 > coalesce(array_max(ends), last_end),"
+        " array(named_struct('n', size - 1 - coalesce(array_max(ends), last_end), 'ended', false)), array()))"
     )
     return stitched.select("file", "number", F.posexplode(spans).alias("i", "d")).select("file", (F.col("number") + F.col("i")).alias("document"), F.col("d.n").alias("n_tokens"), F.col("d.ended").alias("ended"))
 
