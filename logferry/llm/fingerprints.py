@@ -21,18 +21,21 @@ NONE = "f" * 8
 RANGES = 4
 
 
-def _sample(j: int, weight: str) -> Column:
-    """The drawn word's score in the upper half of a long, its sample's hash in the lower half."""
+def _sample(j: int, log_weight: str) -> Column:
+    """The drawn word's score in the upper half of a long, its sample's hash in the lower half.
+
+    Nothing is conditional, so that what both texts of a row need is computed once: a weight of zero has
+    no logarithm, its score is null, and the minimum passes over it. Scores lie between -96 and 32.
+    """
     h = f"xxhash64(term, {j}L)"
     g = f"xxhash64(term, {j}L, 1)"
     part = lambda x, at: f"((shiftrightunsigned({x}, {at}) & 2097151) + 0.5D) / 2097152D"
     r = f"(-ln({part(h, 0)} * {part(h, 21)}))"
     c = f"(-ln({part(h, 42)} * {part(g, 0)}))"
     b = f"({part(g, 21)})"
-    t = f"floor(ln({weight}) / {r} + {b})"
+    t = f"floor({log_weight} / {r} + {b})"
     score = f"ln({c}) - {r} * ({t} - {b} + 1D)"
-    packed = f"shiftleft(cast(greatest(0D, least(2147483646D, ({score} + 96D) * 16777216D)) as long), 32) | (xxhash64(term, {t}) & 4294967294L)"
-    return F.min(F.expr(f"CASE WHEN {weight} > 0 THEN {packed} END"))
+    return F.min(F.expr(f"shiftleft(cast(({score} + 96D) * 16777216D as long), 32) | (xxhash64(term, {t}) & 4294967294L)"))
 
 
 def _digest(columns: list[str]) -> Column:
@@ -60,7 +63,8 @@ def signatures(texts: DataFrame, keys: list[str], names: list[str]) -> DataFrame
         texts.select(*keys, F.explode(F.flatten(words)).alias("w"))
         .select(*keys, F.col("w.term").alias("term"), F.col("w.of").alias("of"), F.col("w.is_word").alias("is_word"))
         .groupBy(*keys, "term")
-        .agg(*[F.sum(F.expr(f"CASE WHEN of = {k} AND is_word THEN 1 ELSE 0 END")).cast("double").alias(f"w{k}") for k in range(len(names))])
+        .agg(*[F.sum(F.expr(f"CASE WHEN of = {k} AND is_word THEN 1 ELSE 0 END")).alias(f"n{k}") for k in range(len(names))])
+        .select(*keys, "term", *[F.ln(f"n{k}").alias(f"w{k}") for k in range(len(names))])
     )
     samples = [(k, j, f"s{k}_{j}") for k in range(len(names)) for j in range(SAMPLES)]
     drawn = counted.groupBy(*keys).agg(*[_sample(j, f"w{k}").alias(c) for k, j, c in samples])
