@@ -31,8 +31,9 @@ PATTERNS = {
     "name": r"\b(?:Mr|Mrs|Ms|Miss|Dr|Herr|Frau|Monsieur|Madame|Mme|Señora|Señor|Sra|Sr)\b\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?|(?:г-н|г-жа) \p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without any of these has no entity.
-SIGNS = r"[@0-9]|(?i:password|passwd|pwd|secret|token|key|auth)|\b(?:M[rsi]|Dr|Herr|Frau|Mon|Mad|Mme|Se|Sr)|г-"
+#: A text without any of these characters and words has no entity.
+SIGNS = "[@0-9=:]"
+TITLES = ("Mr", "Ms", "Miss", "Dr", "Herr", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Sra", "Sr", "г-")
 
 # Letters of the scripts that surrogates can be written in, and given names by gender.
 ALPHABETS = {
@@ -181,9 +182,12 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     """
     names = [c for c in docs.columns if c != "n_entities"]
     docs = docs.select(*[F.col(f"`{c}`") for c in names])
-    has = F.coalesce(F.regexp("text", F.lit(SIGNS)), F.lit(False))
-    found = F.when(has, F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)))
-    marked = docs.withColumn("_found", found)
+    has = F.regexp("text", F.lit(SIGNS))
+    for title in TITLES:
+        has = has | F.col("text").contains(title)
+    found = F.when(F.coalesce(has, F.lit(False)), F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)))
+    # Patterns are looked for once; the entities found stay beside the texts.
+    marked = written(docs.withColumn("_found", found), "marked")
     row_key = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in names if c != "text"], F.xxhash64("text"))))
     touched = marked.where("size(_found) > 0").withColumn("_key", row_key)
     raws = touched.select("_key", F.explode(F.array_distinct("_found")).alias("raw"))
