@@ -239,8 +239,8 @@ def partition_contiguity(inputs: Inputs) -> DataFrame:
 
 @query
 def topic_fingerprint(inputs: Inputs) -> DataFrame:
-    archive = records.to_archive(inputs.events_log())
-    prints = fingerprint(archive, DECLARED, FAN_IN)
+    digests = records.ranked_digests(inputs.events_log())
+    prints = fingerprint(digests, DECLARED, FAN_IN)
     root = root_digest(prints).select(
         F.lit(-1).alias("partition"), F.col("records"), F.col("digest")
     )
@@ -500,11 +500,11 @@ def declared_topics(spark: SparkSession, archive: str) -> DataFrame:
     """One topic per mode."""
     config = {"cleanup.policy": "delete"}
     rows = [
-        ("orders.backup", "clone", "primary:orders", None, None, 3, config, False),
-        ("events.live", "stream", "primary:events", None, None, None, config, False),
-        ("events.restored", "restore", None, archive, None, None, config, True),
-        ("scratch.events", "manage", None, None, 3, None, config, False),
-        ("disposable.events", "empty", None, None, 3, None, config, True),
+        ("ledger", "clone", "primary:orders", None, None, 3, config, False),
+        ("pulse", "stream", "primary:events", None, None, None, config, False),
+        ("replay", "restore", None, archive, None, None, config, True),
+        ("board", "manage", None, None, 3, None, config, False),
+        ("blank", "empty", None, None, 3, None, config, True),
     ]
     return spark.createDataFrame(rows, MAPPINGS)
 
@@ -534,7 +534,7 @@ def _prepared(inputs: Inputs) -> tuple[Cluster, Cluster, DataFrame]:
     source.import_topic("orders", inputs.orders_log(), ORDER_PARTITIONS)
     before, _ = split(inputs.events_log())
     log = source.import_topic("events", before, EVENT_PARTITIONS)
-    archive = f"{shared_folder(inputs.spark)}/events"
+    archive = f"{shared_folder(inputs.spark)}/events-before"
     dump(log, archive)
     return source, dest, declared_topics(inputs.spark, archive)
 

@@ -222,11 +222,11 @@ FROM listed LEFT JOIN done USING (topic, "partition") LEFT JOIN failed USING (to
 """
 
 RUN = """
-SELECT 'disposable.events' AS topic, p::INT AS "partition", 0::BIGINT AS records,
+SELECT 'blank' AS topic, p::INT AS "partition", 0::BIGINT AS records,
        0::BIGINT AS high FROM range(3) t(p)
-UNION ALL SELECT 'scratch.events', p::INT, 0, 0 FROM range(3) t(p)
-UNION ALL SELECT 'orders.backup', (o_custkey % 8)::INT, count(*), count(*) FROM orders GROUP BY 2
-UNION ALL SELECT 'events.restored', "partition", count(*), count(*) FROM log
+UNION ALL SELECT 'board', p::INT, 0, 0 FROM range(3) t(p)
+UNION ALL SELECT 'ledger', (o_custkey % 8)::INT, count(*), count(*) FROM orders GROUP BY 2
+UNION ALL SELECT 'replay', "partition", count(*), count(*) FROM log
           WHERE "offset" < {cut} GROUP BY 2
 UNION ALL {live}
 """
@@ -342,12 +342,12 @@ WHERE (p.source_cluster, p.source_topic, p.source_topic_id)
     "run_all": with_tables(
         RUN.format(
             cut=CUT,
-            live=f"""SELECT 'events.live', "partition", count(*), count(*) FROM log
+            live=f"""SELECT 'pulse', "partition", count(*), count(*) FROM log
           WHERE "offset" >= {CUT} GROUP BY 2""",
         )
     ),
     "restore_all": with_tables(
-        RUN.format(cut=CUT, live="SELECT 'events.live', p::INT, 0, 0 FROM range(4) t(p)")
+        RUN.format(cut=CUT, live="SELECT 'pulse', p::INT, 0, 0 FROM range(4) t(p)")
     ),
 }
 ORACLES["clone_continuous"] = ORACLES["clone_bounded"]

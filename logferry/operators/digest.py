@@ -27,8 +27,12 @@ def _joined(digest: str, order: str) -> Column:
 
 
 def leaf_digests(archive: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
-    """(partition, leaf, records, digest): the only step that shuffles one small row per record."""
-    records = archive.select("partition", "seq", F.unhex(record_digest()).alias("d"))
+    """(partition, leaf, records, digest): the only step that shuffles one small row per record.
+
+    ``archive`` has records, or their digests in a column ``d``.
+    """
+    digest = F.col("d") if "d" in archive.columns else F.unhex(record_digest()).alias("d")
+    records = archive.select("partition", "seq", digest)
     return records.groupBy("partition", F.expr(f"seq div {int(fan_in)}").alias("leaf")).agg(
         F.count(F.lit(1)).alias("records"), _joined("d", "seq").alias("digest")
     )

@@ -56,9 +56,7 @@ def offset_stats(log: DataFrame) -> DataFrame:
 
 def is_dense(stats: Sequence[Row]) -> bool:
     """No partition has gaps between its first and last offset."""
-    return len(stats) <= LOCAL_ROWS and all(
-        r["high"] - r["low"] == r["records"] for r in stats
-    )
+    return all(r["high"] - r["low"] == r["records"] for r in stats)
 
 
 def choose_chunk(stats: Sequence[Row], tasks: int) -> int:

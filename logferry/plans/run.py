@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -21,18 +22,20 @@ from logferry.sources.cluster import Cluster
 from logferry.sources.files import Files, fresh_name
 from logferry.streaming.jobs import clone_stream, forward
 
-PARALLEL_COPIES = 4
-
 
 class BadMappings(ValueError):
     pass
 
 
 def restore_all(
-    dest: Cluster, sources: Mapping[str, Cluster], mappings: DataFrame, force: bool = False
+    dest: Cluster,
+    sources: Mapping[str, Cluster],
+    mappings: DataFrame,
+    force: bool = False,
+    parallel: int = 4,
 ) -> None:
     """Reconcile, restore what is incomplete, and advance every clone to the end its source has
-    now. Streams stay inactive."""
+    now, ``parallel`` at a time. Streams stay inactive. The first failure cancels waiting clones."""
     declared = _audited(mappings, sources)
     if not declared:
         raise BadMappings("nothing is declared")
@@ -48,9 +51,13 @@ def restore_all(
         clone(source, topic, dest, m["name"], ends[m["name"]])
 
     # Each copy is a distributed job of its own; the threads only submit them.
-    with ThreadPoolExecutor(PARALLEL_COPIES) as pool:
-        for result in [pool.submit(advance, m) for m in clones]:
-            result.result()
+    with ThreadPoolExecutor(parallel) as pool:
+        try:
+            for result in as_completed([pool.submit(advance, m) for m in clones]):
+                result.result()
+        except BaseException:
+            pool.shutdown(cancel_futures=True)
+            raise
 
 
 @dataclass(frozen=True)
@@ -105,9 +112,10 @@ def finish(started: list[StreamingQuery]) -> None:
     waiting = list(started)
     try:
         while waiting:
-            for query in list(waiting):
-                if query.awaitTermination(1):
-                    waiting.remove(query)
+            for query in [q for q in waiting if not q.isActive]:
+                query.awaitTermination()  # raises what ended it
+                waiting.remove(query)
+            time.sleep(0.2)
     finally:
         _stop(started)
 

@@ -19,7 +19,13 @@ from logferry.schemas import (
     REASON_NO_STATE,
     REASON_OTHER_SOURCE,
 )
-from logferry.sources.archive import read_archive, read_manifest, write_archive
+from logferry.sources.archive import (
+    BrokenArchive,
+    matches_manifest,
+    read_archive,
+    read_manifest,
+    write_archive,
+)
 from logferry.sources.cluster import Cluster
 from logferry.sources.files import AlreadyPublished, Files
 from logferry.sources.topic_log import Head, TopicLog
@@ -49,7 +55,10 @@ def dump_rows(
     stats = offset_stats(rows).collect()
     numbered = renumber(rows, stats, {}, "seq")
     ranked = not is_dense(stats)
-    return write_archive(numbered, archive, partitions, force, placed=ranked, fan_in=fan_in)
+    counted = sum(r["records"] for r in stats)
+    return write_archive(
+        numbered, archive, partitions, force, placed=ranked, fan_in=fan_in, expected=counted
+    )
 
 
 def topic_key(cluster: Cluster, name: str) -> DataFrame:
@@ -104,7 +113,11 @@ def restore(dest: Cluster, name: str, archive: str) -> bool:
     mark(dest, topic, manifest["digest"], IN_PROGRESS)
     # Appending numbers the rows of each partition from 0 in archive order.
     rows = read_archive(spark, archive).withColumnRenamed("seq", "offset")
-    log.append(rows)
+    log.append(rows, stats=offset_stats(rows).collect())
+    # What lies in the topic now is hashed and compared: the manifest alone proves nothing.
+    restored = log.scan().withColumnRenamed("offset", "seq")
+    if not matches_manifest(restored, manifest):
+        raise BrokenArchive(f"what was restored from {archive} is not what its manifest declares")
     mark(dest, topic, manifest["digest"], COMPLETE)
     return True
 

@@ -45,8 +45,8 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
 
 
 def read_archive(spark: SparkSession, path: str, verify: bool = True) -> DataFrame:
-    """Archive rows. ``verify`` compares counts and positions with the manifest, reading only
-    the ``seq`` column."""
+    """Archive rows. ``verify`` compares counts and positions with the manifest and looks for repeated
+    positions, reading only the ``seq`` column; ``matches_manifest`` compares the contents."""
     manifest = read_manifest(spark, path)
     rows = _rows(spark, path)
     if verify:
@@ -67,6 +67,9 @@ def read_archive(spark: SparkSession, path: str, verify: bool = True) -> DataFra
                 )
             if row and (row["low"], row["top"]) != (0, records - 1):
                 raise BrokenArchive(f"partition {partition} of archive {path} is not 0..n-1")
+        twice = rows.groupBy("partition", "seq").count().where("count > 1").first()
+        if twice:
+            raise BrokenArchive(f"position {twice['seq']} of partition {twice['partition']} of archive {path} occurs twice")
     return rows
 
 
@@ -77,12 +80,15 @@ def write_archive(
     force: bool = False,
     placed: bool = False,
     fan_in: int = FAN_IN,
+    expected: int | None = None,
 ) -> dict:
     """Write ``archive`` in order and publish it at once; returns the manifest.
 
     Rows are laid out in slabs of consecutive positions, so each file covers a short range of one
     partition and a large partition is written by many tasks. ``placed`` says that the rows already
-    come in such runs, in order, and need neither a shuffle nor a sort.
+    come in such runs, in order, and need neither a shuffle nor a sort. ``expected`` is the number of
+    records that the source was counted to hold: another number is not published. A forced
+    replacement that fails puts the old archive back.
     """
     spark = archive.sparkSession
     files = Files(spark)
@@ -97,11 +103,17 @@ def write_archive(
     try:
         rows.write.partitionBy("partition").option("compression", "zstd").parquet(staged)
         manifest = _describe(spark, staged, partitions, fan_in)
+        if expected is not None and manifest["records"] != expected:
+            raise BrokenArchive(f"{manifest['records']} records were staged but {expected} counted")
         files.write_json(f"{staged}/_manifest.json", manifest)
         if force and files.exists(path):
             old = f"{parent}/replaced-{fresh_name()}"
             files.publish(path, old)
-            files.publish(staged, path)
+            try:
+                files.publish(staged, path)
+            except BaseException:
+                files.publish(old, path)
+                raise
             files.delete(old)
         else:
             files.publish(staged, path)
@@ -132,6 +144,13 @@ def _print_table(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame(rows, "`partition` INT, records BIGINT, digest STRING")
 
 
+def matches_manifest(rows: DataFrame, manifest: dict) -> bool:
+    """Whether ``rows`` (ARCHIVE) are the contents that the manifest vouches for, record by record."""
+    declared = {p["partition"]: (p["records"], p["digest"]) for p in manifest["partitions"]}
+    prints = fingerprint(rows, len(declared), manifest["fan_in"]).collect()
+    return declared == {r["partition"]: (r["records"], r["digest"]) for r in prints}
+
+
 def verify_archive(spark: SparkSession, path: str) -> None:
     """Recompute every digest of an archive from its records; raises where one differs."""
     manifest = read_manifest(spark, path)

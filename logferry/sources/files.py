@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import tempfile
+import time
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -45,6 +46,13 @@ class Files:
         found = (n.split("=", 1)[1] for n in self.names(path) if n.startswith(f"{key}="))
         return sorted(int(n) for n in found if n.isdigit())
 
+    def older(self, path: str, key: str, seconds: float) -> list[int]:
+        """Numbers of the ``key=<n>`` directories that are older than ``seconds``."""
+        before = (time.time() - seconds) * 1000
+        found = [s for s in self._fs(path).listStatus(self._path(path)) if s.getModificationTime() < before]
+        names = (s.getPath().getName() for s in found)
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{key}="))
+
     def last(self, path: str, key: str) -> int:
         """Largest ``n`` for which ``key=<n>`` exists under ``path``, when all from 1 on do.
 
@@ -101,7 +109,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="run-")
     path = f"{shared}/run-{fresh_name()}"

@@ -3,19 +3,22 @@
     <path>/v=<n>/*.parquet      each version is the whole table; readers take the newest
 
 A new version is staged and then published by an exclusive rename, so of two writers that read the
-same version only one succeeds and the other starts again from the newer one.
+same version only one succeeds and the other starts again from the newer one, after a short random
+wait. Versions go by age, never by number, so a reader keeps what it has begun to read.
 """
 
 from __future__ import annotations
 
+import random
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from logferry.sources.files import AlreadyPublished, Files, fresh_name
 
-KEPT_VERSIONS = 20
-ATTEMPTS = 50
+#: Seconds for which a version stays after a newer one has come: far longer than any job reads it.
+KEPT_SECONDS = 7 * 24 * 3600
 
 
 class SmallTable:
@@ -36,7 +39,8 @@ class SmallTable:
 
     def update(self, change: Callable[[DataFrame], DataFrame]) -> None:
         """Publish ``change(current rows)`` as the next version."""
-        for _ in range(ATTEMPTS):
+        wait = 0.05
+        while True:
             version = self._latest()
             staged = f"{self.path}/staging-{fresh_name()}"
             change(self._at(version)).write.option("compression", "zstd").parquet(staged)
@@ -44,9 +48,10 @@ class SmallTable:
                 self._files.publish(staged, f"{self.path}/v={version + 1}")
             except AlreadyPublished:
                 self._files.delete(staged)
+                time.sleep(random.uniform(0, wait))
+                wait = min(2.0, 2 * wait)
                 continue
-            for old in self._files.numbers(self.path, "v"):
-                if old <= version + 1 - KEPT_VERSIONS:
+            for old in self._files.older(self.path, "v", KEPT_SECONDS):
+                if old < version:
                     self._files.delete(f"{self.path}/v={old}")
             return
-        raise RuntimeError(f"{self.path} was changed {ATTEMPTS} times while it was being updated")

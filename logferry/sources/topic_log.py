@@ -118,12 +118,15 @@ class TopicLog:
 
         ``batch`` = (query, number): a batch that was committed before is not appended again.
         ``copied`` = (source topic id, next source offsets): committed together with the rows.
+        ``stats`` are given for rows whose offsets are known to be unique, as those of a log are;
+        otherwise repeated offsets are looked for and refused.
         """
         head = self.head()
         if batch and head.batches.get(batch[0], -1) >= batch[1]:
             return head
         rows = normalize(rows)
         if stats is None:
+            refuse_repeats(rows)
             stats = offset_stats(rows).collect()
         self._check_ids(stats)
         staged = f"{self.path}/staging/{fresh_name()}"
@@ -154,7 +157,13 @@ class TopicLog:
             .write.option("compression", "zstd")
             .parquet(staged)
         )
-        stats = offset_stats(self.spark.read.schema(LOG).parquet(staged)).collect()
+        held = self.spark.read.schema(LOG).parquet(staged)
+        try:
+            refuse_repeats(held)
+        except ValueError:
+            self._files.delete(staged)
+            raise
+        stats = offset_stats(held).collect()
         self._check_ids(stats)
         for row in stats:
             if row["low"] < head.high.get(row["partition"], 0):
@@ -201,5 +210,12 @@ class TopicLog:
         return Head(head.commit + 1, dict(head.low), high, batches, progress)
 
 
+def refuse_repeats(rows: DataFrame) -> None:
+    """Raise where an offset of a partition occurs twice. Shuffles two numbers per record."""
+    twice = rows.groupBy("partition", "offset").count().where("count > 1").first()
+    if twice:
+        raise ValueError(f"offset {twice['offset']} of partition {twice['partition']} occurs {twice['count']} times")
+
+
 def _int_keys(mapping: Mapping[str, int]) -> dict[int, int]:
     return {int(k): v for k, v in mapping.items()}
