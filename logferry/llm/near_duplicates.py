@@ -8,7 +8,7 @@ positions. Pairs beyond are found too when some chunk agrees: at similarity 0.75
 missed with probability 8e-7, and at 0.8 with 2e-8. Candidates are confirmed on the full sets.
 
 Equal sets are one node from the start. In a bucket of equal keys, members are first compared with one
-member drawn at random for that bucket. Where a bucket still spans several components, its commonest
+member drawn for that bucket. Where a bucket still spans several components, its commonest
 component gives its family; nodes of a family outside that component are compared with all of the
 family, tile against tile, and only links leave a tile. So a large group of copies costs a few
 comparisons per member, a group just below the threshold is compared in blocks, no pairs are emitted
@@ -38,6 +38,8 @@ MOST_DIFFERENT = 38
 PERCENT = 75
 #: Nodes of a family in a tile, about.
 TILE = 128
+#: Orders by which buckets draw a member.
+ORDERS = 4
 
 _RNG = np.random.Generator(np.random.PCG64(20))
 _FACTOR = _RNG.integers(0, 2**63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -246,9 +248,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "classes",
     )
     keys = classes.select("node", "n_shingles", "signature").mapInArrow(_keyed, "variant short, key long, node long, size long")
+    # Few orders for all buckets: a node's buckets then mostly draw the same members, so fewer pairs are tried.
+    rank = F.xxhash64("node", F.col("variant") % ORDERS)
     buckets = (
         keys.groupBy("variant", "key")
-        .agg(F.count(F.lit(1)).alias("members"), F.min_by("node", F.xxhash64("node", "variant")).alias("drawn"), F.min_by("size", F.xxhash64("node", "variant")).alias("drawn_size"))
+        .agg(F.count(F.lit(1)).alias("members"), F.min_by("node", rank).alias("drawn"), F.min_by("size", rank).alias("drawn_size"))
         .where("members > 1")
         .drop("members")
     )
