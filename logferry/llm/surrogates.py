@@ -57,6 +57,11 @@ def _draw(base: Column | str, at: Column | int, most: int) -> Column:
     return F.conv(F.substring(F.sha2(text, 256), 1, 12), 16, 10).cast("long") % most
 
 
+def _from(text: Column, at: Column) -> Column:
+    """All of ``text`` from its character number ``at`` on."""
+    return F.substring(text, at, F.char_length(text))
+
+
 def _pick(values: str | list[str], number: Column) -> Column:
     if isinstance(values, str):
         return F.substring(F.lit(values), (number + 1).cast("int"), F.lit(1))
@@ -123,7 +128,7 @@ def surrogate_of(kind: Column, canon: Column, base: Column) -> Column:
     email = F.concat(_letters(local, base), F.lit("@"), _letters(company, F.concat(F.lit("domain|"), F.regexp_extract(base, "^[^|]*", 0), F.lit("|"), domain)), top)
     given = F.when(F.substring(canon, 1, 1) == "f", _pick(WOMEN, _draw(base, 0, len(WOMEN)))).otherwise(_pick(MEN, _draw(base, 0, len(MEN))))
     family = F.initcap(F.concat(*[_pick(SYLLABLES, _draw(base, k, len(SYLLABLES))) for k in (1, 2, 3, 4)]))
-    said = F.substring(canon, 3, 10_000)
+    said = _from(canon, F.lit(3))
     latin = F.regexp(said, F.lit("^[\\p{IsLatin}' -]+$"))
     name = F.when(latin & said.contains(" "), F.concat_ws(" ", given, family)).when(latin, family).otherwise(_letters(said, base))
     is_hex = (kind == "secret") & F.regexp(canon, F.lit("^[0-9a-f]+$"))
@@ -142,8 +147,8 @@ def _filled(kind: Column, raw: Column, prefix: Column, new: Column) -> Column:
         return F.when(F.regexp(c, F.lit("[\\p{L}\\p{N}]")), F.when(is_upper, F.upper(letter)).otherwise(letter)).otherwise(c)
 
     spelled = F.array_join(F.transform(chars, one), "")
-    keeps = F.concat(prefix, F.substring(spelled, F.char_length(prefix) + 1, F.lit(1_000_000)))
-    return F.when(kind == "ip", new).when(kind == "secret", F.concat(prefix, new)).when(kind == "name", F.concat(prefix, F.substring(new, 3, 10_000))).when(kind == "email", spelled).otherwise(keeps)
+    keeps = F.concat(prefix, _from(spelled, F.char_length(prefix) + 1))
+    return F.when(kind == "ip", new).when(kind == "secret", F.concat(prefix, new)).when(kind == "name", F.concat(prefix, _from(new, F.lit(3)))).when(kind == "email", spelled).otherwise(keeps)
 
 
 def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:

@@ -20,6 +20,8 @@ from logferry.llm.store import scratch
 
 SEPARATOR = 0
 BLOCK_TOKENS = 1 << 20
+#: Bytes of a token file, about; a task reads one file at a time.
+FILE_BYTES = 128 << 20
 
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,7 +108,9 @@ def token_counts(docs: DataFrame) -> DataFrame:
     Null and empty texts have 0 tokens. Rows that share a doc_id are counted apart. Other columns are
     ignored.
     """
-    files = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A text of n bytes has at most (n + 1) / 2 words, so its tokens and separator take at most n + 3 bytes.
+    most = docs.select(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(3)).alias("bytes")).first()["bytes"] or 0
+    files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-most // FILE_BYTES))
     path, order = write_tokens(docs, files)
     found = scan(docs.sparkSession, path).withColumn("file", F.regexp_extract("file", "/file=(\\d+)/[^/]*$", 1).cast("int"))
     return order.join(found, ["file", "document"]).select("doc_id", "n_tokens")
