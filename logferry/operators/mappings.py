@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from logferry.schemas import TIMESTAMP_SETTING
 
+# Rows of one key that many declarations share are joined in so many tasks.
+SALTS = 32
+
 
 def declarations(mappings: DataFrame) -> DataFrame:
     """MAPPINGS rows in the shape that ``audit_mappings`` reads."""
@@ -37,12 +40,18 @@ def audit_mappings(declared: DataFrame, sources: DataFrame) -> DataFrame:
     mode = F.when(F.size("modes") == 1, F.element_at("modes", 1))
     reads = F.coalesce(mode.isin("clone", "stream"), F.lit(False))
     known = sources.select(F.col("instance").alias("known_instance")).distinct()
-    rows = (
+    rows = _salted(
         declared.withColumn("mode", mode)
         .withColumn("reads", reads)
         .withColumn("instance", F.when(F.col("reads"), instance))
         .withColumn("topic", F.when(F.col("reads"), topic))
-        .join(known, F.col("instance") == F.col("known_instance"), "left")
+    )
+    # Rows without a source take part in the join under a key of their own, spread over tasks.
+    rows = rows.withColumn(
+        "wanted", F.coalesce("instance", F.concat(F.lit("\0"), F.coalesce("name", F.lit(""))))
+    )
+    rows = rows.join(
+        _per_salt(known.withColumn("wanted", F.col("known_instance"))), ["wanted", "salt"], "left"
     )
     faults = [
         ("blank name", F.trim(F.coalesce("name", F.lit(""))) == "", F.lit("")),
@@ -93,10 +102,9 @@ def audit_mappings(declared: DataFrame, sources: DataFrame) -> DataFrame:
         F.col("n").cast("string").alias("detail"),
     )
     # One row per source after combining; a source that many topics share stays one counter.
+    reading = rows.where(F.col("instance").isNotNull()).select("name", "source_ref", "salt")
     shared = (
-        _repeated(rows.where(F.col("instance").isNotNull()), "source_ref")
-        .join(rows.select("name", "source_ref", "instance"), "source_ref")
-        .where(F.col("instance").isNotNull())
+        reading.join(_per_salt(_repeated(reading, "source_ref")), ["source_ref", "salt"])
         .select(
             "name",
             F.lit("source feeds several destinations").alias("violation"),
@@ -108,3 +116,13 @@ def audit_mappings(declared: DataFrame, sources: DataFrame) -> DataFrame:
 
 def _repeated(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def _salted(rows: DataFrame) -> DataFrame:
+    salt = F.pmod(F.xxhash64("name", "source_ref"), F.lit(SALTS)).cast("int")
+    return rows.withColumn("salt", salt)
+
+
+def _per_salt(small: DataFrame) -> DataFrame:
+    """Every row once for each salt: one row per source times ``SALTS``."""
+    return small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

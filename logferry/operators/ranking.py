@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logferry.operators.small import LOCAL_ROWS, checked_broadcast, local_table
+from logferry.operators.small import checked_broadcast, local_table
 
 RANK_CHUNK = 65_536
 
@@ -89,8 +89,7 @@ def renumber(
         ({"partition": p, "shift": s} for p, s in shifts.items()),
         ["partition", "shift"],
     )
-    if len(shifts) <= LOCAL_ROWS:
-        table = F.broadcast(table)
+    # Spark knows the exact size of this table and chooses the join by it.
     return numbered.join(table, "partition").select(
         "partition", (F.col(position) + F.col("shift")).alias(to), *rest
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 
@@ -44,16 +44,21 @@ def restore_all(
     for m in clones:
         source, topic = _source(m, sources)
         ends[m["name"]] = source.topic(topic).bounds()
-    reconcile(dest, sources, mappings, force)
+    reconcile(dest, sources, mappings, force, parallel)
 
     def advance(m) -> None:
         source, topic = _source(m, sources)
         clone(source, topic, dest, m["name"], ends[m["name"]])
 
-    # Each copy is a distributed job of its own; the threads only submit them.
+    _at_once(advance, clones, parallel)
+
+
+def _at_once(job: Callable, rows: list, parallel: int) -> None:
+    """``job`` of every row, ``parallel`` at a time; the first failure cancels those that wait."""
+    # Each is a distributed job of its own; the threads only submit them.
     with ThreadPoolExecutor(parallel) as pool:
         try:
-            for result in as_completed([pool.submit(advance, m) for m in clones]):
+            for result in as_completed([pool.submit(job, r) for r in rows]):
                 result.result()
         except BaseException:
             pool.shutdown(cancel_futures=True)
@@ -68,6 +73,8 @@ class Copy:
     query: StreamingQuery
     # Next source offset per partition of a stream, which saves no progress.
     positions: dict[int, int]
+    # Whether the query ends by itself when it has reached the present end.
+    bounded: bool = False
 
 
 def run(
@@ -100,28 +107,37 @@ def run(
                 query = forward(
                     source, topic, dest, name, place, positions=positions, **timing
                 )
-            started.append(Copy(name, query, positions))
+            started.append(Copy(name, query, positions, available_now))
     except BaseException:
         _stop([c.query for c in started])
         raise
     return started
 
 
-def finish(started: list[StreamingQuery]) -> None:
-    """Wait until all queries end. The first failure stops the others and is raised."""
+class EndedEarly(RuntimeError):
+    """A copy that should run on has ended without an error."""
+
+
+def finish(started: list[StreamingQuery], endless: Iterable[StreamingQuery] = ()) -> None:
+    """Wait until all queries end. The first failure stops the others and is raised; so does the end,
+    even without an error, of one of ``endless``."""
+    running_on = {q.id for q in endless}
     waiting = list(started)
     try:
         while waiting:
             for query in [q for q in waiting if not q.isActive]:
                 query.awaitTermination()  # raises what ended it
                 waiting.remove(query)
+                if query.id in running_on:
+                    raise EndedEarly(f"{query.name} ended although it should run on")
             time.sleep(0.2)
     finally:
         _stop(started)
 
 
 def finish_copies(started: list[Copy]) -> None:
-    finish([c.query for c in started])
+    """Wait for the copies of ``run``: until all are done if they are bounded, else until one ends."""
+    finish([c.query for c in started], [c.query for c in started if not c.bounded])
 
 
 def status(dest: Cluster, started: list[Copy]) -> DataFrame:
@@ -195,9 +211,14 @@ def _source_topics(mappings: DataFrame, sources: Mapping[str, Cluster]) -> DataF
 
 
 def reconcile(
-    dest: Cluster, sources: Mapping[str, Cluster], mappings: DataFrame, force: bool = False
+    dest: Cluster,
+    sources: Mapping[str, Cluster],
+    mappings: DataFrame,
+    force: bool = False,
+    parallel: int = 4,
 ) -> DataFrame:
-    """Bring the destination topics into their declared shape; returns the actions taken.
+    """Bring the destination topics into their declared shape; returns the actions taken. Archives
+    are restored ``parallel`` at a time.
 
     All decisions are made, and refused if need be, before the first change. State rows go before
     the catalog changes, so a crash in between leaves topics that are not trusted, never state that
@@ -245,14 +266,16 @@ def reconcile(
                 topics.apply_to_state(saved, actions, dest.cluster_id), dest.cluster_id, actions
             )
         )
-    _apply(dest, sources, actions)
+    _apply(dest, sources, actions, parallel)
     foreign = validate_sources(dest.progress.read().where(mine), identities).take(1)
     if foreign:
         raise RuntimeError(f"saved state of {foreign[0]['name']} belongs to another source")
     return actions
 
 
-def _apply(dest: Cluster, sources: Mapping[str, Cluster], actions: DataFrame) -> None:
+def _apply(
+    dest: Cluster, sources: Mapping[str, Cluster], actions: DataFrame, parallel: int
+) -> None:
     changed = actions.where(F.col("action") != "none").orderBy("name").collect()
     if not changed:
         return
@@ -271,5 +294,5 @@ def _apply(dest: Cluster, sources: Mapping[str, Cluster], actions: DataFrame) ->
             names_of = identity(dest, target, source, source.describe(topic))
             fresh = initial_progress(names_of, target["partitions"], dest.spark)
             save(dest.progress, dest, row["name"], fresh)
-        if row["mode"] == "restore":
-            restore(dest, row["name"], row["archive"])
+    restores = [r for r in changed if r["mode"] == "restore"]
+    _at_once(lambda r: restore(dest, r["name"], r["archive"]), restores, parallel)

@@ -16,7 +16,6 @@ from logferry.functions import normalize
 from logferry.operators.digest import FAN_IN, fingerprint, root_digest
 from logferry.schemas import ARCHIVE, ARCHIVE_COLUMNS, ARCHIVE_FORMAT
 from logferry.sources.files import AlreadyPublished, Files, fresh_name
-from logferry.sources.topic_log import ROWS_PER_SLAB
 
 
 class BrokenArchive(ValueError):
@@ -84,8 +83,8 @@ def write_archive(
 ) -> dict:
     """Write ``archive`` in order and publish it at once; returns the manifest.
 
-    Rows are laid out in slabs of consecutive positions, so each file covers a short range of one
-    partition and a large partition is written by many tasks. ``placed`` says that the rows already
+    Rows are laid out by ranges of (partition, seq), so each file covers one run of positions of one
+    partition, a large partition is written by many tasks, and files number at most tasks plus partitions. ``placed`` says that the rows already
     come in such runs, in order, and need neither a shuffle nor a sort. ``expected`` is the number of
     records that the source was counted to hold: another number is not published. A forced
     replacement that fails puts the old archive back.
@@ -96,8 +95,7 @@ def write_archive(
         raise AlreadyPublished(f"archive {path} already exists; pass force to replace it")
     rows = normalize(archive, "seq").select(*ARCHIVE_COLUMNS)
     if not placed:
-        slab = F.expr(f"seq div {ROWS_PER_SLAB}")
-        rows = rows.repartition("partition", slab).sortWithinPartitions("partition", "seq")
+        rows = rows.repartitionByRange("partition", "seq").sortWithinPartitions("partition", "seq")
     parent = path.rstrip("/").rsplit("/", 1)[0]
     staged = f"{parent}/staging-{fresh_name()}"
     try:

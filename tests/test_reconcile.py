@@ -180,8 +180,8 @@ def test_valid_declarations(spark):
         ("payments.v1.live", ["stream"], "primary:payments:v1", None, None, None, {}),
         ("orders.v1.restored", ["restore"], None, "orders", None, None, {}),
         ("again.restored", ["restore"], None, "orders", None, None, {}),
-        ("scratch.events", ["manage"], None, None, 3, None, None),
-        ("disposable.events", ["empty"], None, None, 3, None, {}),
+        ("supplier.notes", ["manage"], None, None, 3, None, None),
+        ("part.counts", ["empty"], None, None, 3, None, {}),
     ) == []
 
 

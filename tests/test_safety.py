@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from logferry.operators import records
 from logferry.operators.digest import fingerprint
+from logferry.plans.run import Copy, EndedEarly, finish_copies
 from logferry.plans.transfer import dump, restore
+from logferry.schemas import ARCHIVE, ARCHIVE_COLUMNS
 from logferry.sources.archive import BrokenArchive, read_archive, write_archive
 from logferry.sources.files import Files
 from logferry.sources.tables import SmallTable
@@ -95,3 +97,31 @@ def test_fingerprints_shuffle_no_payload(spark, inputs):
     ranked = plan[: plan.index("Window")]
     assert not any(name in ranked for name in ("headers#", "value#", "timestamp_ms#"))
     assert prints.collect() == fingerprint(records.to_archive(inputs.events_log()), 4).collect()
+
+
+def test_every_archive_file_covers_one_run_of_positions(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr(
+        "cast(id % 3 as int) AS partition", "id div 3 AS seq", "cast(null as bigint) AS timestamp_ms",
+        "cast(null as binary) AS key", "encode(cast(id as string), 'UTF-8') AS value",
+    )
+    for name, kind in ((f.name, f.dataType.simpleString()) for f in spark.createDataFrame([], ARCHIVE).schema):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.expr(f"cast(null as {kind})"))
+    path = str(tmp_path / "ranges")
+    write_archive(rows.select(*ARCHIVE_COLUMNS).repartition(7), path, 3)
+    files = spark.read.parquet(path).groupBy("partition", F.input_file_name().alias("file"))
+    runs = files.agg(F.min("seq").alias("low"), F.max("seq").alias("top"), F.count("*").alias("n")).collect()
+    assert all(r["top"] - r["low"] + 1 == r["n"] for r in runs)
+    assert len(runs) <= 3 + int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_clean_end_of_an_endless_copy_is_a_failure():
+    class Ended:
+        id, name, isActive = "q", "clone t", False
+
+        def awaitTermination(self):
+            return True
+
+    with pytest.raises(EndedEarly):
+        finish_copies([Copy("t", Ended(), {})])
+    finish_copies([Copy("t", Ended(), {}, bounded=True)])
