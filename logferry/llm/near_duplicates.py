@@ -83,7 +83,11 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each node, chunk and choice of left-out positions."""
+    """One row for each node, chunk and choice of left-out positions.
+
+    The slot is one hash of that choice and its key: equal keys always meet, and unequal ones that share a
+    slot only give candidates, which are confirmed or not.
+    """
     kept = list(combinations(range(SPAN), SPAN - ERRORS))
     for batch in batches:
         for start in range(0, batch.num_rows, 2000):
@@ -93,15 +97,9 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = [np.ascontiguousarray(signs[:, :, list(k)]).view("<i8").reshape(n, CHUNKS) for k in kept]
             keys = np.stack(keys, axis=2).reshape(n, -1)
             width = keys.shape[1]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.tile(np.arange(width, dtype=np.int16), n)),
-                    pa.array(keys.ravel()),
-                    pa.array(np.repeat(column(part, "node").to_numpy(), width)),
-                    pa.array(np.repeat(column(part, "n_shingles").to_numpy(), width)),
-                ],
-                ["variant", "key", "node", "size"],
-            )
+            variants = mixed(np.arange(1, width + 1, dtype=np.uint64))
+            slots = mixed(keys.view(np.uint64) * _BASE + variants).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(slots.ravel()), pa.array(np.repeat(column(part, "node").to_numpy(), width))], ["slot", "node"])
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,11 +175,10 @@ def _sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    signs = nodes.select("node", "signature")
-    likely = written(
-        pairs.join(signs.toDF("a", "sign_a"), "a").join(signs.toDF("b", "sign_b"), "b").mapInArrow(_alike, "a long, b long"),
-        "likely",
-    )
+    signs = nodes.select("node", "n_shingles", "signature")
+    fitting = f"100 * least(size_a, size_b) >= {PERCENT} * greatest(size_a, size_b)"
+    both = pairs.join(signs.toDF("a", "size_a", "sign_a"), "a").join(signs.toDF("b", "size_b", "sign_b"), "b").where(fitting)
+    likely = written(both.mapInArrow(_alike, "a long, b long"), "likely")
     sets = _sets_of(likely.select(F.col("a").alias("node")).union(likely.select("b")), docs)
     return written(
         likely.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b").mapInArrow(_confirmed, "a long, b long").distinct(),
@@ -190,20 +187,20 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _links_across(placed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links between components among nodes that share a bucket; ``placed`` has variant, key, node, size, component."""
+    """Links between components among nodes that share a bucket; ``placed`` has slot, node, component."""
     commonest = (
-        placed.groupBy("variant", "key", "component")
+        placed.groupBy("slot", "component")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("variant", "key")
-        .agg(F.max_by("component", F.expr("shiftleft(n, 32) | (xxhash64(component, variant, key) & 4294967295L)")).alias("family"), F.count(F.lit(1)).alias("components"))
+        .groupBy("slot")
+        .agg(F.max_by("component", F.expr("shiftleft(n, 32) | (xxhash64(component, slot) & 4294967295L)")).alias("family"), F.count(F.lit(1)).alias("components"))
         .where("components > 1")
         .drop("components")
     )
-    families = written(placed.join(commonest, ["variant", "key"]).select("family", "node", "size", "component").distinct(), "families")
+    families = written(placed.join(commonest, "slot").select("family", "node", "component").distinct(), "families")
     tiles = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     rows = (
         families.join(tiles, "family")
-        .join(nodes.select("node", "signature"), "node")
+        .join(nodes.select("node", F.col("n_shingles").alias("size"), "signature"), "node")
         .withColumn("tile", F.pmod(F.xxhash64("node", "family"), F.col("tiles")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     )
@@ -247,28 +244,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")),
         "classes",
     )
-    keys = classes.select("node", "n_shingles", "signature").mapInArrow(_keyed, "variant short, key long, node long, size long")
+    keys = classes.select("node", "signature").mapInArrow(_keyed, "slot long, node long")
     # Few orders for all buckets: a node's buckets then mostly draw the same members, so fewer pairs are tried.
-    rank = F.xxhash64("node", F.col("variant") % ORDERS)
+    rank = F.xxhash64("node", F.pmod("slot", F.lit(ORDERS)))
     buckets = (
-        keys.groupBy("variant", "key")
-        .agg(F.count(F.lit(1)).alias("members"), F.min_by("node", rank).alias("drawn"), F.min_by("size", rank).alias("drawn_size"))
+        keys.groupBy("slot")
+        .agg(F.count(F.lit(1)).alias("members"), F.min_by("node", rank).alias("drawn"))
         .where("members > 1")
         .drop("members")
     )
-    members = written(keys.join(buckets, ["variant", "key"]), "members")
-
-    def fitting(a: str, b: str) -> str:
-        return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
+    members = written(keys.join(buckets, "slot"), "members")
 
     def ordered(a: str, b: str) -> list:
         return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
-    first = members.where("node <> drawn").where(fitting("size", "drawn_size")).select(*ordered("node", "drawn")).distinct()
+    first = members.where("node <> drawn").select(*ordered("node", "drawn")).distinct()
     links = _links(first, classes, docs)
     found = components(links)
 
-    placed = written(members.join(found, "node", "left").select("variant", "key", "node", "size", F.coalesce("component", "node").alias("component")), "placed")
+    placed = written(members.join(found, "node", "left").select("slot", "node", F.coalesce("component", "node").alias("component")), "placed")
     links = links.union(_links_across(placed, classes, docs))
     labels = components(links)
     linked = classes.join(labels, "node", "left").select("set_digest", F.coalesce("component", "node").alias("component"))
