@@ -38,6 +38,8 @@ MOST_DIFFERENT = 38
 PERCENT = 75
 #: Nodes of a family in a tile, about.
 TILE = 128
+#: Bits of the filter that is broadcast before texts are joined with the nodes that need them: 8 MB.
+FILTER_BITS = 1 << 26
 #: Orders by which buckets draw a member.
 ORDERS = 4
 
@@ -168,9 +170,24 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in links], pa.int64()) for k in range(2)], ["a", "b"])
 
 
+def _perhaps_in(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id may be among ``nodes``, and all of those that are.
+
+    The broadcast side is a bitmap of ``FILTER_BITS`` bits in pages of 4 KB, whatever the number of nodes.
+    """
+    filtered = nodes.select((F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)) + 1).alias("bit"))
+    pages = filtered.groupBy(F.bitmap_bucket_number("bit").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    placed = docs.withColumn("bit", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1)
+    found = placed.join(F.broadcast(pages), F.bitmap_bucket_number("bit") == F.col("page"))
+    place = found.withColumn("place", F.bitmap_bit_position("bit").cast("int"))
+    byte = "CAST(conv(hex(substring(bits, place DIV 8 + 1, 1)), 16, 10) AS INT)"
+    return place.where(f"shiftright({byte}, place % 8) & 1 = 1").select(*docs.columns)
+
+
 def _sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``(node, shingles)`` of the distinct ``nodes``, from their texts."""
-    return docs.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
+    """``(node, shingles)`` of the distinct ``nodes``, from their texts; few other texts are shuffled."""
+    nodes = nodes.select("node").distinct()
+    return _perhaps_in(docs, nodes).join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
