@@ -104,6 +104,33 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(slots.ravel()), pa.array(np.repeat(column(part, "node").to_numpy(), width))], ["slot", "node"])
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by slot, those whose slot occurs more than once, and the first and the last slot.
+
+    A slot may go on in the partitions beside this one, so what stands at an end is kept.
+    """
+    held: pa.RecordBatch | None = None  # the last row so far, which waits for the one after it
+    before: int | None = None  # the slot of the row before it
+
+    def kept(rows: pa.RecordBatch, following: int | None) -> pa.RecordBatch:
+        slots = column(rows, "slot").to_numpy()
+        same = slots[1:] == slots[:-1]
+        left = np.concatenate([[before is None or before == slots[0]], same])
+        right = np.concatenate([same, [following is None or following == slots[-1]]])
+        return rows.filter(pa.array(left | right))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        held, ready = rows.slice(rows.num_rows - 1), rows.slice(0, rows.num_rows - 1)
+        if ready.num_rows:
+            yield kept(ready, column(held, "slot")[0].as_py())
+            before = column(ready, "slot")[-1].as_py()
+    if held is not None:
+        yield kept(held, None)
+
+
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures differ in at most ``MOST_DIFFERENT`` positions."""
     for batch in batches:
@@ -261,7 +288,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")),
         "classes",
     )
-    keys = classes.select("node", "signature").mapInArrow(_keyed, "slot long, node long")
+    # Most slots occur once. Ranges of (slot, node) bring the others together, and split a slot of many nodes.
+    ranges = classes.select("node", "signature").mapInArrow(_keyed, "slot long, node long").repartitionByRange("slot", "node")
+    keys = written(ranges.sortWithinPartitions("slot").mapInArrow(_shared, "slot long, node long"), "shared")
     # Few orders for all buckets: a node's buckets then mostly draw the same members, so fewer pairs are tried.
     rank = F.xxhash64("node", F.pmod("slot", F.lit(ORDERS)))
     buckets = (

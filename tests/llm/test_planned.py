@@ -7,11 +7,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from checks.compare import database
 from logferry.llm import decontamination, fingerprints, mixing, near_duplicates
+from logferry.llm.arrays import column
 from tests.conftest import FOLDER
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -195,3 +197,24 @@ def test_contaminated_reordered_and_odd(spark, odd):
     assert got == [(0, 1, 5, 5), (50, 1, 12, 12)]
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
     assert decontamination.contaminated(docs.limit(0), bench).count() == 0
+
+
+def test_shared_slots_of_sorted_rows_in_any_batches():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        slots = np.sort(rng.integers(0, 40, 30))
+        table = pa.table({"slot": pa.array(slots, pa.int64()), "node": pa.array(np.arange(30), pa.int64())})
+        batches = [b for k in range(0, 30, 4) for b in table.slice(k, 4).to_batches()]
+        found = [n for b in near_duplicates._shared(iter(batches)) for n in column(b, "node").to_pylist()]
+        wanted = [n for n, s in enumerate(slots) if (slots == s).sum() > 1 or s in (slots[0], slots[-1])]
+        assert found == wanted
+    assert not list(near_duplicates._shared(iter([])))
+
+
+def test_filter_before_the_sets_loses_no_node(spark):
+    docs = spark.range(-50, 5000).selectExpr("id AS doc_id", "'x' AS text").union(spark.sql("SELECT CAST(null AS BIGINT), 'x'"))
+    nodes = spark.range(-50, 5000, 7).selectExpr("id AS node")
+    found = near_duplicates._perhaps_in(docs, nodes)
+    assert found.join(nodes, found.doc_id == nodes.node).count() == nodes.count()
+    assert found.count() < 800
+    assert near_duplicates._perhaps_in(docs, nodes.limit(0)).count() == 0
