@@ -213,8 +213,9 @@ def _perhaps_in(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """``(node, shingles)`` of the distinct ``nodes``, from their texts; few other texts are shuffled."""
+    # An inner join, as Spark would move a semi join below the filter's join, to all the texts.
     nodes = nodes.select("node").distinct()
-    return _perhaps_in(docs, nodes).join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
+    return _perhaps_in(docs, nodes).join(nodes.withColumnRenamed("node", "doc_id"), "doc_id").select("doc_id", "text").mapInArrow(_sets, "node long, shingles binary")
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
