@@ -46,7 +46,8 @@ LEAST_PAGES = 4
 ROOT_SHARE = 0.8
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<|[^<]+", re.S)
-_NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NAMING = {"class", "id", "role", "hidden", "aria-hidden"}
 _SPLIT = re.compile(r"[^a-z]+")
 
 
@@ -100,21 +101,25 @@ def events(page: str) -> Iterator[tuple]:
         yield "close", stack.pop()
 
 
-def _names(attributes: str) -> tuple[str, bool]:
-    """First name in class or id, and whether a name says that this is no main text."""
-    if not attributes:
-        return "", False
+def _label(tag: str, attributes: str) -> tuple[str, bool]:
+    """Tag with the first name in class, id or role, and whether a name says that this is no main text.
+
+    Such elements have labels of their own, so they are not merged with siblings that are shown.
+    """
     first, dropped = "", False
-    for m in _NAMES.finditer(attributes):
-        value = (m.group(2) or m.group(3) or m.group(4) or "").lower()
+    for m in _ATTRIBUTE.finditer(attributes):
         kind = m.group(1).lower()
-        if kind == "hidden" or (kind == "aria-hidden" and value == "true"):
-            dropped = True
+        if kind not in _NAMING:
+            continue
+        value = (m.group(2) or m.group(3) or m.group(4) or "").lower()
+        if kind == "hidden" or kind == "aria-hidden":
+            dropped = dropped or kind == "hidden" or value == "true"
+            continue
         for name in value.split():
             first = first or re.sub(r"\d+", "", name)
             words = [w for w in _SPLIT.split(name) if w]
             dropped = dropped or bool(words) and (words[0] in DROPPED_WORDS or words[-1] in DROPPED_WORDS)
-    return first, dropped
+    return (f"{tag}.{first}" if first else tag) + ("!" if dropped else ""), dropped
 
 
 class Node:
@@ -137,8 +142,7 @@ def tree(page: str) -> Node:
             tag = event[1]
             inline.append(tag in INLINE)
             if tag not in INLINE:
-                name, dropped = _names(event[2])
-                label = f"{tag}.{name}" if name else tag
+                label, dropped = _label(tag, event[2])
                 node = path[-1].children.get(label)
                 if node is None:
                     node = path[-1].children[label] = Node(label, dropped or tag in DROPPED or path[-1].dropped)
@@ -228,7 +232,7 @@ def wrapper(shape: list, varying: dict[str, int], constant: set[str]) -> tuple[l
         if node[1]:
             dropped.append(at)
             return 0
-        tag = node[0].split(".")[0]
+        tag = re.split("[.!]", node[0])[0]
         if tag in found and not any(at.startswith(f"{p}/") for p in found[tag]):
             found[tag].append(at)
         return (0 if at in constant else varying.get(at, 0)) + sum(look(c, f"{at}/{c[0]}") for c in node[2])
@@ -265,8 +269,7 @@ def main_text(page: str, roots: list[str], dropped: list[str]) -> str:
             tag = event[1]
             inline.append(tag in INLINE)
             if tag not in INLINE:
-                name, _ = _names(event[2])
-                path.append(f"{path[-1]}/{tag}.{name}" if name else f"{path[-1]}/{tag}")
+                path.append(f"{path[-1]}/{_label(tag, event[2])[0]}")
                 inside += path[-1] in keep
                 outside += path[-1] in drop
                 parts.append(" ")

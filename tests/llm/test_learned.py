@@ -160,6 +160,21 @@ def test_pages(spark):
     assert pages.main_texts(empty).count() == 0
 
 
+def texts_of(spark, rows):
+    """Main text by page_id; a page is its host and its markup."""
+    frame = spark.createDataFrame([(k, f"http://{host}/{k}", html) for k, (host, html) in enumerate(rows)], "page_id long, url string, html string")
+    return [r.text for r in sorted(pages.main_texts(frame).collect(), key=lambda r: r.page_id)]
+
+
+def test_pages_with_names_in_other_attributes(spark):
+    shown = ['style="overflow:hidden"', 'data-hidden="false"', 'title="a hidden gem"', "data-id=comments", 'data-role="nav"', 'aria-hidden="false"']
+    gone = ["hidden", 'hidden=""', "aria-hidden='true'", 'role="nav"', "id=comments", 'data-x="1" class="x comments"', "CLASS=menu"]
+    rows = [(f"{k}.example", f"<article {a}><div>Text</div></article>") for k, a in enumerate(shown)]
+    rows += [(f"g{k}.example", f"<article><div {a}>no</div><div>yes</div></article>") for k, a in enumerate(gone)]
+    rows += [("h.example", '<article><div class="tab hidden">no</div><div class="tab">yes</div></article>')]
+    assert texts_of(spark, rows) == ["Text"] * len(shown) + ["yes"] * (len(gone) + 1)
+
+
 def test_tree_matching():
     a = ["r", False, [["x", False, []], ["y", False, [["z", False, []]]], ["w", False, []]]]
     b = ["r", False, [["y", False, [["z", False, []]]], ["x", False, []], ["w", False, []]]]
