@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,16 +123,21 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
     return (f"{tag}.{first}" if first else tag) + ("!" if dropped else ""), dropped
 
 
+def _below(at: int, label: str) -> int:
+    """The id of the slot of this label below the slot ``at``; the root is 0. Ids do not grow with depth."""
+    return xxhash.xxh64_intdigest(label.encode(), at) >> 1
+
+
 class Node:
-    def __init__(self, label: str, dropped: bool):
-        self.label, self.dropped = label, dropped
+    def __init__(self, label: str, dropped: bool, depth: int, at: int):
+        self.label, self.dropped, self.depth, self.at = label, dropped, depth, at
         self.children: dict[str, Node] = {}
         self.text: list[str] = []
 
 
-def tree(page: str) -> Node:
-    """Block elements of a page, siblings of one label merged, with the text that lies right in them."""
-    root = Node("", False)
+def tree(page: str) -> list[Node]:
+    """Block elements of a page in preorder, siblings of one label merged, with the text that lies right in them."""
+    root = Node("", False, 0, 0)
     path = [root]
     inline: list[bool] = []
     for event in events(page):
@@ -143,46 +149,112 @@ def tree(page: str) -> Node:
             inline.append(tag in INLINE)
             if tag not in INLINE:
                 label, dropped = _label(tag, event[2])
-                node = path[-1].children.get(label)
+                up = path[-1]
+                node = up.children.get(label)
                 if node is None:
-                    node = path[-1].children[label] = Node(label, dropped or tag in DROPPED or path[-1].dropped)
+                    node = up.children[label] = Node(label, dropped or tag in DROPPED or up.dropped, up.depth + 1, _below(up.at, label))
                 path.append(node)
         elif kind == "close" and inline and not inline.pop():
             path.pop()
-    return root
-
-
-def skeleton(node: Node) -> list:
-    return [node.label, node.dropped, [skeleton(c) for c in node.children.values()]]
-
-
-def slots(node: Node, at: str = "") -> Iterator[tuple[str, str]]:
-    """Path and own text of every node that has text."""
-    text = " ".join("".join(node.text).split())
-    if text:
-        yield at, text
-    for child in node.children.values():
-        yield from slots(child, f"{at}/{child.label}")
+    nodes, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        nodes.append(node)
+        todo += reversed(node.children.values())
+    return nodes
+
+
+def skeleton(nodes: list[Node]) -> list:
+    """Depth, label and whether it is dropped, of every node in preorder: flat, whatever the depth."""
+    return [[n.depth, n.label, n.dropped] for n in nodes]
+
+
+def slots(nodes: list[Node]) -> Iterator[tuple[int, str]]:
+    """Slot and own text of every node that has text."""
+    for node in nodes:
+        text = " ".join("".join(node.text).split())
+        if text:
+            yield node.at, text
+
+
+def _parents(shape: list) -> list[int]:
+    """Position of each node's parent in a skeleton; the root's is -1."""
+    out, path = [], []
+    for k, (depth, _, _) in enumerate(shape):
+        del path[depth:]
+        out.append(path[-1] if path else -1)
+        path.append(k)
+    return out
+
+
+def _ids(shape: list, parents: list[int]) -> list[int]:
+    out = [0]
+    for (_, label, _), up in zip(shape[1:], parents[1:], strict=True):
+        out.append(_below(out[up], label))
+    return out
+
+
+def _matches(x: list, y: list) -> tuple[int, list[tuple[int, int]]]:
+    """Simple tree matching of two flat skeletons: size of the best order-preserving match, and its positions."""
+    if x[0][1] != y[0][1]:
+        return 0, []
+    below: list[list[list[int]]] = []
+    for shape in (x, y):
+        below.append([[] for _ in shape])
+        for k, up in enumerate(_parents(shape)):
+            if up >= 0:
+                below[-1][up].append(k)
+    # Pairs of nodes whose ancestors have equal labels too, parents before children.
+    order, todo = [], [(0, 0)]
+    kids: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+    while todo:
+        pair = todo.pop()
+        order.append(pair)
+        ours, theirs = below[0][pair[0]], below[1][pair[1]]
+        both = {x[c][1] for c in ours} & {y[d][1] for d in theirs}
+        kids[pair] = [c for c in ours if x[c][1] in both], [d for d in theirs if y[d][1] in both]
+        todo += [(c, d) for c in kids[pair][0] for d in kids[pair][1] if x[c][1] == y[d][1]]
+    size: dict[tuple[int, int], int] = {}
+    tables: dict[tuple[int, int], list[list[int]]] = {}
+    for pair in reversed(order):
+        ours, theirs = kids[pair]
+        best = [[0] * (len(theirs) + 1) for _ in range(len(ours) + 1)]
+        for i, c in enumerate(ours, 1):
+            for j, d in enumerate(theirs, 1):
+                best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + size.get((c, d), 0))
+        tables[pair], size[pair] = best, best[-1][-1] + 1
+    pairs, todo = [], [(0, 0)]
+    while todo:
+        pair = todo.pop()
+        pairs.append(pair)
+        (ours, theirs), best = kids[pair], tables[pair]
+        i, j = len(ours), len(theirs)
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                todo.append((ours[i], theirs[j]))
+    return size[0, 0], pairs
 
 
 def matched(a: list, b: list) -> tuple[int, dict[str, str]]:
-    """Simple tree matching of two skeletons: size of the best order-preserving match, and its path pairs."""
-
-    def match(x: list, y: list, at_x: str, at_y: str) -> tuple[int, dict[str, str]]:
-        if x[0] != y[0]:
-            return 0, {}
-        rows, cols = len(x[2]), len(y[2])
-        best: list[list[tuple[int, dict]]] = [[(0, {}) for _ in range(cols + 1)] for _ in range(rows + 1)]
-        for i in range(1, rows + 1):
-            for j in range(1, cols + 1):
-                c, d = x[2][i - 1], y[2][j - 1]
-                n, pairs = match(c, d, f"{at_x}/{c[0]}", f"{at_y}/{d[0]}")
-                both = (best[i - 1][j - 1][0] + n, best[i - 1][j - 1][1] | pairs)
-                best[i][j] = max(best[i - 1][j], best[i][j - 1], both, key=lambda v: v[0])
-        n, pairs = best[rows][cols]
-        return n + 1, {at_x: at_y} | pairs
-
-    return match(a, b, "", "")
+    """Simple tree matching of two nested skeletons: size of the best order-preserving match, and its path pairs."""
+    flat: list[list] = []
+    paths: list[list[str]] = []
+    for nested in (a, b):
+        flat.append([])
+        paths.append([])
+        todo = [(0, nested, "")]
+        while todo:
+            depth, (label, dropped, children), at = todo.pop()
+            flat[-1].append([depth, label, dropped])
+            paths[-1].append(at)
+            todo += [(depth + 1, c, f"{at}/{c[0]}") for c in reversed(children)]
+    size, pairs = _matches(*flat)
+    return size, {paths[0][k]: paths[1][n] for k, n in pairs}
 
 
 def host_of(url: Column) -> Column:
@@ -195,68 +267,71 @@ def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches, "html"):
         rows: list[tuple] = []
         for host, page in zip(column(piece, "host").to_pylist(), column(piece, "html").to_pylist(), strict=True):
-            root = tree(page or "")
-            shape = json.dumps(skeleton(root))
-            rows.append((host, shape, None, None, 0))
-            for path, text in slots(root):
-                rows.append((host, shape, path, int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True), len(text)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))], ["host", "shape", "slot", "text_hash", "chars"]
-        )
+            nodes = tree(page or "")
+            shape = json.dumps(skeleton(nodes))
+            key = _key(shape)
+            rows.append((host, key, shape, None, None, 0))
+            for at, text in slots(nodes):
+                rows.append((host, key, None, at, _key(text), len(text)))
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["host", "shape_key", "shape", "slot", "text_hash", "chars"])
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per slot of a skeleton: the slot of the host's reference that it matches, or its own path."""
+    """A row per slot of a skeleton: the slot of the host's reference that it matches, or one of its own."""
     for batch in batches:
-        out: list[tuple] = []
         for row in batch.to_pylist():
-            mine = json.loads(row["shape"])
-            pairs = matched(mine, json.loads(row["reference"]))[1]
-            todo = [("", mine)]
-            while todo:
-                at, node = todo.pop()
-                out.append((row["host"], row["shape"], at, pairs.get(at, f"?{at}")))
-                todo += [(f"{at}/{c[0]}", c) for c in node[2]]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.string()) for k in range(4)], ["host", "shape", "slot", "common"])
+            mine, other = json.loads(row["shape"]), json.loads(row["reference"])
+            ids, theirs = (_ids(s, _parents(s)) for s in (mine, other))
+            pairs = {ids[k]: theirs[n] for k, n in _matches(mine, other)[1]}
+            common = [pairs.get(at, _below(at, "?")) for at in ids]
+            n = len(ids)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["host"]] * n, pa.string()), pa.array([row["shape_key"]] * n, pa.int64()), pa.array(ids, pa.int64()), pa.array(common, pa.int64())], ["host", "shape_key", "slot", "common"]
+            )
 
 
-def wrapper(shape: list, varying: dict[str, int], constant: set[str]) -> tuple[list[str], list[str]]:
-    """Paths of the content roots of a skeleton, and paths below them to leave out.
+def wrapper(shape: list, varying: dict[int, int], constant: set[int]) -> tuple[list[int], list[int]]:
+    """Slots of a skeleton that are its content roots, and slots below them to leave out.
 
     Articles come first, then main elements; else it is the deepest node with nearly all varying text.
     Inside an article nothing is left out for being constant, as copies of a page repeat it too.
     """
-    dropped, found = [], {"article": [], "main": []}
-
-    def look(node: list, at: str) -> int:
-        if node[1]:
-            dropped.append(at)
-            return 0
-        tag = re.split("[.!]", node[0])[0]
-        if tag in found and not any(at.startswith(f"{p}/") for p in found[tag]):
-            found[tag].append(at)
-        return (0 if at in constant else varying.get(at, 0)) + sum(look(c, f"{at}/{c[0]}") for c in node[2])
-
-    total = look(shape, "")
+    parents = _parents(shape)
+    ids = _ids(shape, parents)
+    tags = [re.split("[.!]", label)[0] for _, label, _ in shape]
+    dropped = [at for k, at in enumerate(ids) if shape[k][2] and not (k and shape[parents[k]][2])]
+    sizes = [0 if node[2] or at in constant else varying.get(at, 0) for node, at in zip(shape, ids, strict=True)]
+    below: list[list[int]] = [[] for _ in shape]
+    for k in range(len(shape) - 1, 0, -1):
+        sizes[parents[k]] += sizes[k]
+        below[parents[k]].insert(0, k)
     for tag in ("article", "main"):
-        if found[tag]:
-            return found[tag], dropped
-    node, at = shape, ""
+        found: list[int] = []
+        inside = [False] * len(shape)
+        for k, up in enumerate(parents):
+            inside[k] = tags[k] == tag and not shape[k][2]
+            if up >= 0 and inside[up]:
+                inside[k] = True
+            elif inside[k]:
+                found.append(ids[k])
+        if found:
+            return found, dropped
+    k = 0
     while True:
-        below = [(look(c, f"{at}/{c[0]}"), c) for c in node[2]]
-        size, child = max(below, key=lambda v: v[0], default=(0, None))
-        if not total or child is None or size < ROOT_SHARE * total or child[0].split(".")[0] in TEXT_BLOCKS:
-            return [at], sorted({*dropped, *constant})
-        node, at = child, f"{at}/{child[0]}"
+        child = max(below[k], key=lambda c: sizes[c], default=None)
+        if not sizes[0] or child is None or sizes[child] < ROOT_SHARE * sizes[0] or tags[child] in TEXT_BLOCKS:
+            return [ids[k]], sorted({*dropped, *constant})
+        k = child
 
 
-def main_text(page: str, roots: list[str], dropped: list[str]) -> str:
-    """Text under the roots and outside the dropped paths; blocks are joined by one space."""
+def main_text(page: str, roots: list[int], dropped: list[int]) -> str:
+    """Text under the roots and outside the dropped slots; blocks are joined by one space."""
     keep, drop = set(roots), set(dropped)
     parts: list[str] = []
-    path = [""]
+    path = [0]
     inline: list[bool] = []
-    inside, outside = (1 if "" in keep else 0), (1 if "" in drop else 0)
+    inside, outside = (1 if 0 in keep else 0), (1 if 0 in drop else 0)
     for event in events(page):
         kind = event[0]
         if kind == "text":
@@ -269,7 +344,7 @@ def main_text(page: str, roots: list[str], dropped: list[str]) -> str:
             tag = event[1]
             inline.append(tag in INLINE)
             if tag not in INLINE:
-                path.append(f"{path[-1]}/{_label(tag, event[2])[0]}")
+                path.append(_below(path[-1], _label(tag, event[2])[0]))
                 inside += path[-1] in keep
                 outside += path[-1] in drop
                 parts.append(" ")
@@ -281,8 +356,8 @@ def main_text(page: str, roots: list[str], dropped: list[str]) -> str:
     return " ".join(entities.unescape("".join(parts)).split())
 
 
-def _key(shape: str) -> int:
-    return int.from_bytes(hashlib.blake2b(shape.encode(), digest_size=8).digest(), "little", signed=True)
+def _key(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
 def _shaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,8 +372,8 @@ def _wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
             varying = {s["slot"]: s["chars"] for s in row["slots"]}
             roots, dropped = wrapper(json.loads(row["shape"]), varying, {s["slot"] for s in row["slots"] if s["constant"]})
-            rows.append((row["host"], _key(row["shape"]), roots, dropped))
-        kinds = (pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()))
+            rows.append((row["host"], row["shape_key"], roots, dropped))
+        kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["host", "shape_key", "roots", "dropped"])
 
 
@@ -311,25 +386,24 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def wrappers(pages: DataFrame) -> DataFrame:
     """``(host, shape_key, roots, dropped)``, the wrapper of every skeleton of a host."""
     reduced = written(
-        pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_reduced, "host string, shape string, slot string, text_hash long, chars long")
-        .groupBy("host", "shape", "slot", "text_hash")
+        pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_reduced, "host string, shape_key long, shape string, slot long, text_hash long, chars long")
+        .groupBy("host", "shape_key", "shape", "slot", "text_hash")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars")),
         "slots",
     )
-    shapes = reduced.where("slot IS NULL").select("host", "shape", "n")
-    reference = shapes.groupBy("host").agg(F.max(F.struct("n", "shape")).alias("first"), F.sum("n").alias("pages")).select("host", "first.shape", "pages").withColumnRenamed("shape", "reference")
-    aligned = written(shapes.join(reference, "host").select("host", "shape", "reference").mapInArrow(_aligned, "host string, shape string, slot string, common string"), "aligned")
-    placed = reduced.where("slot IS NOT NULL").join(aligned, ["host", "shape", "slot"])
+    shapes = reduced.where("slot IS NULL").select("host", "shape_key", "shape", "n")
+    reference = shapes.groupBy("host").agg(F.max(F.struct("n", "shape")).alias("first")).select("host", F.col("first.shape").alias("reference"))
+    aligned = written(shapes.join(reference, "host").select("host", "shape_key", "shape", "reference").mapInArrow(_aligned, "host string, shape_key long, slot long, common long"), "aligned")
+    placed = reduced.where("slot IS NOT NULL").drop("shape").join(aligned, ["host", "shape_key", "slot"])
     common = (
         placed.groupBy("host", "common", "text_hash").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
         .groupBy("host", "common")
         .agg(F.sum("n").alias("pages"), F.max("n").alias("most"), F.sum("chars").alias("chars"))
         .withColumn("constant", (F.col("pages") >= LEAST_PAGES) & (F.col("most") >= CONSTANT_SHARE * F.col("pages")))
     )
-    known = aligned.join(common, ["host", "common"], "left").groupBy("host", "shape").agg(
-        F.collect_list(F.struct("slot", F.coalesce("chars", F.lit(0)).alias("chars"), F.coalesce("constant", F.lit(False)).alias("constant"))).alias("slots")
-    )
-    return written(known.mapInArrow(_wrapped, "host string, shape_key long, roots array<string>, dropped array<string>"), "wrappers")
+    known = aligned.join(common, ["host", "common"]).groupBy("host", "shape_key").agg(F.collect_list(F.struct("slot", "chars", "constant")).alias("slots"))
+    wrapped = shapes.join(known, ["host", "shape_key"], "left").select("host", "shape_key", "shape", F.coalesce("slots", F.array()).alias("slots"))
+    return written(wrapped.mapInArrow(_wrapped, "host string, shape_key long, roots array<long>, dropped array<long>"), "wrappers")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

@@ -175,6 +175,12 @@ def test_pages_with_names_in_other_attributes(spark):
     assert texts_of(spark, rows) == ["Text"] * len(shown) + ["yes"] * (len(gone) + 1)
 
 
+def test_pages_of_any_depth(spark):
+    deep = "<div>" * 5000 + "<p>Deep %d"
+    rows = [("d.example", deep % k) for k in range(5)] + [("d.example", "<ul>" * 3000 + "flat"), ("e.example", "<blockquote>" * 5000 + "quoted")]
+    assert texts_of(spark, rows) == [f"Deep {k}" for k in range(5)] + ["flat", "quoted"]
+
+
 def test_tree_matching():
     a = ["r", False, [["x", False, []], ["y", False, [["z", False, []]]], ["w", False, []]]]
     b = ["r", False, [["y", False, [["z", False, []]]], ["x", False, []], ["w", False, []]]]
