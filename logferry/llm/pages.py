@@ -2,8 +2,8 @@
 
 Each page's tree is reduced to a skeleton: its block elements, siblings of one label merged. Skeletons of
 a host are aligned with the host's most frequent one by simple tree matching, so a slot means the same
-node on all pages. Over all pages of the host, a slot whose pages repeat few texts is template, a slot
-whose text varies is content. The wrapper of a skeleton is its content root, the article element where
+node on all pages. Pages that say the same outside dropped elements count once. Over the host's pages, a
+slot whose pages repeat few texts is template, a slot whose text varies is content. The wrapper of a skeleton is its content root, the article element where
 there is one or else the deepest node that holds nearly all varying text, and the slots to leave out
 below it. Extraction reads each page once more and keeps what its wrapper keeps.
 """
@@ -14,7 +14,7 @@ import hashlib
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -40,7 +40,7 @@ DROPPED_WORDS = set(
     " footer form header hidden menu menubar modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promotion recommended"
     " related replies reply responses reviews search share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar topbar widget".split()
 )
-#: A slot is template if its commonest text is on this share of at least ``LEAST_PAGES`` pages of the host.
+#: A slot is template if its commonest text is on this share of at least ``LEAST_PAGES`` pages of the host that say different things.
 CONSTANT_SHARE = 0.5
 LEAST_PAGES = 4
 #: The content root holds at least this share of the varying text.
@@ -169,7 +169,7 @@ def skeleton(nodes: list[Node]) -> list:
     return [[n.depth, n.label, n.dropped] for n in nodes]
 
 
-def slots(nodes: list[Node]) -> Iterator[tuple[int, str]]:
+def slots(nodes: Iterable[Node]) -> Iterator[tuple[int, str]]:
     """Slot and own text of every node that has text."""
     for node in nodes:
         text = " ".join("".join(node.text).split())
@@ -263,18 +263,19 @@ def host_of(url: Column) -> Column:
 
 
 def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per page and slot with text: hash and size of the text."""
+    """A row per page and slot with text: hash of what the page says outside dropped elements, hash and size of the slot's text."""
     for piece in pieces(batches, "html"):
         rows: list[tuple] = []
         for host, page in zip(column(piece, "host").to_pylist(), column(piece, "html").to_pylist(), strict=True):
             nodes = tree(page or "")
             shape = json.dumps(skeleton(nodes))
             key = _key(shape)
-            rows.append((host, key, shape, None, None, 0))
-            for at, text in slots(nodes):
-                rows.append((host, key, None, at, _key(text), len(text)))
-        kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["host", "shape_key", "shape", "slot", "text_hash", "chars"])
+            found = [(at, _key(text), len(text)) for at, text in slots(n for n in nodes if not n.dropped)]
+            content = _key(json.dumps([f[:2] for f in found]))
+            rows.append((host, content, key, shape, None, None, 0))
+            rows += [(host, content, key, None, *f) for f in found]
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["host", "content", "shape_key", "shape", "slot", "text_hash", "chars"])
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +321,7 @@ def wrapper(shape: list, varying: dict[int, int], constant: set[int]) -> tuple[l
     k = 0
     while True:
         child = max(below[k], key=lambda c: sizes[c], default=None)
-        if not sizes[0] or child is None or sizes[child] < ROOT_SHARE * sizes[0] or tags[child] in TEXT_BLOCKS:
+        if child is None or not sizes[0] or sizes[child] < ROOT_SHARE * sizes[0] or tags[child] in TEXT_BLOCKS:
             return [ids[k]], sorted({*dropped, *constant})
         k = child
 
@@ -386,7 +387,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def wrappers(pages: DataFrame) -> DataFrame:
     """``(host, shape_key, roots, dropped)``, the wrapper of every skeleton of a host."""
     reduced = written(
-        pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_reduced, "host string, shape_key long, shape string, slot long, text_hash long, chars long")
+        pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_reduced, "host string, content long, shape_key long, shape string, slot long, text_hash long, chars long")
+        # Copies of a page are one page: a text recurs only on pages that differ elsewhere.
+        .distinct()
         .groupBy("host", "shape_key", "shape", "slot", "text_hash")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars")),
         "slots",

@@ -175,6 +175,15 @@ def test_pages_with_names_in_other_attributes(spark):
     assert texts_of(spark, rows) == ["Text"] * len(shown) + ["yes"] * (len(gone) + 1)
 
 
+def test_copies_of_pages_without_article(spark):
+    page = '<body><div class="ad">%s</div><div class="top">Our shop</div><div class="story"><h1>%s</h1><p>%s says something</div></body>'
+    rows = [("one.example", page % (k, "Same", "same")) for k in range(4)]
+    rows += [("half.example", page % (k, "Copy", "copy")) for k in range(6)] + [("half.example", page % (k, f"Title {k}", f"text {k}")) for k in range(5)]
+    got = texts_of(spark, rows)
+    assert got[:4] == ["Our shop Same same says something"] * 4
+    assert got[4:] == ["Copy copy says something"] * 6 + [f"Title {k} text {k} says something" for k in range(5)]
+
+
 def test_pages_of_any_depth(spark):
     deep = "<div>" * 5000 + "<p>Deep %d"
     rows = [("d.example", deep % k) for k in range(5)] + [("d.example", "<ul>" * 3000 + "flat"), ("e.example", "<blockquote>" * 5000 + "quoted")]
