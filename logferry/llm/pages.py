@@ -3,9 +3,10 @@
 Each page's tree is reduced to a skeleton: its block elements, siblings of one label merged. Skeletons of
 a host are aligned with the host's most frequent one by simple tree matching, so a slot means the same
 node on all pages. Pages that say the same outside dropped elements count once. Over the host's pages, a
-slot whose pages repeat few texts is template, a slot whose text varies is content. The wrapper of a skeleton is its content root, the article element where
-there is one or else the deepest node that holds nearly all varying text, and the slots to leave out
-below it. Extraction reads each page once more and keeps what its wrapper keeps.
+slot whose pages repeat few texts is template, a slot whose text varies is content. The wrapper of a
+skeleton is its content root, the deepest node that holds nearly all varying text, and the texts of template
+slots below it. Article and main elements only decide between nodes that hold as much, and on hosts with too
+few different pages. Extraction reads each page once more and keeps what its wrapper keeps.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ ENDS_P = set("address article aside blockquote details dialog div dl fieldset fi
 SELF_ENDING = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr"}, "th": {"tr"}, "option": {"select"}}
 #: Elements that are a piece of a text and not its whole.
 TEXT_BLOCKS = set("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figure figcaption ul ol dl".split())
-#: Elements, and words in class, id or role, that are never main text.
+#: Elements, and words in class, id or role, that are never main text, whatever the host's pages say.
 DROPPED = set("head nav header footer aside form button select dialog menu object canvas audio video input".split()) | RAW - {"title"} | {"title"}
 DROPPED_WORDS = set(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disclaimer discussion disqus feedback"
@@ -129,15 +130,15 @@ def _below(at: int, label: str) -> int:
 
 
 class Node:
-    def __init__(self, label: str, dropped: bool, depth: int, at: int):
-        self.label, self.dropped, self.depth, self.at = label, dropped, depth, at
+    def __init__(self, label: str, dropped: bool, depth: int, at: int, up: int):
+        self.label, self.dropped, self.depth, self.at, self.up = label, dropped, depth, at, up
         self.children: dict[str, Node] = {}
         self.text: list[str] = []
 
 
 def tree(page: str) -> list[Node]:
     """Block elements of a page in preorder, siblings of one label merged, with the text that lies right in them."""
-    root = Node("", False, 0, 0)
+    root = Node("", False, 0, 0, 0)
     path = [root]
     inline: list[bool] = []
     for event in events(page):
@@ -152,7 +153,7 @@ def tree(page: str) -> list[Node]:
                 up = path[-1]
                 node = up.children.get(label)
                 if node is None:
-                    node = up.children[label] = Node(label, dropped or tag in DROPPED or up.dropped, up.depth + 1, _below(up.at, label))
+                    node = up.children[label] = Node(label, dropped or tag in DROPPED or up.dropped, up.depth + 1, _below(up.at, label), up.at)
                 path.append(node)
         elif kind == "close" and inline and not inline.pop():
             path.pop()
@@ -165,8 +166,18 @@ def tree(page: str) -> list[Node]:
 
 
 def skeleton(nodes: list[Node]) -> list:
-    """Depth, label and whether it is dropped, of every node in preorder: flat, whatever the depth."""
-    return [[n.depth, n.label, n.dropped] for n in nodes]
+    """Depth and label of every node in preorder that is shown and has text in it: flat, whatever the depth.
+
+    Pages that say the same have one skeleton, whatever lies in dropped elements.
+    """
+    by_slot = {n.at: n for n in nodes}
+    kept = {0}
+    for node in nodes:
+        if not node.dropped and any(t.strip() for t in node.text):
+            while node.at not in kept:
+                kept.add(node.at)
+                node = by_slot[node.up]
+    return [[n.depth, n.label] for n in nodes if n.at in kept]
 
 
 def slots(nodes: Iterable[Node]) -> Iterator[tuple[int, str]]:
@@ -180,7 +191,7 @@ def slots(nodes: Iterable[Node]) -> Iterator[tuple[int, str]]:
 def _parents(shape: list) -> list[int]:
     """Position of each node's parent in a skeleton; the root's is -1."""
     out, path = [], []
-    for k, (depth, _, _) in enumerate(shape):
+    for k, (depth, _) in enumerate(shape):
         del path[depth:]
         out.append(path[-1] if path else -1)
         path.append(k)
@@ -189,7 +200,7 @@ def _parents(shape: list) -> list[int]:
 
 def _ids(shape: list, parents: list[int]) -> list[int]:
     out = [0]
-    for (_, label, _), up in zip(shape[1:], parents[1:], strict=True):
+    for (_, label), up in zip(shape[1:], parents[1:], strict=True):
         out.append(_below(out[up], label))
     return out
 
@@ -247,10 +258,10 @@ def matched(a: list, b: list) -> tuple[int, dict[str, str]]:
     for nested in (a, b):
         flat.append([])
         paths.append([])
-        todo = [(0, nested, "")]
+        todo: list[tuple] = [(0, nested, "")]
         while todo:
-            depth, (label, dropped, children), at = todo.pop()
-            flat[-1].append([depth, label, dropped])
+            depth, (label, _, children), at = todo.pop()
+            flat[-1].append([depth, label])
             paths[-1].append(at)
             todo += [(depth + 1, c, f"{at}/{c[0]}") for c in reversed(children)]
     size, pairs = _matches(*flat)
@@ -292,69 +303,78 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def wrapper(shape: list, varying: dict[int, int], constant: set[int]) -> tuple[list[int], list[int]]:
-    """Slots of a skeleton that are its content roots, and slots below them to leave out.
+def wrapper(shape: list, varying: dict[int, float], induced: bool) -> list[int]:
+    """Slots of a skeleton that are its content roots, by the varying text of its slots.
 
-    Articles come first, then main elements; else it is the deepest node with nearly all varying text.
-    Inside an article nothing is left out for being constant, as copies of a page repeat it too.
+    The root is the deepest node with nearly all varying text, or the article or else main element around it
+    that holds as much. Where nothing could be induced, which is where a host has too few different pages or
+    nothing varies, all articles are roots, or all main elements, or else the whole page.
     """
     parents = _parents(shape)
     ids = _ids(shape, parents)
-    tags = [re.split("[.!]", label)[0] for _, label, _ in shape]
-    dropped = [at for k, at in enumerate(ids) if shape[k][2] and not (k and shape[parents[k]][2])]
-    sizes = [0 if node[2] or at in constant else varying.get(at, 0) for node, at in zip(shape, ids, strict=True)]
-    below: list[list[int]] = [[] for _ in shape]
+    tags = [label.split(".")[0] for _, label in shape]
+    sizes = [varying.get(at, 0.0) for at in ids]
+    largest = [-1] * len(shape)
     for k in range(len(shape) - 1, 0, -1):
         sizes[parents[k]] += sizes[k]
-        below[parents[k]].insert(0, k)
+    for k in range(1, len(shape)):
+        if largest[parents[k]] < 0 or sizes[k] > sizes[largest[parents[k]]]:
+            largest[parents[k]] = k
+    if induced and sizes[0]:
+        path = [0]
+        while (k := largest[path[-1]]) >= 0 and sizes[k] >= ROOT_SHARE * sizes[0] and tags[k] not in TEXT_BLOCKS:
+            path.append(k)
+        return [ids[next((k for tag in ("article", "main") for k in path if tags[k] == tag), path[-1])]]
     for tag in ("article", "main"):
         found: list[int] = []
         inside = [False] * len(shape)
         for k, up in enumerate(parents):
-            inside[k] = tags[k] == tag and not shape[k][2]
             if up >= 0 and inside[up]:
                 inside[k] = True
-            elif inside[k]:
+            elif tags[k] == tag:
+                inside[k] = True
                 found.append(ids[k])
         if found:
-            return found, dropped
-    k = 0
-    while True:
-        child = max(below[k], key=lambda c: sizes[c], default=None)
-        if child is None or not sizes[0] or sizes[child] < ROOT_SHARE * sizes[0] or tags[child] in TEXT_BLOCKS:
-            return [ids[k]], sorted({*dropped, *constant})
-        k = child
-
-
-def main_text(page: str, roots: list[int], dropped: list[int]) -> str:
-    """Text under the roots and outside the dropped slots; blocks are joined by one space."""
-    keep, drop = set(roots), set(dropped)
-    parts: list[str] = []
-    path = [0]
+            return found
+    return [0]
+
+
+def main_text(page: str, roots: list[int], template: dict[int, int]) -> str:
+    """Text under the roots and outside dropped elements; blocks are joined by one space.
+
+    What lies right in a slot of ``template`` is left out if it is the text of that hash, not what is below.
+    """
+    keep = set(roots)
+    parts: list[tuple[int, str]] = []
+    own: dict[int, list[str]] = {at: [] for at in template}
+    path = [(0, False)]
     inline: list[bool] = []
-    inside, outside = (1 if 0 in keep else 0), (1 if 0 in drop else 0)
+    inside = 1 if 0 in keep else 0
     for event in events(page):
         kind = event[0]
         if kind == "text":
+            at, outside = path[-1]
             if inside and not outside:
-                parts.append(event[1])
+                parts.append((at, event[1]))
+            if at in own:
+                own[at].append(event[1])
         elif kind == "void":
             if event[1] not in ("wbr", "img"):
-                parts.append(" ")
+                parts.append((-1, " "))
         elif kind == "open":
             tag = event[1]
             inline.append(tag in INLINE)
             if tag not in INLINE:
-                path.append(_below(path[-1], _label(tag, event[2])[0]))
-                inside += path[-1] in keep
-                outside += path[-1] in drop
-                parts.append(" ")
+                label, dropped = _label(tag, event[2])
+                at = _below(path[-1][0], label)
+                path.append((at, dropped or tag in DROPPED or path[-1][1]))
+                inside += at in keep
+                parts.append((-1, " "))
         elif kind == "close" and inline and not inline.pop():
-            inside -= path[-1] in keep
-            outside -= path[-1] in drop
-            path.pop()
-            parts.append(" ")
-    return " ".join(entities.unescape("".join(parts)).split())
+            inside -= path.pop()[0] in keep
+            parts.append((-1, " "))
+    left_out = {at for at, texts in own.items() if texts and _key(" ".join("".join(texts).split())) == template[at]}
+    return " ".join(entities.unescape("".join(t for at, t in parts if at not in left_out)).split())
 
 
 def _key(text: str) -> int:
@@ -371,21 +391,21 @@ def _wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
-            varying = {s["slot"]: s["chars"] for s in row["slots"]}
-            roots, dropped = wrapper(json.loads(row["shape"]), varying, {s["slot"] for s in row["slots"] if s["constant"]})
-            rows.append((row["host"], row["shape_key"], roots, dropped))
-        kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["host", "shape_key", "roots", "dropped"])
+            roots = wrapper(json.loads(row["shape"]), {s["slot"]: s["varying"] for s in row["slots"]}, row["pages"] >= LEAST_PAGES)
+            template = [(s["slot"], s["template"]) for s in row["slots"] if s["template"] is not None]
+            rows.append((row["host"], row["shape_key"], roots, template))
+        kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), pa.map_(pa.int64(), pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["host", "shape_key", "roots", "template"])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches, "html"):
-        found = [main_text(page or "", roots, dropped) for page, roots, dropped in zip(*(column(piece, c).to_pylist() for c in ("html", "roots", "dropped")), strict=True)]
+        found = [main_text(page or "", roots, dict(template)) for page, roots, template in zip(*(column(piece, c).to_pylist() for c in ("html", "roots", "template")), strict=True)]
         yield pa.RecordBatch.from_arrays([column(piece, "page_id"), column(piece, "url"), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """``(host, shape_key, roots, dropped)``, the wrapper of every skeleton of a host."""
+    """``(host, shape_key, roots, template)``, the wrapper of every skeleton of a host."""
     reduced = written(
         pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_reduced, "host string, content long, shape_key long, shape string, slot long, text_hash long, chars long")
         # Copies of a page are one page: a text recurs only on pages that differ elsewhere.
@@ -395,18 +415,25 @@ def wrappers(pages: DataFrame) -> DataFrame:
         "slots",
     )
     shapes = reduced.where("slot IS NULL").select("host", "shape_key", "shape", "n")
-    reference = shapes.groupBy("host").agg(F.max(F.struct("n", "shape")).alias("first")).select("host", F.col("first.shape").alias("reference"))
+    reference = shapes.groupBy("host").agg(F.max(F.struct("n", "shape")).alias("first"), F.sum("n").alias("pages")).select("host", F.col("first.shape").alias("reference"), "pages")
     aligned = written(shapes.join(reference, "host").select("host", "shape_key", "shape", "reference").mapInArrow(_aligned, "host string, shape_key long, slot long, common long"), "aligned")
     placed = reduced.where("slot IS NOT NULL").drop("shape").join(aligned, ["host", "shape_key", "slot"])
+    recurs = (F.col("pages") >= LEAST_PAGES) & (F.col("most.n") >= CONSTANT_SHARE * F.col("pages"))
     common = (
         placed.groupBy("host", "common", "text_hash").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
         .groupBy("host", "common")
-        .agg(F.sum("n").alias("pages"), F.max("n").alias("most"), F.sum("chars").alias("chars"))
-        .withColumn("constant", (F.col("pages") >= LEAST_PAGES) & (F.col("most") >= CONSTANT_SHARE * F.col("pages")))
+        .agg(F.sum("n").alias("pages"), F.max(F.struct("n", "text_hash", "chars")).alias("most"), F.sum("chars").alias("chars"))
+        .select("host", "common", F.when(recurs, F.col("most.text_hash")).alias("template"), F.when(recurs, 1 - F.col("most.chars") / F.col("chars")).otherwise(1.0).alias("share"))
+    )
+    # How much varies in a slot is counted on the pages of its own skeleton.
+    sizes = reduced.where("slot IS NOT NULL").groupBy("host", "shape_key", "slot").agg(F.sum("chars").alias("chars"))
+    known = (
+        aligned.join(common, ["host", "common"]).join(sizes, ["host", "shape_key", "slot"], "left")
+        .groupBy("host", "shape_key")
+        .agg(F.collect_list(F.struct("slot", (F.coalesce("chars", F.lit(0)) * F.col("share")).alias("varying"), "template")).alias("slots"))
     )
-    known = aligned.join(common, ["host", "common"]).groupBy("host", "shape_key").agg(F.collect_list(F.struct("slot", "chars", "constant")).alias("slots"))
-    wrapped = shapes.join(known, ["host", "shape_key"], "left").select("host", "shape_key", "shape", F.coalesce("slots", F.array()).alias("slots"))
-    return written(wrapped.mapInArrow(_wrapped, "host string, shape_key long, roots array<long>, dropped array<long>"), "wrappers")
+    wrapped = shapes.join(reference.select("host", "pages"), "host").join(known, ["host", "shape_key"], "left").select("host", "shape_key", "shape", "pages", F.coalesce("slots", F.array()).alias("slots"))
+    return written(wrapped.mapInArrow(_wrapped, "host string, shape_key long, roots array<long>, template map<long,long>"), "wrappers")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -417,4 +444,4 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """
     pages = pages.select("page_id", "url", "html")
     shaped = pages.withColumn("host", host_of(F.col("url"))).mapInArrow(_shaped, "page_id long, url string, html string, host string, shape_key long")
-    return shaped.join(wrappers(pages), ["host", "shape_key"]).select("page_id", "url", "html", "roots", "dropped").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
+    return shaped.join(wrappers(pages), ["host", "shape_key"]).select("page_id", "url", "html", "roots", "template").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")

@@ -184,6 +184,19 @@ def test_copies_of_pages_without_article(spark):
     assert got[4:] == ["Copy copy says something"] * 6 + [f"Title {k} text {k} says something" for k in range(5)]
 
 
+def test_pages_by_induction(spark):
+    page = '<body><main>Latest news<div class="body"><h1>Title %d</h1><p>%s</div><article class="teaser"><p>Teaser %d</article></main></body>'
+    rows = [("teasers.example", page % (k, f"text {k} " * 9, k)) for k in range(5)]
+    note = '<body><article>Press<h1>Title %d</h1><div class="x1">All rights kept</div><p>%s</article></body>'
+    rows += [("note.example", note % (k, f"text {k} " * 9)) for k in range(5)] + [("note.example", note.replace("All rights kept", "One of a kind") % (5, "text 5 " * 9))]
+    rows += [("few.example", note % (k, f"text {k} " * 9)) for k in range(2)]
+    body = lambda k: f"Title {k} " + (f"text {k} " * 9).strip()
+    got = texts_of(spark, rows)
+    assert got[:5] == [f"{body(k)} Teaser {k}" for k in range(5)]
+    assert got[5:10] == [body(k) for k in range(5)] and got[10] == "Title 5 One of a kind " + body(5)[8:]
+    assert got[11:] == [f"Press Title {k} All rights kept " + body(k)[8:] for k in range(2)]
+
+
 def test_pages_of_any_depth(spark):
     deep = "<div>" * 5000 + "<p>Deep %d"
     rows = [("d.example", deep % k) for k in range(5)] + [("d.example", "<ul>" * 3000 + "flat"), ("e.example", "<blockquote>" * 5000 + "quoted")]
