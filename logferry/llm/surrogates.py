@@ -3,7 +3,7 @@
 Entities are found by patterns. A surrogate is drawn from a keyed hash of the entity's canonical form,
 so one entity has one surrogate in all documents, however it is spelled. Letters become letters of the
 same script and case, digits digits; separators, country codes, labels and honorifics stay. Canonical
-surrogates are compared over the whole corpus: one that two entities share, or that is itself an entity,
+surrogates, with the prefix that stays, are compared over the whole corpus: one that two entities share, or that is itself an entity,
 is drawn anew for all but the first, until all are distinct.
 """
 
@@ -154,15 +154,18 @@ def _filled(kind: Column, raw: Column, prefix: Column, new: Column) -> Column:
 def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``(kind, canon, new)``: a distinct surrogate for every row of ``entities`` (kind, canon).
 
-    Draws are repeated until no surrogate is shared or is an entity itself. Raises an error when
-    ``MOST_DRAWS`` draws do not suffice, which means that a format has no room.
+    With a column ``kept``, so many characters at the beginning of ``canon`` stay. Draws are repeated until
+    no surrogate is shared or is an entity itself. Raises an error when ``MOST_DRAWS`` draws do not suffice,
+    which means that a format has no room.
     """
+    kept = F.col("kept") if "kept" in entities.columns else F.lit(0)
 
     def drawn(rows: DataFrame, draw: int) -> DataFrame:
         base = F.concat(F.lit(f"{key}|{draw}|"), "kind", F.lit("|"), "canon")
-        return rows.withColumn("new", surrogate_of(F.col("kind"), F.col("canon"), base))
+        new = surrogate_of(F.col("kind"), F.col("canon"), base)
+        return rows.withColumn("new", F.when(F.col("kept") > 0, F.concat(F.substring("canon", F.lit(1), F.col("kept")), _from(new, F.col("kept") + 1))).otherwise(new))
 
-    known = entities.select("kind", "canon")
+    known = entities.select("kind", "canon", kept.alias("kept"))
     done, todo = None, known
     for draw in range(MOST_DRAWS):
         tried = written(drawn(todo, draw), "drawn")
@@ -173,7 +176,7 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
         first = free.groupBy("kind", "new").agg(F.min("canon").alias("canon")).select("kind", "canon", "new")
         good = first if done is None else done.union(first)
         done = written(good, "surrogates")
-        todo = written(tried.select("kind", "canon").join(done.select("kind", "canon"), ["kind", "canon"], "left_anti"), "redrawn")
+        todo = written(tried.select("kind", "canon", "kept").join(done.select("kind", "canon"), ["kind", "canon"], "left_anti"), "redrawn")
         if todo.isEmpty():
             return done
     raise ValueError(f"no distinct surrogates after {MOST_DRAWS} draws")
@@ -199,7 +202,9 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     kind, raw = F.col("kind"), F.col("raw")
     typed = raws.withColumn("kind", entity_type(raw)).withColumn("prefix", prefix_of(kind, raw)).withColumn("canon", canonical(kind, raw))
     spelled = written(typed.select("kind", "canon", "prefix", "raw").distinct(), "entities")
-    new = surrogates(spelled.select("kind", "canon").distinct(), key)
+    # What is compared is what is rendered: an entity keeps the longest prefix of its spellings.
+    kept = F.when(kind.isin("phone", "iban", "card", "key"), F.char_length(F.regexp_replace("prefix", "[^\\p{L}\\p{N}]", ""))).otherwise(0)
+    new = surrogates(spelled.groupBy("kind", "canon").agg(F.max(kept).alias("kept")), key)
     spelling = written(spelled.join(new, ["kind", "canon"]).select("raw", _filled(kind, raw, F.col("prefix"), F.col("new")).alias("new")), "spelled")
     by_row = raws.distinct().join(spelling, "raw").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("raw", "new"))).alias("_new"))
     parts = F.split("text", ENTITY, -1)

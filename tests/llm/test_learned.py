@@ -236,6 +236,15 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(new)) == 5 and not set(new) & {r.canon for r in rows}
 
 
+def test_surrogates_with_a_prefix_stay_distinct(spark):
+    """300 numbers of one country code in a room of 1,000: rendered ones are no two alike, and none is a real one."""
+    docs = spark.createDataFrame([(k, f"+1 {k:03}") for k in range(300)] + [(300, "+1000")], "doc_id long, text string")
+    rows = {r.doc_id: r.text for r in surrogates.replaced(docs).collect()}
+    new = {rows[k] for k in range(300)}
+    assert len(new) == 300 and all(re.fullmatch(r"\+1 \d{3}", n) for n in new) and not new & {f"+1 {k:03}" for k in range(300)}
+    assert rows[300] == rows[0].replace(" ", "")
+
+
 def test_pipeline(spark, documents):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
