@@ -4,11 +4,13 @@ Entities are found by patterns. A surrogate is drawn from a keyed hash of the en
 so one entity has one surrogate in all documents, however it is spelled. Letters become letters of the
 same script and case, digits digits; separators, country codes, labels and honorifics stay. Canonical
 surrogates, with the prefix that stays, are compared over the whole corpus: one that two entities share, or that is itself an entity,
-is drawn anew for all but the first, until all are distinct.
+is drawn anew for all but the first, until all are distinct; where a format has no room left, in a longer one.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from logferry.llm.store import written
 
 #: What makes draws unguessable; callers pass their own.
 KEY = "change-me"
+#: Draws in the entity's own format; what is left then has a format that is nearly full and gets a longer one.
 MOST_DRAWS = 40
 
 #: Types in order of precedence, with their patterns (Java regular expressions without groups to capture).
@@ -113,6 +116,9 @@ def _letters(text: Column, base: Column) -> Column:
         for pattern, letters in ALPHABETS.items():
             new = _pick(letters, _draw(base, i, len(letters)))
             out = F.when(F.regexp(c, F.lit(pattern)), new) if out is None else out.when(F.regexp(c, F.lit(pattern)), new)
+        # Scripts without an alphabet here are written in Latin letters and digits: nothing real stays.
+        for pattern, letters in ((r"\p{Lu}", "[A-Z]"), (r"\p{L}", "[a-z]"), (r"\p{N}", "[0-9]")):
+            out = out.when(F.regexp(c, F.lit(pattern)), _pick(ALPHABETS[letters], _draw(base, i, len(ALPHABETS[letters]))))
         return out.otherwise(c)
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
@@ -135,6 +141,14 @@ def surrogate_of(kind: Column, canon: Column, base: Column) -> Column:
     return F.when(kind == "ip", ip).when(kind == "email", email).when(kind == "name", F.concat(F.substring(canon, 1, 2), name)).when(is_hex, hexed).otherwise(_letters(canon, base))
 
 
+def _longer(kind: Column, new: Column, base: Column, by: int) -> Column:
+    """A canonical surrogate with ``by`` more drawn characters, for formats without room."""
+    digits = F.concat(*[_draw(base, F.lit(f"+{k}"), 10).cast("string") for k in range(by)])
+    letters = F.concat(*[_pick(SYLLABLES, _draw(base, F.lit(f"+{k}"), len(SYLLABLES))) for k in range(by)])
+    email = F.concat(F.regexp_extract(new, "^(.*)@", 1), digits, F.regexp_extract(new, "(@.*)$", 1))
+    return F.when(kind == "email", email).when(kind == "name", F.concat(new, letters)).when(kind == "ip", F.concat(new, F.lit("."), digits)).otherwise(F.concat(new, digits))
+
+
 def _filled(kind: Column, raw: Column, prefix: Column, new: Column) -> Column:
     """The canonical surrogate in the spelling of ``raw``: its separators, its upper case, its prefix."""
     plain = F.regexp_replace(new, "[^\\p{L}\\p{N}]", "")
@@ -147,7 +161,10 @@ def _filled(kind: Column, raw: Column, prefix: Column, new: Column) -> Column:
         return F.when(F.regexp(c, F.lit("[\\p{L}\\p{N}]")), F.when(is_upper, F.upper(letter)).otherwise(letter)).otherwise(c)
 
     spelled = F.array_join(F.transform(chars, one), "")
-    keeps = F.concat(prefix, _from(spelled, F.char_length(prefix) + 1))
+    # A surrogate of a longer format ends with what has no place in ``raw``; a longer e-mail stays as drawn.
+    n = F.char_length(F.regexp_replace(raw, "[^\\p{L}\\p{N}]", ""))
+    keeps = F.concat(prefix, _from(spelled, F.char_length(prefix) + 1), _from(plain, n + 1))
+    spelled = F.when(F.char_length(plain) > n, new).otherwise(spelled)
     return F.when(kind == "ip", new).when(kind == "secret", F.concat(prefix, new)).when(kind == "name", F.concat(prefix, _from(new, F.lit(3)))).when(kind == "email", spelled).otherwise(keeps)
 
 
@@ -155,31 +172,30 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``(kind, canon, new)``: a distinct surrogate for every row of ``entities`` (kind, canon).
 
     With a column ``kept``, so many characters at the beginning of ``canon`` stay. Draws are repeated until
-    no surrogate is shared or is an entity itself. Raises an error when ``MOST_DRAWS`` draws do not suffice,
-    which means that a format has no room.
+    no surrogate is shared or is an entity itself. What ``MOST_DRAWS`` draws do not place, as a format
+    is full or nearly full, gets a longer format, by one more character with each further draw.
     """
     kept = F.col("kept") if "kept" in entities.columns else F.lit(0)
 
     def drawn(rows: DataFrame, draw: int) -> DataFrame:
         base = F.concat(F.lit(f"{key}|{draw}|"), "kind", F.lit("|"), "canon")
         new = surrogate_of(F.col("kind"), F.col("canon"), base)
+        if draw >= MOST_DRAWS:
+            new = _longer(F.col("kind"), new, base, draw - MOST_DRAWS + 1)
         return rows.withColumn("new", F.when(F.col("kept") > 0, F.concat(F.substring("canon", F.lit(1), F.col("kept")), _from(new, F.col("kept") + 1))).otherwise(new))
 
     known = entities.select("kind", "canon", kept.alias("kept"))
+    taken = known.select("kind", F.col("canon").alias("new"))
     done, todo = None, known
-    for draw in range(MOST_DRAWS):
+    for draw in count():
         tried = written(drawn(todo, draw), "drawn")
-        taken = known.select("kind", F.col("canon").alias("new"))
-        if done is not None:
-            taken = taken.union(done.select("kind", "new"))
-        free = tried.join(taken.distinct(), ["kind", "new"], "left_anti")
-        first = free.groupBy("kind", "new").agg(F.min("canon").alias("canon")).select("kind", "canon", "new")
-        good = first if done is None else done.union(first)
-        done = written(good, "surrogates")
-        todo = written(tried.select("kind", "canon", "kept").join(done.select("kind", "canon"), ["kind", "canon"], "left_anti"), "redrawn")
+        free = tried.join(taken, ["kind", "new"], "left_anti")
+        first = written(free.groupBy("kind", "new").agg(F.min("canon").alias("canon")).select("kind", "canon", "new"), "surrogates")
+        done = first if done is None else done.union(first)
+        taken = taken.union(first.select("kind", "new"))
+        todo = written(tried.select("kind", "canon", "kept").join(first.select("kind", "canon"), ["kind", "canon"], "left_anti"), "redrawn")
         if todo.isEmpty():
             return done
-    raise ValueError(f"no distinct surrogates after {MOST_DRAWS} draws")
 
 
 def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:

@@ -245,6 +245,16 @@ def test_surrogates_with_a_prefix_stay_distinct(spark):
     assert rows[300] == rows[0].replace(" ", "")
 
 
+def test_surrogates_of_full_formats(spark, monkeypatch):
+    """More entities than surrogates of their format: all are replaced, by distinct ones of a longer format."""
+    monkeypatch.setattr(surrogates, "MOST_DRAWS", 2)
+    real = [f"{c}@x.example" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"+1{k:03}" for k in range(600)] + ["Dr Ան", "10.1.1.1"]
+    rows = {r.doc_id: r.text for r in surrogates.replaced(spark.createDataFrame(list(enumerate(real)), "doc_id long, text string")).collect()}
+    assert len(rows) == len(real) == len(set(rows.values())) and not set(rows.values()) & set(real)
+    assert all(re.fullmatch(r"[a-z]\d*@[a-z]\.example", rows[k]) for k in range(26)) and all(re.fullmatch(r"\+1\d{3,}", rows[k]) for k in range(26, 626))
+    assert re.fullmatch("Dr [A-Z][a-z]+", rows[626])
+
+
 def test_pipeline(spark, documents):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
