@@ -29,7 +29,7 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that cover no test item; the others go as a whole."""
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("row_key").distinct()
+    found = contaminated(docs, table(spark, sf_dir, "benchmark"), shortest=1).select("row_key").distinct()
     rows = row_key(docs.select("doc_id", "text", F.struct("*").alias("row")))
     return rows.join(found, "row_key", "left_anti").select("row.*")
 

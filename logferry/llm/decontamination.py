@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
 Texts become tokens: runs of letters and digits, ASCII and Latin-1 letters in lower case, as 64-bit
-running hashes. A seed is ``SEED`` tokens in a row. Documents keep only the stretches made of seeds that
+running hashes; in scripts without spaces, single characters. A seed is ``SEED`` tokens in a row, or the whole
+item if that is shorter. Documents keep only the stretches made of seeds that
 some test item has too; every match of ``SEED`` or more tokens lies in such stretches, so tiling them
 gives what tiling the whole text would give. Seeds are joined, and each (document, item) pair that
 shares one is tiled: the longest common stretch of tokens not yet marked is looked for with running
@@ -11,6 +12,7 @@ in any order, reordered passages are covered too.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +34,13 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[48:58] = _IN_WORD[97:123] = _IN_WORD[128:] = True
+#: Blocks of scripts that are written without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, Tai scripts, Chinese, Japanese, Yi.
+UNSPACED = ((0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x2E80, 0x312F), (0x3190, 0x9FFF), (0xA000, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFE30, 0xFE6F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF))
+_ALONE, _BETWEEN = 1, 2
+_KIND = np.zeros(0x110000, np.uint8)
+for _low, _high in (*UNSPACED, (0xFF00, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF9F)):
+    _KIND[_low : _high + 1] = [_BETWEEN if unicodedata.category(chr(c))[0] in "PSZ" else _ALONE for c in range(_low, _high + 1)]
+_KIND[0xFF10:0xFF1A] = 0
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 2**64)
 
@@ -58,8 +67,21 @@ def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lead = np.flatnonzero(data == 0xC2)
     for k in range(2):
         inside[np.minimum(lead + k, len(data) - 1)] = False
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
-    first, last = edge[::2], edge[1::2]
+    # Scripts without spaces: a character is a token, and their signs separate words.
+    cut = np.zeros(len(data) + 5, bool)
+    lead = np.flatnonzero(data >= 0xE0)
+    if len(lead):
+        b = [data[np.minimum(lead + k, len(data) - 1)].astype(np.int64) for k in range(4)]
+        wide = b[0] >= 0xF0
+        code = np.where(wide, (b[0] & 7) << 18 | (b[1] & 63) << 12 | (b[2] & 63) << 6 | b[3] & 63, (b[0] & 15) << 12 | (b[1] & 63) << 6 | b[2] & 63)
+        kind, width = _KIND[np.minimum(code, 0x10FFFF)], np.where(wide, 4, 3)
+        alone = kind == _ALONE
+        cut[lead[alone]] = cut[(lead + width)[alone]] = True
+        for k in range(4):
+            inside[np.minimum((lead + k)[(kind == _BETWEEN) & (width > k)], len(data) - 1)] = False
+    here, back = np.append(inside, False), np.insert(inside, 0, False)
+    first = np.flatnonzero(here & (~back | cut[: len(data) + 1]))
+    last = np.flatnonzero(back & (~here | cut[: len(data) + 1]))
     total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[folded] * _powers(_STEP, len(data)), dtype=np.uint64)])
     value = mixed((total[last] - total[first]) * _powers(_BACK, len(data))[first])
     return np.maximum(value, np.uint64(1)), first
@@ -74,12 +96,12 @@ def _rolling(values: np.ndarray, length: int) -> np.ndarray:
     return mixed((total[length:] - total[:-length]) * _powers(_BACK, n))
 
 
-def _seeds(values: np.ndarray) -> np.ndarray:
-    n = len(values) - SEED + 1
+def _seeds(values: np.ndarray, length: int) -> np.ndarray:
+    n = len(values) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     x = values[:n].copy()
-    for k in range(1, SEED):
+    for k in range(1, length):
         x = x * np.uint64(_STEP) + values[k : n + k]
     return mixed(x)
 
@@ -95,13 +117,14 @@ def tiled(text: np.ndarray, item: np.ndarray) -> int:
 
     covered = 0
     longest = len(item)
-    while longest >= SEED:
-        low, high = SEED - 1, longest
+    least = max(1, min(SEED, longest))
+    while longest >= least:
+        low, high = least - 1, longest
         while low < high:
             middle = (low + high + 1) // 2
             low, high = (middle, high) if len(matches(middle)[0]) else (low, middle - 1)
         longest = low
-        if longest < SEED:
+        if longest < least:
             break
         shared, in_text, in_item = matches(longest)
         by_hash: dict[int, list[int]] = {}
@@ -130,12 +153,12 @@ def _item_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, at = buffer(piece)
         for k in range(piece.num_rows):
             rows.append(tokens(data[at[k] : at[k + 1]])[0].view(np.int64))
-            seeds.append(np.unique(_seeds(rows[-1].view(np.uint64))).view(np.int64))
+            seeds.append(np.unique(_seeds(rows[-1].view(np.uint64), max(1, min(SEED, len(rows[-1]))))).view(np.int64))
         kind = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays([column(piece, "item_id"), pa.array(rows, kind), pa.array(seeds, kind)], ["item_id", "tokens", "seeds"])
 
 
-def _stretches(bits: np.ndarray):
+def _stretches(bits: np.ndarray, lengths: list[int]):
     """Of each text that has seeds of the filter: key, doc_id, the stretches parted by zeros, and the seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,18 +175,29 @@ def _stretches(bits: np.ndarray):
                 parts = [tokens(data[at[k] : at[k + 1]])[0] for k in range(piece.num_rows)]
                 values = np.concatenate(parts) if parts else values
                 owner = np.repeat(np.arange(piece.num_rows), [len(p) for p in parts])
-            seeds = _seeds(values)
-            n = len(seeds)
-            slot = seeds >> shift
-            hit = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
-            hit = np.flatnonzero(hit.astype(bool) & (owner[:n] == owner[SEED - 1 :][:n]))
+            covered = np.zeros(len(values), bool)
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+            for length in lengths:
+                seeds = _seeds(values, length)
+                n = len(seeds)
+                slot = seeds >> shift
+                hit = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
+                hit = np.flatnonzero(hit.astype(bool) & (owner[:n] == owner[length - 1 :][:n]))
+                found.append((owner[hit], seeds[hit]))
+                for k in range(length):
+                    covered[hit + k] = True
             rows: tuple[list, list, list] = ([], [], [])
-            if len(hit):
-                parts = np.split(hit, np.flatnonzero(np.diff(owner[hit])) + 1)
-                for part in parts:
+            under = np.flatnonzero(covered)
+            if len(under):
+                owners, seeds = (np.concatenate(v) for v in zip(*found, strict=True))
+                order = np.argsort(owners, kind="stable")
+                owners, seeds = owners[order], seeds[order]
+                by_text = np.split(seeds, np.flatnonzero(np.diff(owners)) + 1)
+                parts = np.split(under, np.flatnonzero(np.diff(owner[under])) + 1)
+                for part, own in zip(parts, by_text, strict=True):
                     rows[0].append(int(owner[part[0]]))
                     rows[1].append(_joined(values, part).view(np.int64))
-                    rows[2].append(np.unique(seeds[part]).view(np.int64))
+                    rows[2].append(np.unique(own).view(np.int64))
             kind = pa.list_(pa.int64())
             took = pa.array(rows[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -180,13 +214,10 @@ def _touching(data: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return word[cuts - 1] & word[cuts]
 
 
-def _joined(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The tokens under seeds that begin at ``starts``, with a zero between stretches that do not touch."""
-    groups = np.split(starts, np.flatnonzero(np.diff(starts) > SEED) + 1)
-    out = []
-    for g in groups:
-        out += [values[g[0] : g[-1] + SEED], np.zeros(1, np.uint64)]
-    return np.concatenate(out[:-1])
+def _joined(values: np.ndarray, under: np.ndarray) -> np.ndarray:
+    """The tokens at the positions ``under``, with a zero between stretches that do not touch."""
+    gaps = np.flatnonzero(np.diff(under) > 1) + 1
+    return np.insert(values[under], gaps, np.uint64(0))
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,16 +238,18 @@ def row_key(docs: DataFrame) -> DataFrame:
     return docs.withColumn("row_key", F.md5(F.concat_ws("\u0000", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit("")))))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, shortest: int = SEED) -> DataFrame:
     """``(row_key, doc_id, item_id, matched, item_tokens, coverage)`` for pairs that cover enough of an item.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Equal rows of either side give one
-    row. Null and empty texts, and items of fewer than ``SEED`` tokens, match nothing. An empty
+    row. Null and empty texts, and items without a letter or digit, match nothing. Items of fewer than
+    ``shortest`` tokens match nothing; other items of fewer than ``SEED`` tokens match where all their
+    tokens stand in a row. An empty
     benchmark gives no rows. Null ids are kept as they are. Other columns are ignored.
     """
     spark = docs.sparkSession
     items = written(
-        benchmark.select("item_id", "text").distinct().mapInArrow(_item_tokens, "item_id long, tokens array<long>, seeds array<long>").where("size(tokens) > 0"), "items"
+        benchmark.select("item_id", "text").distinct().mapInArrow(_item_tokens, "item_id long, tokens array<long>, seeds array<long>").where(F.size("tokens") >= max(1, shortest)), "items"
     )
     by_seed = items.select("item_id", F.md5(F.col("tokens").cast("string")).alias("item_key"), F.explode("seeds").alias("seed"))
     slots = by_seed.select(F.shiftrightunsigned("seed", 64 - FILTER_BITS).alias("slot")).select((F.col("slot") / 8).cast("long").alias("byte"), F.expr("shiftleft(1, cast(slot % 8 as int))").alias("bit"))
@@ -224,10 +257,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     for byte, bit in slots.groupBy("byte").agg(F.bit_or("bit")).toLocalIterator():
         bits[byte] = bit
     shared = spark.sparkContext.broadcast(bits)
+    lengths = sorted(r[0] for r in items.select(F.least(F.size("tokens"), F.lit(SEED))).distinct().collect())
     keyed = row_key(docs.select("doc_id", "text")).withColumnRenamed("row_key", "key")
 
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _stretches(shared.value)(batches)
+        return _stretches(shared.value, lengths)(batches)
 
     found = written(keyed.mapInArrow(stretches, "key string, doc_id long, stretches array<long>, seeds array<long>"), "stretches").dropDuplicates(["key"])
     pairs = found.select("key", F.explode("seeds").alias("seed")).join(by_seed, "seed").select("key", "item_id", "item_key").distinct()

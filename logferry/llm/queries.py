@@ -13,7 +13,7 @@ from logferry.llm.surrogates import replaced
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1).drop("row_key")
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

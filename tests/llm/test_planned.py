@@ -199,6 +199,15 @@ def test_contaminated_reordered_and_odd(spark, odd):
     assert decontamination.contaminated(docs.limit(0), bench).count() == 0
 
 
+def test_contaminated_short_and_unspaced(spark):
+    items = ["Paris is", "42", "法国的首都是哪一个城市？巴黎。", "ประเทศไทยมีกี่จังหวัด", "はい", "..."]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = ["so PARIS, is it", "is Paris", "a 42 b", "421", "他说：「法国的首都是哪一个城市」，我说巴黎，对吗", "เขาถามว่าประเทศไทยมีกี่จังหวัดครับ", "「はい。」", "は、い", "是", ""]
+    got = {(r.doc_id, r.item_id, r.coverage) for r in decontamination.contaminated(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), bench, shortest=1).collect()}
+    assert {(d, i) for d, i, _ in got} == {(0, 0), (2, 1), (4, 2), (5, 3), (6, 4), (7, 4)}
+    assert {c for d, _, c in got if d in (0, 2, 5, 6)} == {1.0}
+
+
 def test_shared_slots_of_sorted_rows_in_any_batches():
     rng = np.random.default_rng(3)
     for _ in range(50):
