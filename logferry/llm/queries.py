@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logferry.llm import language_model, languages, mixing, pages, quality, token_counts
+from logferry.llm import alignment, conversations, language_model, languages, mixing, pages, quality, secrets, token_counts
 from logferry.llm.decontamination import contaminated
 from logferry.llm.fingerprints import fingerprints
 from logferry.llm.near_duplicates import near_duplicates
@@ -53,11 +53,27 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repaired(conversations.damaged(rows), rows)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"))[0]
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_fingerprints, op3_quality, op4_pages, op5_mixing, op6_near_duplicates, op7_surrogates,
-        op8_languages, op9_language_model, op10_token_counts,
+        op8_languages, op9_language_model, op10_token_counts, op11_secrets, op12_conversations, op13_alignment,
     )
 }
-ORACLES = {"op5_mixing": mixing.ORACLE, "op10_token_counts": token_counts.ORACLE}
+ORACLES = {
+    "op5_mixing": mixing.ORACLE, "op10_token_counts": token_counts.ORACLE,
+    "op11_secrets": secrets.ORACLE, "op12_conversations": conversations.ORACLE,
+}
