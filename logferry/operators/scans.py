@@ -19,6 +19,12 @@ class BeyondEnd(ValueError):
     """Saved progress lies after the end that was captured at startup."""
 
 
+def beyond_end(partition: int, saved: int, end: int) -> BeyondEnd:
+    return BeyondEnd(
+        f"saved offset {saved} is beyond captured end offset {end} for partition {partition}"
+    )
+
+
 def watermarks(
     log: DataFrame, partitions: int | DataFrame, known: DataFrame | None = None
 ) -> DataFrame:
@@ -101,8 +107,5 @@ def resume_scan(log: DataFrame, progress: DataFrame, bounds: DataFrame) -> DataF
             log.sparkSession, (r.asDict() for r in rows), ["partition", "low", "high"]
         )
     if bad:
-        raise BeyondEnd(
-            f"saved offset {bad[0]['low']} is beyond captured end offset {bad[0]['high']} "
-            f"for partition {bad[0]['partition']}"
-        )
+        raise beyond_end(bad[0]["partition"], bad[0]["low"], bad[0]["high"])
     return slice_log(log, ranges).select(*LOG_COLUMNS)

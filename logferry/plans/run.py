@@ -15,7 +15,7 @@ from logferry.operators import catalog as topics
 from logferry.operators.mappings import audit_mappings, declarations, split_source
 from logferry.operators.progress import copy_status, initial_progress
 from logferry.operators.state import clear_stateless, validate_sources
-from logferry.plans.transfer import clone, identity, restore, save
+from logferry.plans.transfer import SourceCluster, clone, identity, restore, save
 from logferry.schemas import MAPPINGS_COLUMNS
 from logferry.sources.archive import read_manifest
 from logferry.sources.cluster import Cluster
@@ -29,7 +29,7 @@ class BadMappings(ValueError):
 
 def restore_all(
     dest: Cluster,
-    sources: Mapping[str, Cluster],
+    sources: Mapping[str, SourceCluster],
     mappings: DataFrame,
     force: bool = False,
     parallel: int = 4,
@@ -43,7 +43,7 @@ def restore_all(
     ends = {}
     for m in clones:
         source, topic = _source(m, sources)
-        ends[m["name"]] = source.topic(topic).bounds()
+        ends[m["name"]] = source.source(topic).bounds()
     reconcile(dest, sources, mappings, force, parallel)
 
     def advance(m) -> None:
@@ -79,7 +79,7 @@ class Copy:
 
 def run(
     dest: Cluster,
-    sources: Mapping[str, Cluster],
+    sources: Mapping[str, SourceCluster],
     mappings: DataFrame,
     checkpoints: str,
     force: bool = False,
@@ -170,7 +170,7 @@ def _stop(started: list[StreamingQuery]) -> None:
             query.stop()
 
 
-def _audited(mappings: DataFrame, sources: Mapping[str, Cluster]) -> list:
+def _audited(mappings: DataFrame, sources: Mapping[str, SourceCluster]) -> list:
     known = mappings.sparkSession.createDataFrame([(s,) for s in sources], "instance STRING")
     faults = audit_mappings(declarations(mappings), known).orderBy("name", "violation").collect()
     if faults:
@@ -180,12 +180,12 @@ def _audited(mappings: DataFrame, sources: Mapping[str, Cluster]) -> list:
     return mappings.orderBy("name").collect()
 
 
-def _source(mapping, sources: Mapping[str, Cluster]) -> tuple[Cluster, str]:
+def _source(mapping, sources: Mapping[str, SourceCluster]) -> tuple[SourceCluster, str]:
     instance, topic = mapping["source_ref"].split(":", 1)
     return sources[instance], topic
 
 
-def _source_topics(mappings: DataFrame, sources: Mapping[str, Cluster]) -> DataFrame:
+def _source_topics(mappings: DataFrame, sources: Mapping[str, SourceCluster]) -> DataFrame:
     """Identity and partition count behind every clone and stream declaration."""
     instance, topic = split_source(F.col("source_ref"))
     wanted = mappings.where(F.col("mode").isin("clone", "stream")).select(
@@ -193,7 +193,7 @@ def _source_topics(mappings: DataFrame, sources: Mapping[str, Cluster]) -> DataF
     )
     live = None
     for label, cluster in sources.items():
-        rows = cluster.catalog.read().select(
+        rows = cluster.listed().select(
             F.lit(label).alias("instance"),
             F.lit(cluster.cluster_id).alias("source_cluster"),
             F.col("name").alias("source_topic"),
@@ -212,7 +212,7 @@ def _source_topics(mappings: DataFrame, sources: Mapping[str, Cluster]) -> DataF
 
 def reconcile(
     dest: Cluster,
-    sources: Mapping[str, Cluster],
+    sources: Mapping[str, SourceCluster],
     mappings: DataFrame,
     force: bool = False,
     parallel: int = 4,
@@ -274,7 +274,7 @@ def reconcile(
 
 
 def _apply(
-    dest: Cluster, sources: Mapping[str, Cluster], actions: DataFrame, parallel: int
+    dest: Cluster, sources: Mapping[str, SourceCluster], actions: DataFrame, parallel: int
 ) -> None:
     changed = actions.where(F.col("action") != "none").orderBy("name").collect()
     if not changed:
@@ -291,7 +291,7 @@ def _apply(
         dest.open(target).create()
         if row["mode"] == "clone":
             source, topic = _source(row, sources)
-            names_of = identity(dest, target, source, source.describe(topic))
+            names_of = identity(dest, target, source.source(topic))
             fresh = initial_progress(names_of, target["partitions"], dest.spark)
             save(dest.progress, dest, row["name"], fresh)
     restores = [r for r in changed if r["mode"] == "restore"]

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from typing import Protocol
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logferry.operators.digest import FAN_IN
-from logferry.operators.progress import finish_progress
 from logferry.operators.ranking import is_dense, offset_stats, renumber
-from logferry.operators.scans import bounded_scan, resume_scan
+from logferry.operators.scans import beyond_end
 from logferry.operators.small import local_table
 from logferry.operators.state import upsert_state
 from logferry.schemas import (
@@ -28,20 +30,36 @@ from logferry.sources.archive import (
 )
 from logferry.sources.cluster import Cluster
 from logferry.sources.files import AlreadyPublished, Files
-from logferry.sources.topic_log import Head, TopicLog
+from logferry.sources.source import PIECE_BYTES, FileSource, Piece, Source
+from logferry.sources.topic_log import RUN, Head, TopicLog
+
+
+class SourceCluster(Protocol):
+    """Topics to copy from: file-backed (``Cluster``) or Kafka's (``KafkaCluster``)."""
+
+    cluster_id: str
+
+    def source(self, name: str) -> Source: ...
+
+    def listed(self) -> DataFrame:
+        """(name, topic_id, partitions) of all topics."""
 
 
 class Untrusted(RuntimeError):
     """The destination holds records that saved progress does not account for."""
 
 
-def dump(log: TopicLog, archive: str, force: bool = False, fan_in: int = FAN_IN) -> dict:
-    """Archive everything up to the end captured now; returns the archive's manifest."""
-    if Files(log.spark).exists(archive) and not force:
+def dump(log: TopicLog | Source, archive: str, force: bool = False, fan_in: int = FAN_IN) -> dict:
+    """Archive everything up to the end captured now; returns the archive's manifest.
+
+    The end is resolved once: every pass over a topic that goes on growing reads the same records.
+    """
+    if isinstance(log, TopicLog):
+        log = FileSource(log, "", "", "")
+    bounds = log.bounds()
+    if Files(bounds.sparkSession).exists(archive) and not force:
         raise AlreadyPublished(f"archive {archive} already exists; pass force to replace it")
-    head = log.head()
-    rows = bounded_scan(log.scan(upto=head.commit), log.bounds(head))
-    return dump_rows(rows, archive, log.partitions, force, fan_in)
+    return dump_rows(log.slice(bounds), archive, log.partitions, force, fan_in)
 
 
 def dump_rows(
@@ -123,49 +141,66 @@ def restore(dest: Cluster, name: str, archive: str) -> bool:
 
 
 def clone(
-    source: Cluster,
+    source: SourceCluster,
     source_topic: str,
     dest: Cluster,
     name: str,
     bounds: DataFrame | None = None,
+    most_bytes: int = PIECE_BYTES,
 ) -> Head:
     """Copy what is new in ``source_topic`` up to its captured end.
 
-    The rows and the source offsets they cover are committed together, so a crash at any point and
-    a rerun neither lose nor repeat a record. The PROGRESS table follows the commit.
+    A backlog is copied in pieces of about ``most_bytes``, each one commit. The rows and the source offsets
+    they cover are committed together, so a crash at any point and a rerun neither lose nor repeat a record
+    and redo one piece at most. The PROGRESS table follows the commits.
     """
-    origin, target = source.describe(source_topic), dest.describe(name)
+    origin, target = source.source(source_topic), dest.describe(name)
     same_shape(origin, target)
-    source_log, log = source.open(origin), dest.open(target).create()
-    seen = source_log.head()
-    bounds = source_log.bounds(seen) if bounds is None else bounds
-    head = trusted_head(log, origin)
-    before = committed_progress(log, head, origin["topic_id"])
-    done = source_log.covered(head.copied.get(origin["topic_id"], {}))
-    rows = resume_scan(source_log.scan(done, seen.commit), before, bounds)
-    stats = offset_stats(rows).collect()
-    ends = {
-        r["partition"]: r["next_offset"] for r in finish_progress(before, bounds).collect()
-    }
-    if stats or ends != head.copied.get(origin["topic_id"], {}):
-        head = log.append(rows, copied=(origin["topic_id"], ends), stats=stats)
-    save_progress(dest, target, source, origin, committed_progress(log, head, origin["topic_id"]))
+    log = dest.open(target).create()
+    bounds = origin.bounds() if bounds is None else bounds
+    head = trusted_head(log, origin.topic_id)
+    starts, ends = open_ranges(head.copied.get(origin.topic_id, {}), bounds)
+    for piece in origin.pieces(starts, ends, most_bytes):
+        head = take_over(log, origin.topic_id, piece, head)
+    if ends != head.copied.get(origin.topic_id, {}):
+        head = log.append(origin.slice(bounds.limit(0)), copied=(origin.topic_id, ends), stats=[])
+    save_progress(dest, target, origin, committed_progress(log, head, origin.topic_id))
     return head
 
 
-def same_shape(origin, target) -> None:
-    if origin["partitions"] != target["partitions"]:
+def open_ranges(done: Mapping[int, int], bounds: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
+    """(starts, ends) of what is left to copy: from the committed offset, or the beginning, to the captured
+    end. Commits keep their offsets by partition on the driver, so these are plain numbers too."""
+    rows = bounds.collect()
+    starts = {r["partition"]: done.get(r["partition"], r["low"]) for r in rows}
+    for r in rows:
+        if starts[r["partition"]] > r["high"]:
+            raise beyond_end(r["partition"], starts[r["partition"]], r["high"])
+    return starts, {r["partition"]: r["high"] for r in rows}
+
+
+def take_over(log: TopicLog, key: str, piece: Piece, head: Head) -> Head:
+    """Commit a piece with the source offsets it covers; nothing where it holds no record and changes no end."""
+    stats = offset_stats(piece.rows).collect()
+    if not stats and dict(piece.ends) == head.copied.get(key, {}):
+        return head
+    return log.append(piece.rows, copied=(key, piece.ends), stats=stats)
+
+
+def same_shape(origin: Source, target) -> None:
+    if origin.partitions != target["partitions"]:
         raise ValueError(
             f"topic {target['name']} has {target['partitions']} partitions but its source has "
-            f"{origin['partitions']}"
+            f"{origin.partitions}"
         )
 
 
-def trusted_head(log: TopicLog, origin) -> Head:
+def trusted_head(log: TopicLog, source_topic_id: str) -> Head:
     """State of a clone destination; refuses one that was filled from anywhere else."""
     head = log.head()
-    if head.commit and set(head.copied) != {origin["topic_id"]}:
-        raise Untrusted(REASON_OTHER_SOURCE if head.copied else REASON_NO_STATE)
+    cloned = {key for key in head.copied if not key.startswith(RUN)}
+    if head.commit and cloned != {source_topic_id}:
+        raise Untrusted(REASON_OTHER_SOURCE if cloned else REASON_NO_STATE)
     return head
 
 
@@ -177,22 +212,20 @@ def committed_progress(log: TopicLog, head: Head, source_topic_id: str) -> DataF
     return table.withColumnRenamed("high", "next_offset")
 
 
-def identity(dest: Cluster, target, source: Cluster, origin) -> dict[str, str]:
+def identity(dest: Cluster, target, origin: Source) -> dict[str, str]:
     return {
         "dest_cluster": dest.cluster_id,
         "dest_topic": target["name"],
         "topic_id": target["topic_id"],
-        "source_cluster": source.cluster_id,
-        "source_topic": origin["name"],
-        "source_topic_id": origin["topic_id"],
+        "source_cluster": origin.cluster_id,
+        "source_topic": origin.name,
+        "source_topic_id": origin.topic_id,
     }
 
 
-def save_progress(dest: Cluster, target, source: Cluster, origin, offsets: DataFrame) -> None:
-    names = identity(dest, target, source, origin)
+def save_progress(dest: Cluster, target, origin: Source, offsets: DataFrame) -> None:
+    names = identity(dest, target, origin)
     rows = offsets.select(
         *[F.lit(v).alias(k) for k, v in names.items()], "partition", "next_offset"
     )
     save(dest.progress, dest, target["name"], rows)
-
-

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logferry.schemas import CATALOG, MARKERS, PROGRESS, TIMESTAMP_SETTING, TIMESTAMP_VALUE
+from logferry.sources.source import FileSource
 from logferry.sources.tables import SmallTable
 from logferry.sources.topic_log import TopicLog
 
@@ -43,6 +44,15 @@ class Cluster:
     def topic(self, name: str) -> TopicLog:
         return self.open(self.describe(name))
 
+    def source(self, name: str) -> FileSource:
+        """A topic as something to copy from."""
+        row = self.describe(name)
+        return FileSource(self.open(row), self.cluster_id, name, row["topic_id"])
+
+    def listed(self) -> DataFrame:
+        """(name, topic_id, partitions) of all topics."""
+        return self.catalog.read().select("name", "topic_id", "partitions")
+
     def open(self, row) -> TopicLog:
         """The log of a catalog row."""
         return TopicLog(self.spark, self.log_path(row), row["partitions"])

@@ -36,6 +36,10 @@ class Files:
     def delete(self, path: str) -> None:
         self._fs(path).delete(self._path(path), True)
 
+    def size(self, path: str) -> int:
+        """Bytes of all files under ``path``."""
+        return self._fs(path).getContentSummary(self._path(path)).getLength()
+
     def names(self, path: str) -> list[str]:
         if not self.exists(path):
             return []

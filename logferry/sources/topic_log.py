@@ -7,14 +7,14 @@
 Rows and manifest are staged together and published by one exclusive directory rename. That rename
 is the claim on commit ``n``: a second writer with the same ``n`` fails and must not retry with its
 old offsets. A crash before it leaves nothing visible, a crash after it leaves a whole commit.
-A manifest holds one number per partition and one per writer, never per-commit history. On object
+A manifest holds a few numbers per partition and writer, never per-commit history. On object
 stores a directory rename is not atomic, so streaming reads need a file system where it is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,13 @@ from logferry.sources.files import AlreadyPublished, Files, fresh_name
 # Rows that one task writes together when a log or archive is laid out.
 ROWS_PER_SLAB = 262_144
 
+# Commits whose folders are named one by one instead of listing them all.
+LISTED_COMMITS = 256
+
+# Names of forwarding runs begin with this and sort by time; the offsets of the latest are kept.
+RUN = "run:"
+KEPT_RUNS = 16
+
 
 @dataclass(frozen=True)
 class Head:
@@ -38,8 +45,12 @@ class Head:
     high: dict[int, int] = field(default_factory=dict)
     # Per writing query, the last batch that was committed.
     batches: dict[str, int] = field(default_factory=dict)
-    # Per source topic id, the next source offset of each partition.
+    # Per source topic id, or per forwarding run, the next source offset of each partition.
     copied: dict[str, dict[int, int]] = field(default_factory=dict)
+    # Bytes of the data files of this commit and all before it.
+    total_bytes: int = 0
+    # The latest forwarding run whose offsets are no longer kept.
+    forgotten: str = ""
 
 
 class TopicLog:
@@ -53,10 +64,12 @@ class TopicLog:
         return self
 
     def head(self) -> Head:
-        commit = self._files.last(self.data, "commit")
-        return self._at(commit) if commit else Head()
+        return self.at(self._files.last(self.data, "commit"))
 
-    def _at(self, commit: int) -> Head:
+    def at(self, commit: int) -> Head:
+        """State of the log after a commit; 0 is the empty log."""
+        if not commit:
+            return Head()
         raw = self._files.read_json(f"{self.data}/commit={commit}/_manifest.json")
         return Head(
             commit,
@@ -64,6 +77,8 @@ class TopicLog:
             _int_keys(raw["high"]),
             raw["batches"],
             {source: _int_keys(offsets) for source, offsets in raw["copied"].items()},
+            raw.get("total_bytes", 0),
+            raw.get("forgotten", ""),
         )
 
     def bounds(self, head: Head | None = None) -> DataFrame:
@@ -83,21 +98,59 @@ class TopicLog:
         covered, beyond = 0, self.head().commit + 1
         while beyond - covered > 1:
             middle = (covered + beyond) // 2
-            if all(end <= offsets.get(p, 0) for p, end in self._at(middle).high.items()):
+            if all(end <= offsets.get(p, 0) for p, end in self.at(middle).high.items()):
                 covered = middle
             else:
                 beyond = middle
         return covered
 
+    def reaching(self, offsets: Mapping[int, int]) -> int:
+        """The first commit that holds all records before ``offsets``, or the last commit if none does."""
+        short, enough = 0, self.head().commit
+        while enough - short > 1:
+            middle = (short + enough) // 2
+            high = self.at(middle).high
+            if all(high.get(p, 0) >= end for p, end in offsets.items()):
+                enough = middle
+            else:
+                short = middle
+        return enough
+
+    def commit_ranges(self, after: int, upto: int, most_bytes: int) -> Iterator[tuple[int, int, int]]:
+        """(after, upto, bytes) of successive ranges of commits. A range holds ``most_bytes`` at most, or one
+        commit. Manifests carry running totals, so a few are looked at per range."""
+        while after < upto:
+            base = self.at(after).total_bytes
+            fits, beyond = after + 1, upto + 1
+            while beyond - fits > 1:
+                middle = (fits + beyond) // 2
+                if self.at(middle).total_bytes - base <= most_bytes:
+                    fits = middle
+                else:
+                    beyond = middle
+            yield after, fits, self.at(fits).total_bytes - base
+            after = fits
+
     def scan(self, after: int = 0, upto: int | None = None) -> DataFrame:
-        """LOG rows. ``after`` and ``upto`` leave out whole commits, by directory."""
-        rows = self.spark.read.schema(f"{LOG}, commit BIGINT").parquet(self.data)
+        """LOG rows. ``after`` and ``upto`` leave out whole commits, by directory: only the folders of a short
+        range are listed."""
+        reader = self.spark.read.schema(f"{LOG}, commit BIGINT")
+        if upto is not None and 0 < upto - after <= LISTED_COMMITS:
+            folders = [f"{self.data}/commit={n}" for n in range(after + 1, upto + 1)]
+            rows = reader.option("basePath", self.data).parquet(*folders)
+        else:
+            rows = reader.parquet(self.data)
         if after:
             rows = rows.where(F.col("commit") > after)
         if upto is not None:
             rows = rows.where(F.col("commit") <= upto)
         return normalize(rows).select(*LOG_COLUMNS)
 
+    def commits(self, after: int = 0) -> DataFrame:
+        """Unbounded rows of commit numbers, which say that there are new commits. No record is read."""
+        rows = self.spark.readStream.schema(f"{LOG}, commit BIGINT").parquet(self.data)
+        return rows.where(F.col("commit") > after).select("commit")
+
     def stream(self, after: int = 0) -> DataFrame:
         """Unbounded LOG rows. A micro-batch always takes whole commits, because the number of
         files per trigger is not limited; progress is therefore always a prefix."""
@@ -175,15 +228,15 @@ class TopicLog:
         ends = {r["partition"]: r["high"] for r in stats}
         for partition, end in (high or {}).items():
             ends[partition] = max(ends.get(partition, 0), end)
-        new = Head(head.commit + 1, low, {**head.high, **ends}, head.batches, head.copied)
+        new = replace(head, commit=head.commit + 1, low=low, high={**head.high, **ends})
         self._publish(staged, new)
         return new
 
     def _publish(self, staged: str, new: Head) -> None:
-        self._files.write_json(
-            f"{staged}/_manifest.json",
-            {"low": new.low, "high": new.high, "batches": new.batches, "copied": new.copied},
-        )
+        # ``new`` carries the total of the commit before.
+        content = asdict(new) | {"total_bytes": new.total_bytes + self._files.size(staged)}
+        del content["commit"]
+        self._files.write_json(f"{staged}/_manifest.json", content)
         try:
             self._files.publish(staged, f"{self.data}/commit={new.commit}")
         except AlreadyPublished:
@@ -207,7 +260,11 @@ class TopicLog:
             mine = progress.setdefault(copied[0], {})
             for partition, offset in copied[1].items():
                 mine[partition] = max(mine.get(partition, offset), offset)
-        return Head(head.commit + 1, dict(head.low), high, batches, progress)
+        runs = sorted(r for r in progress if r.startswith(RUN))
+        for run in runs[:-KEPT_RUNS]:
+            del progress[run]
+        forgotten = max([head.forgotten, *runs[:-KEPT_RUNS]])
+        return replace(head, commit=head.commit + 1, high=high, batches=batches, copied=progress, forgotten=forgotten)
 
 
 def refuse_repeats(rows: DataFrame) -> None:

@@ -1,77 +1,74 @@
 """Continuous copies as Structured Streaming queries.
 
-Each micro-batch becomes one commit of the destination log. The source log hands out whole commits,
-so the offsets of a micro-batch follow those of the batches before it.
+A micro-batch says that a source has more; what it has is taken over in pieces of about ``most_bytes``, each
+one commit of the destination log together with the source offsets it covers. Work between two saved
+positions is therefore bounded, whatever has piled up, and a failure redoes one piece.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logferry.operators.ranking import offset_stats
-from logferry.operators.scans import slice_log
-from logferry.operators.small import local_table
 from logferry.plans.transfer import (
+    SourceCluster,
+    Untrusted,
     committed_progress,
     same_shape,
     save_progress,
+    take_over,
     trusted_head,
 )
 from logferry.sources.cluster import Cluster
 from logferry.sources.files import Files, fresh_name
-from logferry.sources.topic_log import TopicLog
-from logferry.streaming.scans import stream_from_end, stream_from_progress
+from logferry.sources.source import PIECE_BYTES, Source
+from logferry.sources.topic_log import RUN, Head, TopicLog
+
+#: Seconds between two attempts at a piece that failed: at first, and at most.
+FIRST_WAIT, LONGEST_WAIT = 0.5, 60.0
 
 
 def clone_stream(
-    source: Cluster,
+    source: SourceCluster,
     source_topic: str,
     dest: Cluster,
     name: str,
     checkpoint: str,
     available_now: bool = False,
     every: str | None = None,
+    most_bytes: int = PIECE_BYTES,
+    patience: float = 0.0,
 ) -> StreamingQuery:
     """Keep ``name`` up to date with ``source_topic``, with saved progress.
 
-    The progress committed with the records decides, not the checkpoint: a batch drops what the
-    destination already holds. A replayed batch adds nothing and a lost checkpoint costs rereading.
-    ``every`` is the time between micro-batches and so decides how many commits there will be.
+    The progress committed with the records decides, not the checkpoint: what the destination already holds
+    is not read again. A replayed batch adds nothing and a lost checkpoint costs nothing but a listing.
+    ``every`` is the time between micro-batches. A piece that fails is tried again for ``patience`` seconds,
+    so an outage of the destination is waited through.
     """
-    origin, target = source.describe(source_topic), dest.describe(name)
+    origin, target = source.source(source_topic), dest.describe(name)
     same_shape(origin, target)
     log = dest.open(target).create()
-    rows = stream_from_progress(
-        source.open(origin),
-        committed_progress(log, trusted_head(log, origin), origin["topic_id"]),
-    )
+    copied = trusted_head(log, origin.topic_id).copied.get(origin.topic_id, {})
 
     def copy(batch: DataFrame, batch_id: int) -> None:
         here = Cluster(batch.sparkSession, dest.root, dest.cluster_id)
         sink = here.open(target)
-        head = trusted_head(sink, origin)
-        done = committed_progress(sink, head, origin["topic_id"])
-        starts = done.select(
-            "partition",
-            F.coalesce("next_offset", F.lit(0)).alias("low"),
-            F.lit(None).cast("long").alias("high"),
-        )
-        fresh = slice_log(batch, starts)
-        stats = offset_stats(fresh).collect()
-        if stats:
-            ends = {r["partition"]: r["high"] for r in stats}
-            head = sink.append(fresh, copied=(origin["topic_id"], ends), stats=stats)
-        save_progress(
-            here, target, source, origin, committed_progress(sink, head, origin["topic_id"])
-        )
-
-    return _start(rows, copy, f"clone {name}", checkpoint, available_now, every)
+
+        def save(head: Head) -> None:
+            save_progress(here, target, origin, committed_progress(sink, head, origin.topic_id))
+
+        head_of = lambda: trusted_head(sink, origin.topic_id)
+        _take_all(origin, sink, origin.topic_id, head_of, {}, batch, most_bytes, patience, save)
+
+    return _start(origin.changes(copied), copy, f"clone {name}", checkpoint, available_now, every)
 
 
 def forward(
-    source: Cluster,
+    source: SourceCluster,
     source_topic: str,
     dest: Cluster,
     name: str,
@@ -80,46 +77,84 @@ def forward(
     available_now: bool = False,
     every: str | None = None,
     positions: dict[int, int] | None = None,
+    most_bytes: int = PIECE_BYTES,
+    patience: float = 0.0,
 ) -> StreamingQuery:
     """Forward records produced after now (or after ``bounds``).
 
     Nothing is remembered for the next run, which takes a new ``checkpoint`` folder. Starting again
     with the same folder continues the same run: from the end captured then, without repeating a
-    batch. ``positions`` is filled with the next source offset per partition, for status only.
+    record. ``positions`` is filled with the next source offset per partition, for status only. A piece
+    that fails is tried again for ``patience`` seconds.
     """
-    origin, target = source.describe(source_topic), dest.describe(name)
+    origin, target = source.source(source_topic), dest.describe(name)
     same_shape(origin, target)
     dest.open(target).create()
-    log = source.open(origin)
-    run, ends = _run(log, checkpoint, bounds)
-    rows = stream_from_end(log, ends)
+    run, ends = _run(Files(dest.spark), origin, checkpoint, bounds)
 
     def copy(batch: DataFrame, batch_id: int) -> None:
         sink = Cluster(batch.sparkSession, dest.root, dest.cluster_id).open(target)
-        stats = offset_stats(batch).collect()
-        if stats:
-            sink.append(batch, batch=(run, batch_id), stats=stats)
-            if positions is not None:
-                positions.update({r["partition"]: r["high"] for r in stats})
 
-    return _start(rows, copy, f"forward {name}", checkpoint, available_now, every)
+        def head_of() -> Head:
+            head = sink.head()
+            if run not in head.copied and run <= head.forgotten:
+                raise Untrusted(f"the run of {checkpoint} is too long ago; start a new one")
+            return head
 
-
-def _run(log: TopicLog, checkpoint: str, bounds: DataFrame | None) -> tuple[str, DataFrame]:
-    """Name and captured ends of the run that ``checkpoint`` belongs to."""
-    files = Files(log.spark)
+        def note(head: Head) -> None:
+            if positions is not None:
+                positions.update(head.copied.get(run, {}))
+
+        _take_all(origin, sink, run, head_of, ends, batch, most_bytes, patience, note)
+
+    return _start(origin.changes(ends), copy, f"forward {name}", checkpoint, available_now, every)
+
+
+def _take_all(
+    origin: Source,
+    sink: TopicLog,
+    key: str,
+    head_of: Callable[[], Head],
+    starts: Mapping[int, int],
+    batch: DataFrame,
+    most_bytes: int,
+    patience: float,
+    after: Callable[[Head], None],
+) -> None:
+    """Take over all that a micro-batch announces. Each attempt begins at what the destination has committed,
+    so trying again neither loses nor repeats a record, wherever the failure was."""
+    wait, given_up = FIRST_WAIT, time.monotonic() + patience
+    while True:
+        try:
+            head = head_of()
+            begin = {p: head.copied.get(key, {}).get(p, starts.get(p, 0)) for p in range(origin.partitions)}
+            for piece in origin.arrived(batch, begin, most_bytes):
+                head = take_over(sink, key, piece, head)
+                given_up = time.monotonic() + patience
+                after(head)
+            after(head)
+            return
+        except Untrusted:
+            raise
+        except Exception:
+            if time.monotonic() + wait > given_up:
+                raise
+            time.sleep(wait)
+            wait = min(2 * wait, LONGEST_WAIT)
+
+
+def _run(files: Files, origin: Source, checkpoint: str, bounds: DataFrame | None) -> tuple[str, dict[int, int]]:
+    """Name and captured ends of the run that ``checkpoint`` belongs to. Names sort by time."""
     note = f"{checkpoint}/forward.json"
     if not files.exists(note):
-        ends = (log.bounds() if bounds is None else bounds).select("partition", "high").collect()
+        ends = (origin.bounds() if bounds is None else bounds).select("partition", "high").collect()
         files.mkdirs(checkpoint)
         # Written aside and renamed, so that a crash leaves a whole note or none.
-        files.write_json(
-            f"{note}.new", {"run": fresh_name(), "ends": [[p, high] for p, high in ends]}
-        )
+        name = f"{RUN}{time.time_ns():020d}-{fresh_name()}"
+        files.write_json(f"{note}.new", {"run": name, "ends": [[p, high] for p, high in ends]})
         files.publish(f"{note}.new", note)
     saved = files.read_json(note)
-    rows = ({"partition": p, "high": high} for p, high in saved["ends"])
-    return saved["run"], local_table(log.spark, rows, ["partition", "high"])
+    return saved["run"], dict(saved["ends"])
 
 
 def _start(rows, copy, name, checkpoint, available_now, every) -> StreamingQuery:
