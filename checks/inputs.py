@@ -138,7 +138,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.spark = spark
+        self.spark, self.folder = spark, folder
         for table in TABLES:
             frame = spark.read.parquet(f"{folder}/{table}.parquet")
             setattr(self, table, frame)
@@ -154,6 +154,18 @@ class Inputs:
     def orders_log(self) -> DataFrame:
         return self._sql(ORDERS_LOG)
 
+    def payload_log(self) -> DataFrame:
+        """Documents and pages as records of two partitions, of very different sizes, with gaps between offsets."""
+        parts = [("documents", 0, "doc_id * 3", "source", "text"), ("pages", 1, "page_id * 2", "url", "html")]
+        frames = [
+            self.spark.read.parquet(f"{self.folder}/{table}.parquet").selectExpr(
+                f"{n} AS partition", f"{offset} AS offset", "cast(null AS bigint) AS timestamp_ms", f"cast({key} AS binary) AS key",
+                f"cast({value} AS binary) AS value", "cast(array() AS array<struct<key:string,value:binary>>) AS headers",
+            )
+            for table, n, offset, key, value in parts
+        ]
+        return frames[0].unionByName(frames[1])
+
     def shared(self, name: str) -> DataFrame:
         text = SHARED[name].replace("{partition}", "`partition`")
         if name in ("traits", "raw_declared"):

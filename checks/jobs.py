@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from checks.inputs import EVENT_PARTITIONS, ORDER_PARTITIONS, Inputs
 from logferry.functions import headers_text, normalize, with_digest
-from logferry.operators import catalog, mappings, progress, ranking, records, scans, state
+from logferry.operators import catalog, mappings, placement, progress, ranking, records, scans, state
 from logferry.operators.digest import fingerprint, root_digest, roundtrip_check
 from logferry.plans.run import finish, restore_all, run
 from logferry.plans.transfer import clone, dump, restore
 from logferry.schemas import MAPPINGS
-from logferry.sources.archive import read_archive, read_manifest, write_archive
+from logferry.sources.archive import archive_differences, read_archive, read_manifest, write_archive
 from logferry.sources.cluster import Cluster
 from logferry.sources.files import shared_folder
 from logferry.streaming.jobs import clone_stream, forward
@@ -156,7 +156,7 @@ def archive_scan(inputs: Inputs) -> DataFrame:
 def archive_write(inputs: Inputs) -> DataFrame:
     path = f"{shared_folder(inputs.spark)}/orders"
     rows = records.to_archive(inputs.orders_log())
-    write_archive(rows, path, ORDER_PARTITIONS + 1, fan_in=FAN_IN)
+    write_archive(rows, path, ORDER_PARTITIONS + 1)
     return manifest_rows(inputs.spark, path)
 
 
@@ -256,6 +256,27 @@ def roundtrip_check_(inputs: Inputs) -> DataFrame:
     return roundtrip_check(left, left.withColumn("value", changed), FAN_IN)
 
 
+@query
+def archive_differences_(inputs: Inputs) -> DataFrame:
+    left = records.to_archive(inputs.events_log())
+    changed = F.when(F.decode("value", "UTF-8").contains("7"), F.lit(b"")).otherwise(F.col("value"))
+    place = shared_folder(inputs.spark)
+    write_archive(left, f"{place}/left", EVENT_PARTITIONS)
+    write_archive(left.withColumn("value", changed), f"{place}/right", EVENT_PARTITIONS)
+    return archive_differences(inputs.spark, f"{place}/left", f"{place}/right")
+
+
+@query
+def payload_sequence(inputs: Inputs) -> DataFrame:
+    """Positions of large records, ranked by tasks of about equal bytes."""
+    log = inputs.payload_log()
+    plan = placement.layout(log, ranking.offset_stats(log).collect())
+    kept = log.withColumn("at", F.col("offset"))
+    return placement.placed(kept, plan).select(
+        "partition", F.col("at").alias("offset"), "seq", F.octet_length("value").cast("long").alias("n_bytes")
+    )
+
+
 @query
 def partition_counts(inputs: Inputs) -> DataFrame:
     rows = inputs.events.select(
@@ -428,7 +449,7 @@ def apply_actions(inputs: Inputs) -> DataFrame:
 def dump_job(inputs: Inputs) -> DataFrame:
     log = source_cluster(inputs).import_topic("events", inputs.events_log(), EVENT_PARTITIONS)
     path = f"{shared_folder(inputs.spark)}/events"
-    dump(log, path, fan_in=FAN_IN)
+    dump(log, path)
     return manifest_rows(inputs.spark, path)
 
 
@@ -482,6 +503,22 @@ def clone_continuous(inputs: Inputs) -> DataFrame:
     return with_progress(dest)
 
 
+@query
+def clone_backlog(inputs: Inputs) -> DataFrame:
+    """What piled up in five commits is copied in pieces smaller than all of it, by a clone and by a stream."""
+    log, source, dest = inputs.events_log(), source_cluster(inputs), dest_cluster(inputs)
+    end = log.agg(F.max("offset") + 1).first()[0]
+    topic = source.create_topic("events", EVENT_PARTITIONS)
+    dest.create_topic("copy", EVENT_PARTITIONS)
+    for step in range(5):
+        topic.ingest(log.where((F.col("offset") >= end * step // 5) & (F.col("offset") < end * (step + 1) // 5)))
+        if step == 1:
+            clone(source, "events", dest, "copy", most_bytes=topic.head().total_bytes // 2)
+    most = topic.head().total_bytes // 3
+    finish([clone_stream(source, "events", dest, "copy", f"{shared_folder(inputs.spark)}/c", available_now=True, most_bytes=most)])
+    return with_progress(dest)
+
+
 @query
 def forward_new(inputs: Inputs) -> DataFrame:
     before, after = split(inputs.events_log())

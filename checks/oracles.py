@@ -351,3 +351,8 @@ WHERE (p.source_cluster, p.source_topic, p.source_topic_id)
     ),
 }
 ORACLES["clone_continuous"] = ORACLES["clone_bounded"]
+ORACLES["clone_backlog"] = ORACLES["clone_bounded"]
+ORACLES["archive_differences"] = ORACLES["roundtrip_check"]
+ORACLES["payload_sequence"] = """SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY "offset") - 1 AS seq FROM (
+SELECT 0::INT AS "partition", doc_id * 3 AS "offset", strlen(text)::BIGINT AS n_bytes FROM documents
+UNION ALL SELECT 1::INT, page_id * 2, strlen(html)::BIGINT FROM pages)"""

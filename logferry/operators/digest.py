@@ -42,14 +42,18 @@ def fingerprint(
     archive: DataFrame, partitions: int | DataFrame, fan_in: int = FAN_IN
 ) -> DataFrame:
     """(partition, records, digest) for every declared partition, empty ones included."""
-    leaves = leaf_digests(archive, fan_in).withColumn("d", F.unhex("digest"))
-    blocks = leaves.groupBy("partition", F.expr(f"leaf div {int(fan_in)}").alias("block")).agg(
+    return fold_leaves(leaf_digests(archive, fan_in), partitions, fan_in)
+
+
+def fold_leaves(leaves: DataFrame, partitions: int | DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+    """(partition, records, digest) from the rows of ``leaf_digests``."""
+    blocks = leaves.withColumn("d", F.unhex("digest")).groupBy("partition", F.expr(f"leaf div {int(fan_in)}").alias("block")).agg(
         F.sum("records").alias("records"), F.unhex(_joined("d", "leaf")).alias("d")
     )
     whole = blocks.groupBy("partition").agg(
         F.sum("records").alias("records"), _joined("d", "block").alias("digest")
     )
-    declared = partition_ids(archive.sparkSession, partitions)
+    declared = partition_ids(leaves.sparkSession, partitions)
     return declared.join(whole, "partition", "left").select(
         "partition",
         F.coalesce("records", F.lit(0)).alias("records"),

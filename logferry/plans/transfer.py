@@ -8,8 +8,8 @@ from typing import Protocol
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logferry.operators.digest import FAN_IN
-from logferry.operators.ranking import is_dense, offset_stats, renumber
+from logferry.operators.placement import TASK_BYTES, layout, placed
+from logferry.operators.ranking import offset_stats
 from logferry.operators.scans import beyond_end
 from logferry.operators.small import local_table
 from logferry.operators.state import upsert_state
@@ -23,13 +23,14 @@ from logferry.schemas import (
 )
 from logferry.sources.archive import (
     BrokenArchive,
+    is_archive,
     matches_manifest,
     read_archive,
     read_manifest,
     write_archive,
 )
 from logferry.sources.cluster import Cluster
-from logferry.sources.files import AlreadyPublished, Files
+from logferry.sources.files import AlreadyPublished
 from logferry.sources.source import PIECE_BYTES, FileSource, Piece, Source
 from logferry.sources.topic_log import RUN, Head, TopicLog
 
@@ -49,7 +50,7 @@ class Untrusted(RuntimeError):
     """The destination holds records that saved progress does not account for."""
 
 
-def dump(log: TopicLog | Source, archive: str, force: bool = False, fan_in: int = FAN_IN) -> dict:
+def dump(log: TopicLog | Source, archive: str, force: bool = False) -> dict:
     """Archive everything up to the end captured now; returns the archive's manifest.
 
     The end is resolved once: every pass over a topic that goes on growing reads the same records.
@@ -57,26 +58,23 @@ def dump(log: TopicLog | Source, archive: str, force: bool = False, fan_in: int
     if isinstance(log, TopicLog):
         log = FileSource(log, "", "", "")
     bounds = log.bounds()
-    if Files(bounds.sparkSession).exists(archive) and not force:
+    if not force and is_archive(bounds.sparkSession, archive):
         raise AlreadyPublished(f"archive {archive} already exists; pass force to replace it")
-    return dump_rows(log.slice(bounds), archive, log.partitions, force, fan_in)
+    return dump_rows(log.slice(bounds), archive, log.partitions, force)
 
 
 def dump_rows(
-    rows: DataFrame, archive: str, partitions: int, force: bool = False, fan_in: int = FAN_IN
+    rows: DataFrame, archive: str, partitions: int, force: bool = False, task_bytes: int = TASK_BYTES
 ) -> dict:
-    """Archive bounded LOG rows of any source.
+    """Archive bounded LOG rows of any source, with gaps in their offsets or without.
 
-    The rows are shuffled once. A log without gaps takes its positions from the offsets and is laid
-    out by slab; a gappy one is ranked, which already leaves the rows in runs.
+    Offsets are read to count, then records to measure them, and then the records are shuffled once, to
+    tasks of about ``task_bytes`` that each write one run of positions.
     """
     stats = offset_stats(rows).collect()
-    numbered = renumber(rows, stats, {}, "seq")
-    ranked = not is_dense(stats)
     counted = sum(r["records"] for r in stats)
-    return write_archive(
-        numbered, archive, partitions, force, placed=ranked, fan_in=fan_in, expected=counted
-    )
+    numbered = placed(rows, layout(rows, stats, task_bytes))
+    return write_archive(numbered, archive, partitions, force, placed=True, expected=counted)
 
 
 def topic_key(cluster: Cluster, name: str) -> DataFrame:
@@ -129,9 +127,10 @@ def restore(dest: Cluster, name: str, archive: str) -> bool:
     if log.head().commit:
         raise ValueError(f"topic {name} is not empty and was not restored completely")
     mark(dest, topic, manifest["digest"], IN_PROGRESS)
-    # Appending numbers the rows of each partition from 0 in archive order.
+    # Positions are proved to be 0 to n-1, so the manifest's counts are all that an append has to know.
     rows = read_archive(spark, archive).withColumnRenamed("seq", "offset")
-    log.append(rows, stats=offset_stats(rows).collect())
+    stats = [{**p, "low": 0, "high": p["records"]} for p in manifest["partitions"] if p["records"]]
+    log.append(rows, stats=stats)
     # What lies in the topic now is hashed and compared: the manifest alone proves nothing.
     restored = log.scan().withColumnRenamed("offset", "seq")
     if not matches_manifest(restored, manifest):

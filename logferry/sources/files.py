@@ -36,6 +36,11 @@ class Files:
     def delete(self, path: str) -> None:
         self._fs(path).delete(self._path(path), True)
 
+    def delete_empty(self, path: str) -> None:
+        """Delete a folder if it holds nothing."""
+        if self.exists(path) and not self.names(path):
+            self.delete(path)
+
     def size(self, path: str) -> int:
         """Bytes of all files under ``path``."""
         return self._fs(path).getContentSummary(self._path(path)).getLength()

@@ -12,7 +12,7 @@ from logferry.operators.digest import fingerprint
 from logferry.plans.run import Copy, EndedEarly, finish_copies
 from logferry.plans.transfer import dump, restore
 from logferry.schemas import ARCHIVE, ARCHIVE_COLUMNS
-from logferry.sources.archive import BrokenArchive, read_archive, write_archive
+from logferry.sources.archive import BrokenArchive, data_folder, read_archive, verify_archive, write_archive
 from logferry.sources.files import Files
 from logferry.sources.tables import SmallTable
 
@@ -28,11 +28,11 @@ def archive(source, make_log, tmp_path):
 
 def tampered(spark, path, change):
     """Replace the data files by others that ``change`` makes, with the same counts and positions."""
-    rows = change(spark.read.parquet(f"{path}/partition=0"))
-    rows.write.parquet(f"{path}-new")
+    folder = f"{data_folder(spark, path)}/partition=0"
+    change(spark.read.parquet(folder)).write.parquet(f"{path}-new")
     files = Files(spark)
-    files.delete(f"{path}/partition=0")
-    files.publish(f"{path}-new", f"{path}/partition=0")
+    files.delete(folder)
+    files.publish(f"{path}-new", folder)
 
 
 @pytest.mark.parametrize("change", [lambda r: r.withColumn("value", F.lit(b"x")), lambda r: r.withColumn("seq", F.when(F.col("seq") == 1, 0).otherwise(F.col("seq")).cast("long"))])
@@ -44,20 +44,43 @@ def test_restore_refuses_changed_contents(spark, dest, archive, change):
     assert not dest.markers.read().where("status = 'complete'").count()
 
 
-def test_failed_replacement_keeps_the_old_archive(spark, archive, monkeypatch):
-    old = read_archive(spark, archive).count()
-    real, calls = Files.publish, []
-
-    def failing(self, staged, target):
-        calls.append(target)
-        if target == archive and len(calls) == 2:
-            raise OSError("no space")
-        return real(self, staged, target)
-
-    monkeypatch.setattr(Files, "publish", failing)
-    with pytest.raises(OSError):
-        write_archive(read_archive(spark, archive), archive, 1, force=True)
-    assert read_archive(spark, archive).count() == old
+@pytest.mark.parametrize("step", ["write_json", "publish", "delete", "read_json"])
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_writer_killed_at_any_step_leaves_an_archive(spark, archive, monkeypatch, step, when):
+    held = lambda: read_archive(spark, archive).orderBy("seq").collect()
+    old = held()
+    new = read_archive(spark, archive).withColumn("value", F.lit(b"new"))
+    real = getattr(Files, step)
+
+    class Killed(BaseException):
+        pass
+
+    dead = []
+
+    def killed(self, *args):
+        # Nothing at all happens after a kill, not even cleaning up.
+        if dead:
+            raise Killed
+        if when == "after":
+            real(self, *args)
+        dead.append(1)
+        raise Killed
+
+    for name in ("delete", "delete_empty"):
+        kept = getattr(Files, name)
+        monkeypatch.setattr(Files, name, lambda self, *a, kept=kept: None if dead else kept(self, *a))
+    monkeypatch.setattr(Files, step, killed)
+    with pytest.raises(Killed):
+        write_archive(new, archive, 1, force=True)
+    monkeypatch.undo()
+    found = held()
+    published = step in ("delete", "read_json") or (step, when) == ("publish", "after")
+    assert [r["value"] for r in found] == ([b"new"] * 3 if published else [r["value"] for r in old])
+    verify_archive(spark, archive)
+    # And the next writer goes on from there.
+    write_archive(read_archive(spark, archive), f"{archive}-copy", 1)
+    write_archive(read_archive(spark, f"{archive}-copy"), archive, 1, force=True)
+    assert held() == found
 
 
 def test_a_source_that_changed_is_not_published(spark, archive, tmp_path):
