@@ -8,6 +8,7 @@ holds a partition: with the default a partition of 10^11 records ends in about 6
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,21 +47,30 @@ def fingerprint(
 
 
 def fold_leaves(leaves: DataFrame, partitions: int | DataFrame, fan_in: int = FAN_IN) -> DataFrame:
-    """(partition, records, digest) from the rows of ``leaf_digests``."""
-    blocks = leaves.withColumn("d", F.unhex("digest")).groupBy("partition", F.expr(f"leaf div {int(fan_in)}").alias("block")).agg(
-        F.sum("records").alias("records"), F.unhex(_joined("d", "leaf")).alias("d")
-    )
-    whole = blocks.groupBy("partition").agg(
-        F.sum("records").alias("records"), _joined("d", "block").alias("digest")
-    )
+    """(partition, records, digest) of every declared partition from the rows of ``leaf_digests``."""
     declared = partition_ids(leaves.sparkSession, partitions)
-    return declared.join(whole, "partition", "left").select(
+    return declared.join(fold_found(leaves, fan_in), "partition", "left").select(
         "partition",
         F.coalesce("records", F.lit(0)).alias("records"),
         F.coalesce("digest", F.lit(NO_RECORDS)).alias("digest"),
     )
 
 
+def fold_found(leaves: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+    """(partition, records, digest) of the partitions that hold records, declared or not."""
+    blocks = leaves.withColumn("d", F.unhex("digest")).groupBy("partition", F.expr(f"leaf div {int(fan_in)}").alias("block")).agg(
+        F.sum("records").alias("records"), F.unhex(_joined("d", "leaf")).alias("d")
+    )
+    return blocks.groupBy("partition").agg(
+        F.sum("records").alias("records"), _joined("d", "block").alias("digest")
+    )
+
+
+def root_of(digests: Sequence[str]) -> str:
+    """The root over the digests of all declared partitions, in order: what ``root_digest`` gives."""
+    return hashlib.sha256("|".join([str(ARCHIVE_FORMAT), str(len(digests)), "".join(digests)]).encode()).hexdigest()
+
+
 def root_digest(partition_digests: DataFrame) -> DataFrame:
     """One row (partitions, records, digest) over one row per log partition."""
     ordered = F.array_join(

@@ -46,8 +46,9 @@ class Layout:
 
     width: int
     tasks: int
-    #: Bytes of the largest task.
+    #: Bytes of the largest task, and records of all.
     most_bytes: int
+    records: int
     #: (partition, fine, task, base): base is the number of records before the task in its partition.
     table: pa.Table
 
@@ -59,7 +60,8 @@ def choose_width(stats: Sequence[Row], ranges: int) -> int:
 
 
 def layout(log: DataFrame, stats: Sequence[Row], task_bytes: int = TASK_BYTES, position: str = "offset") -> Layout:
-    """Tasks of about ``task_bytes`` for ``log``, whose ``offset_stats`` are ``stats``.
+    """Tasks of about ``task_bytes`` for ``log``, whose offsets lie within ``stats``: its ``offset_stats`` or
+    its bounds.
 
     Where a fine range holds more than a task should, ranges are made finer once, as far as ``FINE_RANGES``
     allows. Ranges are never divided between tasks.
@@ -82,7 +84,7 @@ def arranged(found: pa.Table, width: int, task_bytes: int) -> Layout:
     partition, fine, records, size = partition[order], fine[order], records[order], size[order]
     if not len(order):
         empty = {"partition": pa.array([], pa.int32()), "fine": pa.array([], pa.int64()), "task": pa.array([], pa.int32()), "base": pa.array([], pa.int64())}
-        return Layout(width, 1, 0, pa.table(empty))
+        return Layout(width, 1, 0, 0, pa.table(empty))
     new_partition = np.diff(partition, prepend=partition[0] - 1) != 0
     first = np.flatnonzero(new_partition)[np.cumsum(new_partition) - 1]
     before = lambda v: (np.cumsum(v) - v) - (np.cumsum(v) - v)[first]
@@ -93,7 +95,7 @@ def arranged(found: pa.Table, width: int, task_bytes: int) -> Layout:
     base = before(records)[np.flatnonzero(new_task)[task]]
     most = int(np.bincount(task, weights=size).max())
     table = pa.table({"partition": pa.array(partition, pa.int32()), "fine": fine, "task": pa.array(task, pa.int32()), "base": base})
-    return Layout(width, int(task[-1]) + 1, most, table)
+    return Layout(width, int(task[-1]) + 1, most, int(records.sum()), table)
 
 
 def placed(log: DataFrame, plan: Layout, position: str = "offset", to: str = "seq") -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from logferry.operators.placement import TASK_BYTES, layout, placed
@@ -60,21 +60,24 @@ def dump(log: TopicLog | Source, archive: str, force: bool = False) -> dict:
     bounds = log.bounds()
     if not force and is_archive(bounds.sparkSession, archive):
         raise AlreadyPublished(f"archive {archive} already exists; pass force to replace it")
-    return dump_rows(log.slice(bounds), archive, log.partitions, force)
+    return dump_rows(log.slice(bounds), archive, log.partitions, force, span=bounds.collect())
 
 
 def dump_rows(
-    rows: DataFrame, archive: str, partitions: int, force: bool = False, task_bytes: int = TASK_BYTES
+    rows: DataFrame,
+    archive: str,
+    partitions: int,
+    force: bool = False,
+    task_bytes: int = TASK_BYTES,
+    span: Sequence[Row] | None = None,
 ) -> dict:
     """Archive bounded LOG rows of any source, with gaps in their offsets or without.
 
-    Offsets are read to count, then records to measure them, and then the records are shuffled once, to
-    tasks of about ``task_bytes`` that each write one run of positions.
+    Records are counted and measured, then shuffled once, to tasks of about ``task_bytes`` that each write
+    one run of positions. ``span`` has (partition, low, high), where these are known to hold all offsets.
     """
-    stats = offset_stats(rows).collect()
-    counted = sum(r["records"] for r in stats)
-    numbered = placed(rows, layout(rows, stats, task_bytes))
-    return write_archive(numbered, archive, partitions, force, placed=True, expected=counted)
+    plan = layout(rows, offset_stats(rows).collect() if span is None else span, task_bytes)
+    return write_archive(placed(rows, plan), archive, partitions, force, placed=True, expected=plan.records)
 
 
 def topic_key(cluster: Cluster, name: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logferry.functions import normalize, record_digest
-from logferry.operators.digest import FAN_IN, fingerprint, fold_leaves, leaf_digests, root_digest
+from logferry.operators.digest import FAN_IN, NO_RECORDS, fold_found, leaf_digests, root_of
 from logferry.operators.placement import by_position
 from logferry.schemas import ARCHIVE, ARCHIVE_COLUMNS, ARCHIVE_FORMAT
 from logferry.sources.files import AlreadyPublished, Files, fresh_name
@@ -192,44 +192,50 @@ def _forget(files: Files, path: str, upto: int) -> None:
 
 def _describe(spark: SparkSession, data: str, partitions: int) -> dict:
     """Digests of what was really written, read back from its files; their leaves are kept beside it."""
-    leaf_digests(_rows(spark, data)).select("partition", "leaf", "records", "digest").write.mode("overwrite").parquet(f"{data}/_leaves")
-    rows = fold_leaves(_leaves(spark, data), partitions).orderBy("partition").collect()
-    # Row counts come from the file footers.
-    if _rows(spark, data).count() != sum(r["records"] for r in rows):
+    leaf_digests(_rows(spark, data)).select("partition", "leaf", "records", "digest").write.parquet(f"{data}/_leaves")
+    found = _prints(_leaves(spark, data))
+    if not found.keys() <= set(range(partitions)):
         raise BrokenArchive(f"records lie outside the {partitions} declared partitions")
-    top = root_digest(_print_table(spark, rows)).first()
+    entries = [(p, *found.get(p, (0, NO_RECORDS))) for p in range(partitions)]
     return {
         "format_version": ARCHIVE_FORMAT,
         "fan_in": FAN_IN,
-        "partitions": [r.asDict() for r in rows],
-        "records": top["records"],
-        "digest": top["digest"],
+        "partitions": [{"partition": p, "records": n, "digest": d} for p, n, d in entries],
+        "records": sum(n for _, n, _ in entries),
+        "digest": root_of([d for *_, d in entries]),
     }
 
 
+def _prints(leaves: DataFrame, fan_in: int = FAN_IN) -> dict[int, tuple[int, str]]:
+    """Records and digest by partition, of those that hold records. One row per log partition."""
+    return {r["partition"]: (r["records"], r["digest"]) for r in fold_found(leaves, fan_in).collect()}
+
+
 def _leaves(spark: SparkSession, data: str) -> DataFrame:
     return spark.read.schema(LEAVES).parquet(f"{data}/_leaves")
 
 
-def _print_table(spark: SparkSession, rows) -> DataFrame:
-    return spark.createDataFrame(rows, "`partition` INT, records BIGINT, digest STRING")
+def _damaged(rows: DataFrame, manifest: dict) -> list[int]:
+    """Partitions whose records are not those that the manifest vouches for."""
+    declared = {p["partition"]: (p["records"], p["digest"]) for p in manifest["partitions"]}
+    fan_in = manifest["fan_in"]
+    found = _prints(leaf_digests(rows, fan_in), fan_in)
+    nothing = (0, NO_RECORDS)
+    return sorted(p for p in declared.keys() | found.keys() if found.get(p, nothing) != declared.get(p, nothing))
 
 
 def matches_manifest(rows: DataFrame, manifest: dict) -> bool:
     """Whether ``rows`` (ARCHIVE) are the contents that the manifest vouches for, record by record."""
-    declared = {p["partition"]: (p["records"], p["digest"]) for p in manifest["partitions"]}
-    prints = fingerprint(rows, len(declared), manifest["fan_in"]).collect()
-    return declared == {r["partition"]: (r["records"], r["digest"]) for r in prints}
+    return not _damaged(rows, manifest)
 
 
 def verify_archive(spark: SparkSession, path: str) -> None:
     """Recompute every digest of an archive from its records; raises where one differs."""
     manifest, data = _located(spark, path)
-    found = fingerprint(_rows(spark, data), len(manifest["partitions"]), manifest["fan_in"]).orderBy("partition").collect()
-    for declared, actual in zip(manifest["partitions"], found, strict=True):
-        if declared != actual.asDict():
-            raise BrokenArchive(f"partition {declared['partition']} of archive {path} is damaged")
-    if manifest["digest"] != root_digest(_print_table(spark, found)).first()["digest"]:
+    damaged = _damaged(_rows(spark, data), manifest)
+    if damaged:
+        raise BrokenArchive(f"partition {damaged[0]} of archive {path} is damaged")
+    if manifest["digest"] != root_of([p["digest"] for p in manifest["partitions"]]):
         raise BrokenArchive(f"archive {path} does not match its digest")
 
 

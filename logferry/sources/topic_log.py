@@ -151,10 +151,15 @@ class TopicLog:
         rows = self.spark.readStream.schema(f"{LOG}, commit BIGINT").parquet(self.data)
         return rows.where(F.col("commit") > after).select("commit")
 
-    def stream(self, after: int = 0) -> DataFrame:
-        """Unbounded LOG rows. A micro-batch always takes whole commits, because the number of
-        files per trigger is not limited; progress is therefore always a prefix."""
-        rows = self.spark.readStream.schema(f"{LOG}, commit BIGINT").parquet(self.data)
+    def stream(self, after: int = 0, most_bytes: int | None = None) -> DataFrame:
+        """Unbounded LOG rows. Without a limit a micro-batch takes whole commits, so progress is always a
+        prefix. With ``most_bytes`` it takes as many files as that allows and may end inside a commit: for
+        consumers that need every record once, not every batch to be a prefix. The copies limit their work
+        without it, see ``commit_ranges``."""
+        reader = self.spark.readStream.schema(f"{LOG}, commit BIGINT")
+        if most_bytes is not None:
+            reader = reader.option("maxBytesPerTrigger", most_bytes)
+        rows = reader.parquet(self.data)
         if after:
             rows = rows.where(F.col("commit") > after)
         return normalize(rows).select(*LOG_COLUMNS)

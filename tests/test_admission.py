@@ -18,6 +18,7 @@ from logferry.sources.source import cut_evenly, ranges
 from logferry.sources.topic_log import TopicLog
 from logferry.streaming import jobs
 from logferry.streaming.jobs import clone_stream, forward
+from logferry.streaming.scans import stream_from_progress
 from tests.test_transfer import rows_of
 
 
@@ -130,6 +131,17 @@ def test_a_stream_reads_no_record_of_what_it_has(backlog, source, dest, tmp_path
     assert dest.topic("copy").head().commit == before
 
 
+def test_a_record_stream_with_a_limit(spark, backlog, tmp_path):
+    place = str(tmp_path / "rows")
+    saved = spark.createDataFrame([(0, 5), (1, None)], "`partition` INT, next_offset BIGINT")
+    stream = stream_from_progress(backlog, saved, most_bytes=6_000)
+    query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(place)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) > 3
+    got = spark.read.parquet(place).orderBy("partition", "offset").collect()
+    assert [r["value"] for r in got] == [r[2] for r in rows_of(backlog) if r[0] or r[1] >= 5]
+
+
 def test_offsets_of_old_runs_are_forgotten(source, dest, make_log, tmp_path, monkeypatch):
     monkeypatch.setattr(topic_log, "KEPT_RUNS", 2)
     log = source.import_topic("t", make_log((0, 0, b"a")), 1)
