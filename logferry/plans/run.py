@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor, as_completed
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +20,8 @@ from logferry.schemas import MAPPINGS_COLUMNS
 from logferry.sources.archive import read_manifest
 from logferry.sources.cluster import Cluster
 from logferry.sources.files import Files, fresh_name
-from logferry.streaming.jobs import clone_stream, forward
+from logferry.sources.source import PIECE_BYTES
+from logferry.streaming.jobs import Figures, clone_stream, forward
 
 
 class BadMappings(ValueError):
@@ -75,6 +76,8 @@ class Copy:
     positions: dict[int, int]
     # Whether the query ends by itself when it has reached the present end.
     bounded: bool = False
+    # Live offsets and errors of its micro-batches.
+    figures: Figures = field(default_factory=Figures)
 
 
 def run(
@@ -85,8 +88,14 @@ def run(
     force: bool = False,
     available_now: bool = False,
     every: str | None = None,
+    most_bytes: int = PIECE_BYTES,
+    patience: float = 0.0,
 ) -> list[Copy]:
-    """Reconcile, then start one query per clone and stream. Wait with ``finish_copies``."""
+    """Reconcile, then start one query per clone and stream. Wait with ``finish_copies``.
+
+    A backlog is copied in commits of about ``most_bytes``; what fails is tried again for ``patience``
+    seconds before its copy fails, and with it all others.
+    """
     declared = _audited(mappings, sources)
     if not any(m["mode"] in ("clone", "stream") for m in declared):
         raise BadMappings("run needs at least one clone or stream topic")
@@ -96,9 +105,9 @@ def run(
         for m in declared:
             if m["mode"] not in ("clone", "stream"):
                 continue
-            name, positions = m["name"], {}
+            name, positions, figures = m["name"], {}, Figures()
             source, topic = _source(m, sources)
-            timing = {"available_now": available_now, "every": every}
+            timing = {"available_now": available_now, "every": every, "most_bytes": most_bytes, "patience": patience, "figures": figures}
             if m["mode"] == "clone":
                 place = f"{checkpoints}/{name}-{dest.describe(name)['topic_id']}"
                 query = clone_stream(source, topic, dest, name, place, **timing)
@@ -107,7 +116,7 @@ def run(
                 query = forward(
                     source, topic, dest, name, place, positions=positions, **timing
                 )
-            started.append(Copy(name, query, positions, available_now))
+            started.append(Copy(name, query, positions, available_now, figures))
     except BaseException:
         _stop([c.query for c in started])
         raise
@@ -141,13 +150,11 @@ def finish_copies(started: list[Copy]) -> None:
 
 
 def status(dest: Cluster, started: list[Copy]) -> DataFrame:
-    """``copy_status`` of running copies: saved progress of clones, positions of streams, and the
-    error of a copy that failed."""
+    """``copy_status`` of running copies: saved progress of clones, positions of streams, and errors: of the
+    partitions whose last attempt failed while the copy goes on, and of all partitions of a copy that died."""
     spark = dest.spark
-    topics_of = spark.createDataFrame(
-        [(c.topic, dest.describe(c.topic)["partitions"]) for c in started],
-        "topic STRING, partitions INT",
-    )
+    partitions = {c.topic: dest.describe(c.topic)["partitions"] for c in started}
+    topics_of = spark.createDataFrame(list(partitions.items()), "topic STRING, partitions INT")
     listed = topics_of.select(
         "topic", F.explode(F.sequence(F.lit(0), F.col("partitions") - 1)).alias("partition")
     )
@@ -157,10 +164,10 @@ def status(dest: Cluster, started: list[Copy]) -> DataFrame:
     )
     saved = dest.progress.read().where(F.col("dest_cluster") == dest.cluster_id)
     progress = saved.select(F.col("dest_topic").alias("topic"), "partition", "next_offset")
-    failed = [(c.topic, str(c.query.exception())) for c in started if c.query.exception()]
-    errors = listed.join(
-        spark.createDataFrame(failed, "topic STRING, last_error STRING"), "topic"
-    )
+    dead = {c.topic: str(c.query.exception()) for c in started if c.query.exception()}
+    said = {(c.topic, p): message for c in started for p, message in c.figures.last_error.items()}
+    rows = [(c.topic, p, dead.get(c.topic) or said.get((c.topic, p))) for c in started for p in range(partitions[c.topic])]
+    errors = spark.createDataFrame([r for r in rows if r[2]], "topic STRING, `partition` INT, last_error STRING")
     return copy_status(progress.unionByName(passed), errors, listed)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -31,6 +32,18 @@ from logferry.sources.topic_log import RUN, Head, TopicLog
 FIRST_WAIT, LONGEST_WAIT = 0.5, 60.0
 
 
+@dataclass
+class Figures:
+    """What a running copy says of itself. Its micro-batches write here, ``status`` reads."""
+
+    #: Next source offset of each partition.
+    next_offset: dict[int, int] = field(default_factory=dict)
+    #: Message of the last attempt at a partition, while it has not succeeded since.
+    last_error: dict[int, str] = field(default_factory=dict)
+    pieces: int = 0
+    records: int = 0
+
+
 def clone_stream(
     source: SourceCluster,
     source_topic: str,
@@ -41,14 +54,16 @@ def clone_stream(
     every: str | None = None,
     most_bytes: int = PIECE_BYTES,
     patience: float = 0.0,
+    figures: Figures | None = None,
 ) -> StreamingQuery:
     """Keep ``name`` up to date with ``source_topic``, with saved progress.
 
     The progress committed with the records decides, not the checkpoint: what the destination already holds
     is not read again. A replayed batch adds nothing and a lost checkpoint costs nothing but a listing.
     ``every`` is the time between micro-batches. A piece that fails is tried again for ``patience`` seconds,
-    so an outage of the destination is waited through.
+    so an outage of the destination is waited through. ``figures`` is kept up to date.
     """
+    figures = Figures() if figures is None else figures
     origin, target = source.source(source_topic), dest.describe(name)
     same_shape(origin, target)
     log = dest.open(target).create()
@@ -62,7 +77,7 @@ def clone_stream(
             save_progress(here, target, origin, committed_progress(sink, head, origin.topic_id))
 
         head_of = lambda: trusted_head(sink, origin.topic_id)
-        _take_all(origin, sink, origin.topic_id, head_of, {}, batch, most_bytes, patience, save)
+        _take_all(origin, sink, origin.topic_id, head_of, {}, batch, most_bytes, patience, figures, save)
 
     return _start(origin.changes(copied), copy, f"clone {name}", checkpoint, available_now, every)
 
@@ -79,14 +94,16 @@ def forward(
     positions: dict[int, int] | None = None,
     most_bytes: int = PIECE_BYTES,
     patience: float = 0.0,
+    figures: Figures | None = None,
 ) -> StreamingQuery:
     """Forward records produced after now (or after ``bounds``).
 
     Nothing is remembered for the next run, which takes a new ``checkpoint`` folder. Starting again
     with the same folder continues the same run: from the end captured then, without repeating a
     record. ``positions`` is filled with the next source offset per partition, for status only. A piece
-    that fails is tried again for ``patience`` seconds.
+    that fails is tried again for ``patience`` seconds. ``figures`` is kept up to date.
     """
+    figures = Figures() if figures is None else figures
     origin, target = source.source(source_topic), dest.describe(name)
     same_shape(origin, target)
     dest.open(target).create()
@@ -105,7 +122,7 @@ def forward(
             if positions is not None:
                 positions.update(head.copied.get(run, {}))
 
-        _take_all(origin, sink, run, head_of, ends, batch, most_bytes, patience, note)
+        _take_all(origin, sink, run, head_of, ends, batch, most_bytes, patience, figures, note)
 
     return _start(origin.changes(ends), copy, f"forward {name}", checkpoint, available_now, every)
 
@@ -119,25 +136,36 @@ def _take_all(
     batch: DataFrame,
     most_bytes: int,
     patience: float,
+    figures: Figures,
     after: Callable[[Head], None],
 ) -> None:
     """Take over all that a micro-batch announces. Each attempt begins at what the destination has committed,
     so trying again neither loses nor repeats a record, wherever the failure was."""
     wait, given_up = FIRST_WAIT, time.monotonic() + patience
+    concerned = set(range(origin.partitions))
     while True:
         try:
             head = head_of()
-            begin = {p: head.copied.get(key, {}).get(p, starts.get(p, 0)) for p in range(origin.partitions)}
-            for piece in origin.arrived(batch, begin, most_bytes):
+            at = {p: head.copied.get(key, {}).get(p, starts.get(p, 0)) for p in range(origin.partitions)}
+            for piece in origin.arrived(batch, at, most_bytes):
+                concerned = {p for p, end in piece.ends.items() if end > at.get(p, 0)}
+                held = sum(head.high.values())
                 head = take_over(sink, key, piece, head)
-                given_up = time.monotonic() + patience
                 after(head)
+                at |= piece.ends
+                figures.pieces += 1
+                figures.records += sum(head.high.values()) - held
+                figures.next_offset |= piece.ends
+                for p in concerned:
+                    figures.last_error.pop(p, None)
+                wait, given_up = FIRST_WAIT, time.monotonic() + patience
             after(head)
+            figures.next_offset |= head.copied.get(key, {})
+            figures.last_error.clear()
             return
-        except Untrusted:
-            raise
-        except Exception:
-            if time.monotonic() + wait > given_up:
+        except Exception as error:
+            figures.last_error |= dict.fromkeys(concerned, str(error))
+            if isinstance(error, Untrusted) or time.monotonic() + wait > given_up:
                 raise
             time.sleep(wait)
             wait = min(2 * wait, LONGEST_WAIT)

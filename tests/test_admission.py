@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from logferry.operators.scans import BeyondEnd, bounded_scan
 from logferry.plans import transfer
-from logferry.plans.run import finish
+from logferry.plans.run import finish, run, status
 from logferry.plans.transfer import Untrusted, clone, dump
+from logferry.schemas import MAPPINGS
 from logferry.sources import kafka, topic_log
 from logferry.sources.archive import read_archive
 from logferry.sources.kafka import KafkaCluster
@@ -114,6 +116,37 @@ def test_an_outage_is_waited_through(backlog, source, dest, tmp_path, monkeypatc
         assert [r[2] for r in rows_of(dest.topic(name))] == [r[2] for r in rows_of(backlog)]
 
 
+def test_status_of_a_copy_that_goes_on(spark, source, dest, make_log, tmp_path, monkeypatch):
+    """One partition's piece fails: its error shows while the copy waits, and goes when it succeeds."""
+    monkeypatch.setattr(jobs, "FIRST_WAIT", 0.2)
+    log = source.import_topic("t", make_log((0, 0, b"a")), 2)
+    config = spark.createDataFrame([("copy", "clone", "one:t", None, None, None, None, False)], MAPPINGS)
+    failing, real = [True], TopicLog.append
+
+    def append(self, rows, **more):
+        if failing[0] and self.head().commit:
+            raise OSError("broker away")
+        return real(self, rows, **more)
+
+    monkeypatch.setattr(TopicLog, "append", append)
+    copies = run(dest, {"one": source}, config, str(tmp_path / "c"), patience=120)
+    try:
+        copies[0].query.processAllAvailable()
+        log.ingest(make_log((1, 0, b"b"), (1, 1, b"c")))
+        until = time.monotonic() + 60
+        while not copies[0].figures.last_error and time.monotonic() < until:
+            time.sleep(0.1)
+        lines = [tuple(r) for r in status(dest, copies).collect()]
+        assert lines[0] == ("copy", 0, 1, "ok", None) and lines[1][:4] == ("copy", 1, 0, "error") and "broker away" in lines[1][4]
+        assert copies[0].query.isActive
+        failing[0] = False
+        copies[0].query.processAllAvailable()
+        assert [tuple(r)[1:4] for r in status(dest, copies).collect()] == [(0, 1, "ok"), (1, 2, "ok")]
+        assert copies[0].figures.next_offset == {0: 1, 1: 2} and copies[0].figures.records == 3 and copies[0].figures.pieces == 2
+    finally:
+        copies[0].query.stop()
+
+
 def test_patience_ends(backlog, source, dest, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "FIRST_WAIT", 0.01)
     dest.create_topic("copy", 2)
