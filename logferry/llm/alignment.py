@@ -36,7 +36,7 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 
 #: Bytes of text in a block, about; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Pairs that are held at once while a block's groups are multiplied out.
 PAIRS = 1 << 22
 
