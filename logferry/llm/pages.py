@@ -47,33 +47,98 @@ LEAST_PAGES = 4
 #: The content root holds at least this share of the varying text.
 ROOT_SHARE = 0.8
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<|[^<]+", re.S)
+#: Words beside which a dropped word says no more than it does alone.
+QUALIFIERS = set(
+    "site page main top bottom left right global primary secondary user reader list box bar area block wrapper container section links link icons buttons slot"
+    " unit item items inner outer post posts content group panel row".split()
+).union(DROPPED_WORDS)
+#: Elements that no name makes a page lose.
+PROTECTED = {"html", "body", "main"}
+
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(?=/?[a-zA-Z])|<|[^<]+", re.S)
+#: A tag without angle brackets in its values, which nearly all are.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)(?=[\s/>])([^<>\"'=]*(?:=\s*(?:\"[^\"<>]*\"|'[^'<>]*'|(?![\"'\s]))[^<>\"'=]*)*)>")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r">|<|=\s*[\"']")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAMING = {"class", "id", "role", "hidden", "aria-hidden"}
 _SPLIT = re.compile(r"[^a-z]+")
 
 
+class _Tags:
+    """Finds where tags end. Every part of a page is looked at a bounded number of times."""
+
+    def __init__(self, page: str):
+        self._page = page
+        self._last = {c: page.rfind(c) for c in "\"'"}
+        self._last_end = page.rfind(">")
+        # Places from where no tag ends but inside a quoted value, because a tag that began before would have.
+        self._endless: set[int] = set()
+
+    def at(self, start: int) -> tuple[str, str, str, int] | None:
+        """(slash, name, attributes, end) of the tag that begins here, or None where none ends.
+
+        A quote opens a value if it stands behind = and is closed somewhere. A tag that would end only inside
+        a value ends there.
+        """
+        m = _TAG.match(self._page, start)
+        if m:
+            return m.group(1), m.group(2), m.group(3), m.end()
+        if self._last_end < start:
+            return None
+        name = _NAME.match(self._page, start)
+        end = self._end(name.end()) if start not in self._endless else -1
+        if end < 0:
+            end = self._page.find(">", name.end())
+            if end < 0:
+                return None
+        return name.group(1), name.group(2), self._page[name.end() : end], end + 1
+
+    def _end(self, at: int) -> int:
+        passed = []
+        while True:
+            m = _STOP.search(self._page, at)
+            if m is None:
+                self._endless.update(passed)
+                return -1
+            at = m.end()
+            sign = self._page[at - 1]
+            if sign == ">":
+                return at - 1
+            if sign == "<":
+                if at - 1 in self._endless:
+                    self._endless.update(passed)
+                    return -1
+                passed.append(at - 1)
+            elif self._last[sign] >= at:
+                at = self._page.find(sign, at) + 1
+
+
 def events(page: str) -> Iterator[tuple]:
     """('open', tag, attributes), ('close', tag) and ('text', string) of markup that may be broken.
 
-    Raw elements give no text; missing end tags are implied as browsers do for paragraphs, list items and
-    table cells; end tags without a start are ignored, and all open elements end with the page.
+    Raw elements give no text, whatever they hold; missing end tags are implied as browsers do for
+    paragraphs, list items and table cells; end tags without a start are ignored, and all open elements end
+    with the page. A slash at the end of a start tag means nothing, as in browsers.
     """
     stack: list[str] = []
-    skip_to = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() < skip_to:
-            continue
+    tags, at = _Tags(page), 0
+    while at < len(page):
+        m = _TOKEN.match(page, at)
         whole = m.group()
-        if whole[0] != "<" or len(whole) == 1:
+        begin, at = at, m.end()
+        if whole[0] != "<":
             yield "text", whole
             continue
-        tag = m.group(2)
-        if tag is None:
+        if len(whole) > 1:
+            continue
+        found = tags.at(begin) if _NAME.match(page, begin) else None
+        if found is None:
+            yield "text", whole
             continue
+        slash, tag, attributes, at = found
         tag = tag.lower()
-        if not m.group(1):
-            attributes = m.group(3) or ""
+        if not slash:
             if tag in ENDS_P and "p" in stack:
                 low = len(stack) - 1 - stack[::-1].index("p")
                 if not any(t in ENDS_P for t in stack[low + 1 :]):
@@ -85,10 +150,10 @@ def events(page: str) -> Iterator[tuple]:
                     while len(stack) > low:
                         yield "close", stack.pop()
             if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, m.end())
-                skip_to = end.end() if end else len(page)
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                at = end.end() if end else len(page)
                 continue
-            if tag in VOID or attributes.endswith("/"):
+            if tag in VOID:
                 yield "void", tag
                 continue
             stack.append(tag)
@@ -106,7 +171,8 @@ def events(page: str) -> Iterator[tuple]:
 def _label(tag: str, attributes: str) -> tuple[str, bool]:
     """Tag with the first name in class, id or role, and whether a name says that this is no main text.
 
-    Such elements have labels of their own, so they are not merged with siblings that are shown.
+    A name does if its words are dropped words, or such and ``QUALIFIERS``: ``site-header`` and ``comment-list`` do,
+    ``no-sidebar``, ``peer-reviews`` and ``article-header`` do not. Such elements have labels of their own, so they are not merged with siblings that are shown.
     """
     first, dropped = "", False
     for m in _ATTRIBUTE.finditer(attributes):
@@ -120,7 +186,8 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
         for name in value.split():
             first = first or re.sub(r"\d+", "", name)
             words = [w for w in _SPLIT.split(name) if w]
-            dropped = dropped or bool(words) and (words[0] in DROPPED_WORDS or words[-1] in DROPPED_WORDS)
+            named = tag not in PROTECTED and QUALIFIERS.issuperset(words) and not DROPPED_WORDS.isdisjoint(words)
+            dropped = dropped or named
     return (f"{tag}.{first}" if first else tag) + ("!" if dropped else ""), dropped
 
 

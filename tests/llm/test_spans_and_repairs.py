@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import string
+import time
 from collections import Counter
 from functools import cache
 
@@ -15,7 +16,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from checks.compare import database
-from logferry.llm import alignment, conversations, secrets
+from logferry.llm import alignment, conversations, pages, secrets
 from logferry.llm.queries import ORACLES, QUERIES
 from tests.conftest import FOLDER
 from tests.llm.test_planned import odd  # noqa: F401
@@ -210,3 +211,58 @@ def test_words_are_encoded_as_whole_texts(spark):
         flat = lambda lists: [i for ids in lists.to_pylist() for i in ids]
         assert flat(aligner.a.encode(words)) == byte.encode(" " + text, add_special_tokens=False).ids
         assert flat(aligner.b.encode(words)) == aligner.b._model.encode(text)
+
+
+def test_names_and_scripts_that_lose_no_page(spark):
+    page = '%s<div class="%s"><p>Story %d is told %s.</p></div></body>'
+    heads = ["<body class='post no-sidebar'>", "<body class='has-banner comments'>", '<body><script>var open="<!--";</script>', "<body><style>a > b { content: '<p' }</style>", "<body><main class='with-sidebar'>"]
+    names = ["peer-reviews", "job-search", "article-header", "wide", "text"]
+    rows = [(f"h{n}.example", page % (head, name, k, "again " * k)) for n, (head, name) in enumerate(zip(heads, names, strict=True)) for k in range(5)]
+    got = {r.url: [] for r in spark.createDataFrame(rows, "url string, html string").collect()}
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    for r in pages.main_texts(frame).orderBy("page_id").collect():
+        got[r.url].append(r.text)
+    assert all(texts == [f"Story {k} is told {'again ' * k}".strip() + ("." if k == 0 else " .") if k else "Story 0 is told ." for k in range(5)] for texts in got.values())
+
+
+def test_names_that_drop():
+    dropped = lambda tag, names: pages._label(tag, f' class="{names}"')[1]
+    assert all(dropped("div", n) for n in ("comments", "site-header", "comment-list", "cookie-notice", "main-menu", "x sidebar", "related-posts", "ad-slot2"))
+    assert not any(dropped("div", n) for n in ("no-sidebar", "has-banner", "with-sidebar", "peer-reviews", "job-search", "article-header", "main", "content-list"))
+    assert not dropped("body", "sidebar") and not dropped("main", "comments") and dropped("article", "comments")
+
+
+@pytest.mark.parametrize("broken", ['<b x="', '<b x=">"', "<b x='\"", "<a b=\"'>'", "<", "<a ", "<!--", "</"])
+def test_broken_markup_takes_linear_time(broken):
+    counts = []
+    for size in (2_000, 400_000):
+        start = time.process_time()
+        list(pages.events(broken * (size // len(broken))))
+        counts.append(time.process_time() - start)
+    assert counts[1] < 2
+
+
+def test_tags_by_a_plain_scanner():
+    """Against a scanner that looks at one sign after the other."""
+    draw = random.Random(8)
+    parts = ["<a", "<b ", ">", '"', "'", "=", " x", "y", "</a", "/", " ", "1 < 2", 'c="d"', "e='f>g'"]
+
+    def plain(page, at):
+        name = pages._NAME.match(page, at).end()
+        k, seen = name, ""
+        while k < len(page) and page[k] != ">":
+            if page[k] in "\"'" and seen.rstrip().endswith("=") and page.find(page[k], k + 1) > 0:
+                k = page.find(page[k], k + 1)
+                seen = ""
+            else:
+                seen += page[k]
+            k += 1
+        return k if k < len(page) else page.find(">", name)
+
+    for _ in range(3_000):
+        page = "".join(draw.choice(parts) for _ in range(draw.randrange(2, 25)))
+        tags = pages._Tags(page)
+        for at in range(len(page)):
+            if pages._NAME.match(page, at):
+                found = tags.at(at)
+                assert (found[3] - 1 if found else -1) == plain(page, at), (page, at)
