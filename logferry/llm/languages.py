@@ -155,7 +155,8 @@ def viterbi(emission: np.ndarray, at: np.ndarray, penalty: float) -> np.ndarray:
     All texts of the piece advance together; the shorter ones drop out at the end.
     """
     n, states = emission.shape
-    path = np.zeros(n, np.uint8)
+    kind = np.min_scalar_type(max(0, states - 1))
+    path = np.zeros(n, kind)
     sizes = np.diff(at)
     order = np.argsort(-sizes, kind="stable")
     order = order[: int((sizes > 0).sum())]
@@ -163,8 +164,8 @@ def viterbi(emission: np.ndarray, at: np.ndarray, penalty: float) -> np.ndarray:
         return path
     start, length = at[order], sizes[order]
     active = np.searchsorted(-length, -np.arange(length[0]), side="left")
-    back = np.zeros((n, states), np.uint8)
-    own = np.arange(states, dtype=np.uint8)
+    back = np.zeros((n, states), kind)
+    own = np.arange(states, dtype=kind)
     value = emission[start].copy()
     for t in range(1, length[0]):
         m = active[t]
@@ -210,7 +211,7 @@ def _label(model: Model | None, piece: pa.RecordBatch, spans: bool) -> tuple[lis
     emission += penalty.T[script]
     path = viterbi(emission, np.searchsorted(owner, np.arange(n + 1)), PENALTY)
     size = last - first
-    by = np.bincount(owner * len(langs) + path, size, n * len(langs)).reshape(n, -1)
+    by = np.bincount(owner * len(langs) + path.astype(np.int64), size, n * len(langs)).reshape(n, -1)
     some = by.sum(axis=1) > 0
     names[some] = np.array(langs, object)[by.argmax(axis=1)[some]]
     score[some] = by.max(axis=1)[some] / by.sum(axis=1)[some]
