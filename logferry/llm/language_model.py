@@ -4,8 +4,9 @@ States emit word classes, the hashes of words' last three bytes; a word's probab
 from the corpus counts. One pass cuts the corpus into pieces of bounded size: each is a row of word
 numbers, with one row per distinct word beside it. Word counts are summed from those rows and joined
 back to them, so what is shuffled is a piece's vocabulary and not its tokens. Every Baum-Welch step is a
-pass over the pieces that adds up expected counts per state and class. A text's score is its exact
-likelihood by the scaled forward recursion over the whole text.
+pass over the pieces that adds up expected counts per state and class, exactly over whole texts. Steps
+end when the likelihood of the training texts hardly grows. A text's score is its exact likelihood by
+the scaled forward recursion over the whole text.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from logferry.llm.store import written
 STATES = 8
 CLASSES = 4096
 END = CLASSES
-STEPS = 3
-#: Baum-Welch sees texts in windows of so many tokens; scores are over whole texts.
+#: Baum-Welch ends after so many steps, or when a step's gain in log10 likelihood a token is below ``GAIN``.
+STEPS = 6
+GAIN = 1e-3
+#: The windows of a text advance together in Baum-Welch; what passes from one to the next is carried exactly.
 WINDOW = 128
 PIECE = 12 << 20
 _PIECE_SCHEMA = "piece string, doc_ids array<long>, held_out array<boolean>, lengths array<int>, tokens binary, classes binary, number int, word binary, n long"
@@ -83,26 +86,89 @@ def first_model(share: np.ndarray) -> Model:
     return np.full(STATES, 1 / STATES), between, emit / emit.sum(axis=1, keepdims=True)
 
 
-def expected(model: Model, classes: np.ndarray, begin: np.ndarray, length: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts of starts, transitions and emissions over windows, by scaled forward-backward.
+def _between_windows(model: Model, classes: np.ndarray, begin: np.ndarray, length: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every window, the shares of states at the token before it (0 in a text's first), and what follows its last token.
 
-    A window inside a text starts from the shares that states have in the long run.
+    A window's steps are one matrix. Carried through the matrices of a text's windows, forwards and
+    backwards, these shares are those of the recursion over the whole text, up to their scale.
+    """
+    start, between64, emit = model
+    between = between64.astype(np.float32)
+    n = len(begin)
+    before, after = np.zeros((n, STATES), np.float32), np.ones((n, STATES), np.float32)
+    # Windows of one text lie in a row; only texts of two and more need matrices.
+    text = np.cumsum(opens) - 1
+    first = np.flatnonzero(opens)
+    count = np.bincount(text, minlength=len(first))
+    many = np.flatnonzero(count[text] > 1)
+    if not len(many):
+        return before, after
+    by_class = np.ascontiguousarray(emit.T).astype(np.float32)
+    order = many[np.argsort(-length[many], kind="stable")]
+    active = np.searchsorted(-length[order], -np.arange(int(length[order[0]])), side="left")
+    through = np.tile(np.eye(STATES, dtype=np.float32), (len(order), 1, 1))
+    for t in range(1, len(active)):
+        m = active[t]
+        moved = (through[:m].reshape(-1, STATES) @ between).reshape(m, STATES, STATES) * by_class[classes[begin[order[:m]] + t]][:, None, :]
+        through[:m] = moved / np.maximum(moved.max(axis=(1, 2), keepdims=True), 1e-30)
+    matrix = np.zeros((n, STATES, STATES), np.float32)
+    matrix[order] = through
+    opening = by_class[classes[begin]]
+    texts_ = np.argsort(-count, kind="stable")
+    longest = int(count.max())
+    still = np.searchsorted(-count[texts_], -np.arange(longest + 1), side="left")
+    for k in range(1, longest):
+        here = first[texts_[: still[k]]] + k
+        entry = (start.astype(np.float32) if k == 1 else before[here - 1] @ between) * opening[here - 1]
+        left = np.einsum("ni,nij->nj", entry, matrix[here - 1])
+        before[here] = left / np.maximum(left.sum(axis=1, keepdims=True), 1e-30)
+    for k in range(longest - 1, 0, -1):
+        here = first[texts_[: still[k]]] + k
+        right = np.einsum("nij,nj->ni", matrix[here], after[here]) * opening[here]
+        right = right @ between.T
+        after[here - 1] = right / np.maximum(right.max(axis=1, keepdims=True), 1e-30)
+    return before, after
+
+
+def expected(model: Model, classes: np.ndarray, lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected counts of starts, transitions and emissions over whole texts, and their log10 likelihood.
+
+    ``classes`` holds the texts, of ``lengths`` tokens, one after the other. The result does not depend on
+    ``window``; time goes by its length and memory by 4,000 windows at a time.
+    """
+    begin, length, opens = _windows(lengths, window)
+    started, moved, emitted, likelihood = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(model[2].shape), 0.0
+    if not len(begin):
+        return started, moved, emitted, likelihood
+    before, after = _between_windows(model, classes, begin, length, opens)
+    for part in range(0, len(begin), 4000):
+        cut = slice(part, part + 4000)
+        found = _expected_in(model, classes, begin[cut], length[cut], opens[cut], before[cut], after[cut])
+        started, moved, emitted, likelihood = started + found[0], moved + found[1], emitted + found[2], likelihood + found[3]
+    return started, moved, emitted, likelihood
+
+
+def _expected_in(model: Model, classes: np.ndarray, begin: np.ndarray, length: np.ndarray, opens: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """The same sums over some windows, by scaled forward-backward between their given ends.
+
+    A window counts the transition to its first token, unless it opens a text.
     """
     start, between64, emit = model
-    stationary = np.linalg.matrix_power(between64, 64).mean(axis=0)
     order = np.argsort(-length, kind="stable")
-    begin, length, opens = begin[order], length[order], opens[order]
+    begin, length, opens, before, after = begin[order], length[order], opens[order], before[order], after[order]
     steps = int(length[0])
     active = np.searchsorted(-length, -np.arange(steps + 1), side="left")
     by_class = np.ascontiguousarray(emit.T).astype(np.float32)
     between = between64.astype(np.float32)
     alphas, symbols = [], []
-    alpha = np.where(opens[:, None], start, stationary).astype(np.float32)
+    alpha, likelihood = np.where(opens[:, None], start.astype(np.float32), before @ between), 0.0
     for t in range(steps):
         m = active[t]
         seen = by_class[classes[begin[:m] + t]]
         alpha = (alpha[:m] if t == 0 else alpha[:m] @ between) * seen
-        alpha /= np.maximum(alpha.sum(axis=1, keepdims=True), 1e-30)
+        scale = np.maximum(alpha.sum(axis=1, keepdims=True), 1e-30)
+        likelihood += float(np.log10(scale, dtype=np.float64).sum())
+        alpha = alpha / scale
         alphas.append(alpha)
         symbols.append(seen)
     emitted = np.zeros(emit.shape)
@@ -111,7 +177,7 @@ def expected(model: Model, classes: np.ndarray, begin: np.ndarray, length: np.nd
     for t in range(steps - 1, -1, -1):
         m = active[t]
         later = active[t + 1]
-        whole = np.ones((m, STATES), np.float32)
+        whole = after[:m].copy()
         if later:
             ahead = beta[:later] * symbols[t + 1]
             whole[:later] = ahead @ between.T
@@ -124,17 +190,21 @@ def expected(model: Model, classes: np.ndarray, begin: np.ndarray, length: np.nd
         here = classes[begin[:m] + t]
         for k in range(STATES):
             emitted[k] += np.bincount(here, gamma[:, k], emitted.shape[1])
-        if t == 0:
-            started = gamma[opens].sum(axis=0)
-    return started.astype(np.float64), moved, emitted
+    started = gamma[opens].sum(axis=0)
+    inner = ~opens
+    ahead = beta[inner] * symbols[0][inner]
+    scale = (before[inner] * (ahead @ between.T)).sum(axis=1, keepdims=True)
+    moved += between * (before[inner].T @ (ahead / np.maximum(scale, 1e-30)))
+    return started.astype(np.float64), moved, emitted, likelihood
 
 
-def _windows(lengths: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First token, length, and whether it opens a text, of every window of at most ``window`` tokens."""
     at = np.cumsum(lengths) - lengths
-    counts = -(-lengths // WINDOW) * chosen
+    counts = -(-lengths // window)
     text = np.repeat(np.arange(len(lengths)), counts)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return at[text] + nth * WINDOW, np.minimum(WINDOW, lengths[text] - nth * WINDOW), nth == 0
+    return at[text] + nth * window, np.minimum(window, lengths[text] - nth * window), nth == 0
 
 
 def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -148,12 +218,9 @@ def _expected(model):
         for batch in batches:
             for k in range(batch.num_rows):
                 tokens, classes, lengths, held = _arrays(batch.slice(k, 1).to_pylist()[0])
-                begin, length, opens = _windows(lengths, ~held)
-                for part in range(0, len(begin), 4000):
-                    cut = slice(part, part + 4000)
-                    found = expected(model.value, classes[tokens], begin[cut], length[cut], opens[cut])
-                    flat = np.concatenate([np.ravel(f) for f in found])
-                    total = flat if total is None else total + flat
+                found = expected(model.value, classes[tokens[np.repeat(~held, lengths)]], lengths[~held])
+                flat = np.concatenate([np.ravel(f) for f in found])
+                total = flat if total is None else total + flat
         if total is not None:
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["slot", "value"])
@@ -161,15 +228,15 @@ def _expected(model):
     return run
 
 
-def _step(pieces_: DataFrame, model: Model) -> Model:
-    """One Baum-Welch step. What reaches the driver is one sum per parameter of the model."""
+def _step(pieces_: DataFrame, model: Model) -> tuple[Model, float]:
+    """One Baum-Welch step, and the likelihood before it. One sum per parameter reaches the driver."""
     shared = pieces_.sparkSession.sparkContext.broadcast(model)
     sums = pieces_.mapInArrow(_expected(shared), "slot int, value double").groupBy("slot").agg(F.sum("value").alias("value")).toPandas()
-    flat = np.zeros(STATES + STATES * STATES + STATES * (CLASSES + 1))
+    flat = np.zeros(STATES + STATES * STATES + STATES * (CLASSES + 1) + 1)
     flat[sums.slot] = sums.value
-    start, between, emit = np.split(flat, [STATES, STATES + STATES * STATES])
+    start, between, emit = np.split(flat[:-1], [STATES, STATES + STATES * STATES])
     start, between, emit = start + 0.1, between.reshape(STATES, STATES) + 0.1, emit.reshape(STATES, -1) + 1e-3
-    return start / start.sum(), between / between.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True)
+    return (start / start.sum(), between / between.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True)), float(flat[-1])
 
 
 def log_likelihood(model: Model, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -217,13 +284,14 @@ def _scores(shared):
     return run
 
 
-def scored(docs: DataFrame, steps: int = STEPS) -> DataFrame:
+def scored(docs: DataFrame, steps: int = STEPS, gain: float = GAIN) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row of ``docs``.
 
     Learns from rows whose crc32(doc_id) mod 5 is not 1. Tokens are words with A-Z in lower case and one
     end per text; null text has only the end. base_score is by smoothed unigrams, score by the model,
     both log10. An unseen word has what its class keeps for one; without training rows all is unseen.
-    Equal rows are scored apart; other columns are ignored.
+    Training takes ``steps`` steps at most and ends when one gains less than ``gain`` a token. Equal rows
+    are scored apart; other columns are ignored. A text is scored in one task, whatever its length.
     """
     spark = docs.sparkSession
     cut = written(docs.select("doc_id", held_out(5, 1).alias("held_out"), "text").mapInArrow(_cut, _PIECE_SCHEMA), "pieces")
@@ -237,9 +305,12 @@ def scored(docs: DataFrame, steps: int = STEPS) -> DataFrame:
     total, distinct = int(class_n.sum()), int(class_v.sum())
 
     share = (class_n + 0.5) / (class_n + 0.5).sum()
-    model = first_model(share)
+    model, last = first_model(share), -np.inf
     for _ in range(steps if total else 0):
-        model = _step(rows, model)
+        model, likelihood = _step(rows, model)
+        if likelihood - last < gain * total:
+            break
+        last = likelihood
     shared = spark.sparkContext.broadcast((model, class_n, class_v, total, distinct))
     known = entries.join(counts, "word").groupBy("piece").agg(F.collect_list(F.struct("number", "c")).alias("known"))
     none = F.array().cast("array<struct<number:int,c:bigint>>")
