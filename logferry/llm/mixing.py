@@ -85,10 +85,26 @@ def splitting_tree(counts: np.ndarray, shards: int, seed: int) -> np.ndarray:
 def _hypergeometric(draw: np.random.Generator, good: int, bad: int, sample: int) -> int:
     if good + bad < 10**9:
         return int(draw.hypergeometric(good, bad, sample))
-    # Beyond the generator's range the normal approximation is exact to well under one block in a million.
-    n, p = good + bad, good / (good + bad)
-    spread = math.sqrt(max(0.0, sample * p * (1 - p) * (n - sample) / (n - 1)))
-    return max(0, sample - bad, min(good, sample, round(draw.normal(sample * p, spread))))
+    return _inverted(draw.random(), good, bad, sample)
+
+
+def _inverted(u: float, good: int, bad: int, sample: int) -> int:
+    """The hypergeometric number at the quantile ``u``, for urns beyond the generator's range.
+
+    Log probabilities are summed up from the ratios of neighbours around the mode. Twelve standard deviations
+    leave out less than a double can tell from zero; how many numbers they hold grows with the urn's root.
+    """
+    n = good + bad
+    least, most = max(0, sample - bad), min(good, sample)
+    mode = min(most, max(least, (good + 1) * (sample + 1) // (n + 2)))
+    spread = math.sqrt(sample * (good / n) * (bad / n) * (n - sample) / (n - 1))
+    reach = 12 * math.ceil(spread + 1)
+    low, high = max(least, mode - reach), min(most, mode + reach)
+    k = np.arange(low, high, dtype=np.float64)
+    ratio = np.log(good - k) + np.log(sample - k) - np.log(k + 1) - np.log(bad - sample + k + 1)
+    logs = np.concatenate([[0.0], np.cumsum(ratio)])
+    share = np.cumsum(np.exp(logs - logs.max()))
+    return low + int(min(np.searchsorted(share, u * share[-1], side="right"), high - low))
 
 
 def _hash(*parts: Column) -> Column:
@@ -109,8 +125,9 @@ def _matched(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 def mixture(docs: DataFrame, shards: int = SHARDS, seed: int = 5) -> DataFrame:
     """Every row of ``docs`` (doc_id, text, source) with its part in the mix.
 
-    Gives doc_id, source, row_hash, size, source_size, target, taken and copies, an array of (shard,
-    words): one entry for each time that words of the document are taken. Null text has size 0, null
+    Gives doc_id, source, row_hash, size, source_size, target, copies, an array of (shard, words) with one
+    entry for each time that a shard takes words of the document, and taken, the words of its copies: what
+    the tree's quotas give to no shard is not taken. Null text has size 0, null
     source is a source of its own, and rows with equal doc_id are told apart by size only; equal rows
     are interchangeable. An empty table gives no rows. Other columns are ignored.
     """
@@ -158,12 +175,12 @@ def mixture(docs: DataFrame, shards: int = SHARDS, seed: int = 5) -> DataFrame:
         "part", F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("before") - F.coalesce(F.sum("size").over(own), F.lit(0))))
     )
     columns = ["doc_id", "source", "row_hash", "size", "source_size", "target", "passes", "part", "shards"]
-    copies = F.expr("filter(transform(shards, (s, i) -> named_struct('shard', s, 'words', IF(i < passes, size, part))), c -> c.words > 0)")
+    copies = F.expr(f"filter(transform(shards, (s, i) -> named_struct('shard', s, 'words', IF(i < passes, size, part))), c -> c.words > 0 AND c.shard < {int(shards)})")
     return (
         inner.select(*columns)
         .unionByName(outer.select(*columns))
-        .withColumn("taken", F.col("passes") * F.col("size") + F.col("part"))
         .withColumn("copies", copies)
+        .withColumn("taken", F.expr("aggregate(copies, 0L, (n, c) -> n + c.words)"))
         .drop("passes", "part", "shards")
     )
 
