@@ -96,6 +96,14 @@ def test_viterbi_equals_brute_force():
             assert value(path[a:b]) == pytest.approx(value(best), abs=1e-4)
 
 
+def test_viterbi_with_300_languages():
+    e = np.zeros((6, 300), np.float32)
+    e[:4, 299] = e[4:, 260] = 5
+    assert languages.viterbi(e, np.array([0, 6]), 3.0).tolist() == [299] * 4 + [260] * 2
+    assert languages.viterbi(e[:1], np.array([0, 1]), 3.0).tolist() == [299]
+    assert languages.viterbi(e[:, :256], np.array([0, 6]), 3.0).dtype == np.uint8
+
+
 def test_language_model(spark, odd, documents):  # noqa: F811
     docs = documents.select("doc_id", "text").union(odd.where("doc_id >= 3 AND doc_id < 8").selectExpr("doc_id + 10000", "text"))
     rows = {r.doc_id: r for r in language_model.scored(docs, steps=2).collect()}
@@ -124,8 +132,71 @@ def test_forward_equals_enumeration():
             p *= between[path[k - 1], path[k]] * emit[path[k], classes[k]]
         want += p
     assert got == pytest.approx([math.log10(want), math.log10((start * emit[:, 7]).sum())])
-    first, moved, emitted = language_model.expected(model, classes, np.array([0, 4]), lengths, np.array([True, True]))
-    assert (first.sum(), moved.sum(), emitted.sum()) == pytest.approx((2, 3, 5), rel=1e-4)
+
+
+def posteriors(model, classes, lengths):
+    """Expected counts and log10 likelihood by enumerating every path of states."""
+    start, between, emit = model
+    first, moved, emitted, likelihood = np.zeros(len(start)), np.zeros(between.shape), np.zeros(emit.shape), 0.0
+    for at, n in zip(np.cumsum(lengths) - lengths, lengths, strict=True):
+        seen, sums = classes[at : at + n], (np.zeros(len(start)), np.zeros(between.shape), np.zeros(emit.shape))
+        total = 0.0
+        for path in np.ndindex(*[len(start)] * n):
+            p = start[path[0]] * emit[path[0], seen[0]]
+            for k in range(1, n):
+                p *= between[path[k - 1], path[k]] * emit[path[k], seen[k]]
+            total += p
+            sums[0][path[0]] += p
+            for k in range(n):
+                sums[2][path[k], seen[k]] += p
+                if k:
+                    sums[1][path[k - 1], path[k]] += p
+        first, moved, emitted, likelihood = first + sums[0] / total, moved + sums[1] / total, emitted + sums[2] / total, likelihood + math.log10(total)
+    return first, moved, emitted, likelihood
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 4, 128])
+def test_expected_counts_equal_enumeration(monkeypatch, window):
+    monkeypatch.setattr(language_model, "STATES", 3)
+    draw = np.random.default_rng(window)
+    shares = [draw.dirichlet(np.ones(n), size) for n, size in ((3, None), (3, 3), (6, 3))]
+    for lengths in ([7], [1, 5, 2], [3, 6, 1, 4]):
+        lengths = np.array(lengths)
+        classes = draw.integers(0, 6, lengths.sum())
+        got, want = language_model.expected(tuple(shares), classes, lengths, window), posteriors(shares, classes, lengths)
+        for a, b in zip(got, want, strict=True):
+            assert np.allclose(a, b, rtol=1e-4, atol=1e-5)
+
+
+def test_expected_counts_do_not_depend_on_windows():
+    draw = np.random.default_rng(4)
+    model = language_model.first_model(draw.dirichlet(np.ones(language_model.CLASSES + 1)))
+    lengths = np.array([300, 1, 9000, 128, 129])
+    classes = draw.integers(0, language_model.CLASSES + 1, lengths.sum())
+    want = language_model.expected(model, classes, lengths, 10_000)
+    assert want[3] == pytest.approx(language_model.log_likelihood(model, classes, lengths).sum(), rel=1e-6)
+    for window in (64, 128):
+        for a, b in zip(language_model.expected(model, classes, lengths, window), want, strict=True):
+            assert np.allclose(a, b, rtol=1e-3, atol=1e-3)
+    assert want[1].sum() == pytest.approx((lengths - 1).sum(), rel=1e-4)
+
+
+def test_every_step_raises_the_likelihood(monkeypatch, documents):
+    seen, step = [], language_model._step
+
+    def watched(rows, model):
+        model, likelihood = step(rows, model)
+        seen.append(likelihood)
+        return model, likelihood
+
+    monkeypatch.setattr(language_model, "_step", watched)
+    rows = language_model.scored(documents, steps=4, gain=0.0).collect()
+    assert len(seen) == 4 and seen == sorted(seen)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.2 * sum(r.n_tokens for r in held)
+    seen.clear()
+    language_model.scored(documents, steps=9, gain=100.0).collect()
+    assert len(seen) == 2
 
 
 def test_token_counts(spark, odd, documents, tmp_path):  # noqa: F811

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -115,6 +116,43 @@ def test_splitting_tree_adds_up():
     assert (quotas == mixing.splitting_tree(counts, 16, 1)).all()
 
 
+def test_mixing_goes_through_the_tree(monkeypatch, documents):
+    seen, tree = [], mixing.splitting_tree
+
+    def watched(counts, shards, seed):
+        seen.append((counts, tree(counts, shards, seed)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(mixing, "splitting_tree", watched)
+    rows = mixing.mixture(documents).toPandas()
+    counts, quotas = seen[0]
+    blocks_each = max(1, math.ceil(math.sqrt(len(rows))))
+    rows["block"] = [int(h[:12], 16) % blocks_each for h in rows.row_hash]
+    drawn = {}
+    for r in rows.itertuples():
+        for nth, c in enumerate(r.copies):
+            drawn.setdefault((r.source, r.block, nth), set()).add(c.shard)
+    # An instance of a block lies in one shard only, and no shard has more instances of a source than its quota.
+    assert all(len(shards) == 1 for shards in drawn.values())
+    sources = sorted(rows.source.unique(), key=lambda s: (s is not None, s))
+    held = Counter((source, next(iter(shards))) for (source, _, _), shards in drawn.items())
+    for k, source in enumerate(sources):
+        got = [held[source, shard] for shard in range(len(quotas))]
+        assert all(a <= b for a, b in zip(got, quotas[:, k], strict=True)) and sum(got) >= 0.98 * counts[k]
+    monkeypatch.setattr(mixing, "splitting_tree", lambda counts, shards, seed: np.zeros((shards, len(counts)), np.int64))
+    assert mixing.mixture(documents).toPandas().taken.sum() == 0
+
+
+def test_hypergeometric_of_large_urns():
+    draw = np.random.default_rng(3)
+    for good, bad, sample in ((50, 30, 20), (3, 400, 200), (7, 0, 4), (0, 9, 3), (500, 20, 515)):
+        exact = [math.comb(good, k) * math.comb(bad, sample - k) / math.comb(good + bad, sample) if 0 <= sample - k <= bad else 0 for k in range(good + 1)]
+        for u in draw.random(50):
+            assert mixing._inverted(u, good, bad, sample) == min(int(np.searchsorted(np.cumsum(exact), u, side="right")), min(good, sample))
+    values = [mixing._hypergeometric(draw, 6 * 10**9, 4 * 10**9, 10**9) for _ in range(200)]
+    assert abs(np.mean(values) - 6 * 10**8) < 5 * 14_700 / math.sqrt(200) and 0.8 < np.std(values) / 14_697 < 1.2
+
+
 def jaccard(a, b):
     x, y = Counter(WORD.findall(a)), Counter(WORD.findall(b))
     return sum((x & y).values()) / max(1, sum((x | y).values()))
