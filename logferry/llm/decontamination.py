@@ -1,22 +1,25 @@
 """Benchmark decontamination by greedy string tiling.
 
-Texts become tokens: runs of letters and digits, ASCII and Latin-1 letters in lower case, as 64-bit
-running hashes; in scripts without spaces, single characters. A seed is ``SEED`` tokens in a row, or the whole
+Texts become tokens: runs of letters and digits, folded in every script with cases, as 64-bit running
+hashes; in scripts without spaces, single characters. A seed is ``SEED`` tokens in a row, or the whole
 item if that is shorter. Documents keep only the stretches made of seeds that
 some test item has too; every match of ``SEED`` or more tokens lies in such stretches, so tiling them
-gives what tiling the whole text would give. Seeds are joined, and each (document, item) pair that
-shares one is tiled: the longest common stretch of tokens not yet marked is looked for with running
+gives what tiling the whole text would give. A covered item shares at least one seed beside those whose
+tokens, taken together, stay below the coverage: so an item's commonest seeds are left out of the index as
+far as they do. The others are joined, and each (document, item) pair that shares one is tiled: the longest common stretch of tokens not yet marked is looked for with running
 Karp-Rabin hashes and marked, again and again, until none of ``SEED`` tokens is left. Since tiles may lie
 in any order, reordered passages are covered too.
 """
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +37,19 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[48:58] = _IN_WORD[97:123] = _IN_WORD[128:] = True
+
+
+def _folds() -> np.ndarray:
+    """Every code point's folded one, where that is single and as long in UTF-8."""
+    out = np.arange(0x110000, dtype=np.int32)
+    for c in (*range(0xC0, 0xD800), *range(0xF900, 0x20000)):
+        folded = chr(c).casefold()
+        if len(folded) == 1 and ord(folded) != c and len(folded.encode()) == len(chr(c).encode()):
+            out[c] = ord(folded)
+    return out
+
+
+_CASE = _folds()
 #: Blocks of scripts that are written without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, Tai scripts, Chinese, Japanese, Yi.
 UNSPACED = ((0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x2E80, 0x312F), (0x3190, 0x9FFF), (0xA000, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFE30, 0xFE6F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF))
 _ALONE, _BETWEEN = 1, 2
@@ -52,13 +68,33 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def _folded(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with every letter folded in place."""
+    out = _FOLD[data]
+    padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int32)
+    for least, below, width, mask in ((0xC3, 0xE0, 2, 31), (0xE0, 0xF0, 3, 15), (0xF0, 0xF5, 4, 7)):
+        lead = np.flatnonzero((data >= least) & (data < below))
+        lead = lead[lead + width <= len(data)]
+        if not len(lead):
+            continue
+        code = padded[lead] & mask
+        for k in range(1, width):
+            code = code << 6 | padded[lead + k] & 63
+        new = _CASE[np.minimum(code, 0x10FFFF)]
+        changed = new != code
+        lead, new = lead[changed], new[changed]
+        for k in range(width - 1, 0, -1):
+            out[lead + k] = 0x80 | new & 63
+            new = new >> 6
+        out[lead] = (0x100 - (1 << (8 - width))) | new
+    return out
+
+
 def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash (never 0) and first byte of every token in UTF-8 bytes."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    before = np.concatenate([[np.uint8(0)], data[:-1]])
-    folded = _FOLD[data]
-    folded = np.where((before == 0xC3) & (data >= 0x80) & (data <= 0x9E), data + 32, folded).astype(np.uint8)
+    folded = _folded(data)
     inside = _IN_WORD[folded]
     # General punctuation (E2 80 xx) and the Latin-1 signs (C2 xx) separate words.
     lead = np.flatnonzero((data == 0xE2) & (np.concatenate([data[1:], [np.uint8(0)]]) == 0x80))
@@ -106,12 +142,54 @@ def _seeds(values: np.ndarray, length: int) -> np.ndarray:
     return mixed(x)
 
 
+def _all_in(free: np.ndarray, length: int) -> np.ndarray:
+    """Where stretches of ``length`` begin that are free all over."""
+    total = np.concatenate([[0], np.cumsum(free)])
+    return np.flatnonzero(total[length:] - total[:-length] == length)
+
+
+def _most_covered(item: np.ndarray, seeds: np.ndarray) -> int:
+    """Tokens of ``item`` that lie in one of the given seeds, sorted: no tiling covers more."""
+    length = max(1, min(SEED, len(item)))
+    own = _seeds(item, length)
+    if not len(own) or not len(seeds):
+        return 0
+    hit = seeds[np.minimum(np.searchsorted(seeds, own), len(seeds) - 1)] == own
+    step = np.zeros(len(item) + 1, np.int64)
+    at = np.flatnonzero(hit)
+    np.add.at(step, at, 1)
+    np.add.at(step, at + length, -1)
+    return int((np.cumsum(step)[:-1] > 0).sum())
+
+
+def left_out(seeds: np.ndarray, frequency: np.ndarray, size: int, least: int) -> np.ndarray:
+    """Which of an item's seeds, one per position, the index can do without.
+
+    From the commonest on, as long as they cover fewer than ``least`` of the item's ``size`` tokens together.
+    """
+    length = size - len(seeds) + 1
+    out = np.zeros(len(seeds), bool)
+    covered, total = np.zeros(size, bool), 0
+    distinct, own = np.unique(seeds, return_inverse=True)
+    places = np.split(np.argsort(own, kind="stable"), np.cumsum(np.bincount(own, minlength=len(distinct)))[:-1])
+    often = np.zeros(len(distinct), np.int64)
+    often[own] = frequency
+    for k in np.argsort(-often, kind="stable"):
+        under = np.unique((places[k][:, None] + np.arange(length)).ravel())
+        more = int((~covered[under]).sum())
+        if total + more < least:
+            covered[under] = True
+            out[places[k]] = True
+            total += more
+    return out
+
+
 def tiled(text: np.ndarray, item: np.ndarray) -> int:
     """Tokens of ``item`` covered by greedy string tiling with ``text``; zeros in ``text`` match nothing."""
     free_text, free_item = text != 0, np.ones(len(item), bool)
 
     def matches(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        whole = [np.flatnonzero(np.convolve(f, np.ones(length, np.int64), "valid") == length) if len(f) >= length else np.zeros(0, np.int64) for f in (free_text, free_item)]
+        whole = [_all_in(f, length) for f in (free_text, free_item)]
         a, b = (_rolling(v, length)[w] for v, w in zip((text, item), whole, strict=True))
         return np.intersect1d(a, b), whole[0], whole[1]
 
@@ -153,7 +231,7 @@ def _item_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, at = buffer(piece)
         for k in range(piece.num_rows):
             rows.append(tokens(data[at[k] : at[k + 1]])[0].view(np.int64))
-            seeds.append(np.unique(_seeds(rows[-1].view(np.uint64), max(1, min(SEED, len(rows[-1]))))).view(np.int64))
+            seeds.append(_seeds(rows[-1].view(np.uint64), max(1, min(SEED, len(rows[-1])))).view(np.int64))
         kind = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays([column(piece, "item_id"), pa.array(rows, kind), pa.array(seeds, kind)], ["item_id", "tokens", "seeds"])
 
@@ -220,17 +298,42 @@ def _joined(values: np.ndarray, under: np.ndarray) -> np.ndarray:
     return np.insert(values[under], gaps, np.uint64(0))
 
 
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        matched = []
-        for text, item in zip(column(batch, "stretches"), column(batch, "tokens"), strict=True):
-            x, y = (v.values.to_numpy(zero_copy_only=False).view(np.uint64) for v in (text, item))
-            matched.append(tiled(x, y))
-        sizes = [len(v) for v in column(batch, "tokens")]
-        yield pa.RecordBatch.from_arrays(
-            [column(batch, "key"), column(batch, "doc_id"), column(batch, "item_id"), pa.array(matched, pa.int64()), pa.array(sizes, pa.int64())],
-            ["key", "doc_id", "item_id", "matched", "item_tokens"],
-        )
+def _least(size: int, coverage: float) -> int:
+    """Tokens of an item of ``size`` that must be covered."""
+    return max(1, math.ceil(size * coverage - 1e-9))
+
+
+def _indexed(coverage: float):
+    """Items with the seeds that the index needs, given how often each of their seeds occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for size, entries in zip(column(batch, "size").to_pylist(), column(batch, "entries"), strict=True):
+                place, seeds, often = (pc.struct_field(entries.values, name).to_numpy(zero_copy_only=False) for name in ("place", "seed", "often"))
+                order = np.argsort(place)
+                seeds = seeds[order]
+                kept.append(np.unique(seeds[~left_out(seeds, often[order], size, _least(size, coverage))]))
+            yield pa.RecordBatch.from_arrays([column(batch, "number"), pa.array(kept, pa.list_(pa.int64()))], ["number", "seeds"])
+
+    return run
+
+
+def _tiles(coverage: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            matched, sizes = [], []
+            for text, item, own in zip(column(batch, "stretches"), column(batch, "tokens"), column(batch, "seeds"), strict=True):
+                x, y, z = (v.values.to_numpy(zero_copy_only=False).view(np.uint64) for v in (text, item, own))
+                z = np.sort(z)
+                matched.append(tiled(x, y) if _most_covered(y, z) >= _least(len(y), coverage) else 0)
+                sizes.append(len(y))
+            yield pa.RecordBatch.from_arrays(
+                [column(batch, "key"), column(batch, "doc_id"), column(batch, "item_id"), pa.array(matched, pa.int64()), pa.array(sizes, pa.int64())],
+                ["key", "doc_id", "item_id", "matched", "item_tokens"],
+            )
+
+    return run
 
 
 def row_key(docs: DataFrame) -> DataFrame:
@@ -245,13 +348,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     row. Null and empty texts, and items without a letter or digit, match nothing. Items of fewer than
     ``shortest`` tokens match nothing; other items of fewer than ``SEED`` tokens match where all their
     tokens stand in a row. An empty
-    benchmark gives no rows. Null ids are kept as they are. Other columns are ignored.
+    benchmark gives no rows. Null ids are kept as they are. Of equally long common stretches the one that
+    begins first in the item, then in the text, is marked. A very long text is one row of its task, whose
+    stretches alone are shuffled. Other columns are ignored.
     """
     spark = docs.sparkSession
-    items = written(
-        benchmark.select("item_id", "text").distinct().mapInArrow(_item_tokens, "item_id long, tokens array<long>, seeds array<long>").where(F.size("tokens") >= max(1, shortest)), "items"
-    )
-    by_seed = items.select("item_id", F.md5(F.col("tokens").cast("string")).alias("item_key"), F.explode("seeds").alias("seed"))
+    given = benchmark.select("item_id", "text").distinct().mapInArrow(_item_tokens, "item_id long, tokens array<long>, seeds array<long>")
+    number = F.md5(F.concat_ws("|", F.coalesce(F.col("item_id").cast("string"), F.lit("-")), F.col("tokens").cast("string")))
+    items = written(given.where(F.size("tokens") >= max(1, shortest)).withColumn("number", number).dropDuplicates(["number"]), "items")
+    by_seed = items.select("number", F.size("tokens").alias("size"), F.posexplode("seeds").alias("place", "seed"))
     slots = by_seed.select(F.shiftrightunsigned("seed", 64 - FILTER_BITS).alias("slot")).select((F.col("slot") / 8).cast("long").alias("byte"), F.expr("shiftleft(1, cast(slot % 8 as int))").alias("bit"))
     bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for byte, bit in slots.groupBy("byte").agg(F.bit_or("bit")).toLocalIterator():
@@ -264,14 +369,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         return _stretches(shared.value, lengths)(batches)
 
     found = written(keyed.mapInArrow(stretches, "key string, doc_id long, stretches array<long>, seeds array<long>"), "stretches").dropDuplicates(["key"])
-    pairs = found.select("key", F.explode("seeds").alias("seed")).join(by_seed, "seed").select("key", "item_id", "item_key").distinct()
-    whole = items.select(F.coalesce("item_id", F.lit(-1)).alias("_item"), F.md5(F.col("tokens").cast("string")).alias("item_key"), "tokens")
+    in_docs = found.select("key", F.explode("seeds").alias("seed"))
+    often = by_seed.join(in_docs.groupBy("seed").agg(F.count(F.lit(1)).alias("often")), "seed", "left").withColumn("often", F.coalesce("often", F.lit(0)))
+    entries = often.groupBy("number", "size").agg(F.collect_list(F.struct("place", "seed", "often")).alias("entries"))
+    index = written(entries.mapInArrow(_indexed(coverage), "number string, seeds array<long>").select("number", F.explode("seeds").alias("seed")), "index")
+    pairs = in_docs.join(index, "seed").select("key", "number").distinct()
     tiles = (
-        pairs.withColumn("_item", F.coalesce("item_id", F.lit(-1)))
-        .join(whole, ["_item", "item_key"])
-        .join(found.select("key", "doc_id", "stretches"), "key")
-        .select("key", "doc_id", "item_id", "stretches", "tokens")
-        .mapInArrow(_tiles, "key string, doc_id long, item_id long, matched long, item_tokens long")
+        pairs.join(items.select("number", "item_id", "tokens"), "number")
+        .join(found.select("key", "doc_id", "stretches", "seeds"), "key")
+        .select("key", "doc_id", "item_id", "stretches", "tokens", "seeds")
+        .mapInArrow(_tiles(coverage), "key string, doc_id long, item_id long, matched long, item_tokens long")
     )
     return (
         tiles.withColumn("coverage", F.col("matched") / F.col("item_tokens"))
