@@ -207,7 +207,7 @@ def test_tiling_equals_brute_force():
     for _ in range(60):
         text = rng.integers(1, 6, rng.integers(4, 60)).astype(np.uint64)
         item = rng.integers(1, 6, rng.integers(4, 30)).astype(np.uint64)
-        assert decontamination.tiled(text, item) == pytest.approx(brute_tiles(text.tolist(), item.tolist()), abs=5)
+        assert decontamination.tiled(text, item) == brute_tiles(text.tolist(), item.tolist())
     assert decontamination.tiled(np.arange(1, 41, dtype=np.uint64), np.arange(5, 30, dtype=np.uint64)) == 25
 
 
@@ -226,6 +226,54 @@ def test_contaminated(spark, documents):
     assert got == want and want
 
 
+def test_left_out_seeds_cover_less_than_asked():
+    draw = np.random.default_rng(6)
+    for _ in range(200):
+        size = int(draw.integers(4, 40))
+        seeds = draw.integers(0, 12, size - 3).astype(np.int64)
+        often = draw.integers(0, 5, 12)[seeds]
+        least = int(draw.integers(1, size + 1))
+        out = decontamination.left_out(seeds, often, size, least)
+        covered = {k + d for k in np.flatnonzero(out) for d in range(4)}
+        assert len(covered) < least and not set(seeds[out]) & set(seeds[~out])
+    assert decontamination.left_out(np.array([7, 8, 9]), np.array([1, 1, 1]), 6, 4).sum() == 0
+    assert decontamination.left_out(np.array([7, 8, 9]), np.array([1, 1, 5]), 6, 5).tolist() == [False, False, True]
+
+
+def test_common_phrase_gives_few_tilings(spark, monkeypatch):
+    draw = np.random.default_rng(8)
+    words = lambda n: " ".join(f"w{k}" for k in draw.integers(0, 3000, n))
+    questions = [f"which of the following is true of {words(14)}" for _ in range(300)]
+    docs = [f"{words(20)} which of the following is true of {words(20)}" for _ in range(290)] + [f"{words(9)} {q} {words(9)}" for q in questions[:10]]
+    counted = spark.sparkContext.accumulator(0)
+    tiled = decontamination.tiled
+
+    def watched(text, item):
+        counted.add(1)
+        return tiled(text, item)
+
+    monkeypatch.setattr(decontamination, "tiled", watched)
+    rows = decontamination.contaminated(
+        spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(questions)), "item_id long, text string")
+    ).collect()
+    assert sorted((r.doc_id, r.item_id, r.matched) for r in rows) == [(290 + k, k, 21) for k in range(10)]
+    assert 10 <= counted.value <= 0.01 * len(docs) * len(questions)
+
+
+def test_folding_of_other_scripts(spark):
+    items = ["Привет мир, как дела сегодня", "ΟΔΥΣΣΕΎΣ ο πολυμήχανος ήρωας της Ιθάκης", "Žluťoučký kůň úpěl ďábelské ódy", "ｆｕｌｌ ｗｉｄｔｈ ｌｅｔｔｅｒｓ ｈｅｒｅ", "𐐨𐐩 𐐪𐐫 𐐬𐐭 𐐮𐐯"]
+    docs = [items[0].upper(), "Οδυσσεύς Ο ΠΟΛΥΜΉΧΑΝΟΣ ΉΡΩΑΣ ΤΗΣ ΙΘΆΚΗΣ", items[2].upper(), items[3].upper(), items[4].upper(), "İstanbul ß ŉ"]
+    schema = "{} long, text string"
+    rows = decontamination.contaminated(spark.createDataFrame(list(enumerate(docs)), schema.format("doc_id")), spark.createDataFrame(list(enumerate(items)), schema.format("item_id"))).collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage) for r in rows) == [(k, k, 1.0) for k in range(5)]
+    assert decontamination._folded(np.frombuffer(docs[5].encode(), np.uint8)).tobytes().decode() == "İstanbul ß ŉ"
+
+
+def test_long_matches_take_linear_time():
+    text = np.random.default_rng(1).integers(1, 2**60, 200_000).astype(np.uint64)
+    assert decontamination.tiled(text, text[50:150_000]) == 149_950
+
+
 def test_contaminated_reordered_and_odd(spark, odd):
     bench = spark.createDataFrame([(1, "Alpha beta gamma delta. Uno dos tres cuatro; É ß ça oui!"), (2, None), (3, "a b"), (4, ""), (1, "x y z w v")], "item_id long, text string")
     docs = odd.select("doc_id", "text").union(
