@@ -32,7 +32,10 @@ END = CLASSES
 STEPS = 6
 GAIN = 1e-3
 #: The windows of a text advance together in Baum-Welch; what passes from one to the next is carried exactly.
-WINDOW = 128
+#: Longer ones need fewer matrices, shorter ones fewer steps and less memory.
+WINDOW = 512
+#: Windows whose shares are held at once.
+TOGETHER = 2000
 PIECE = 12 << 20
 _PIECE_SCHEMA = "piece string, doc_ids array<long>, held_out array<boolean>, lengths array<int>, tokens binary, classes binary, number int, word binary, n long"
 
@@ -134,15 +137,15 @@ def expected(model: Model, classes: np.ndarray, lengths: np.ndarray, window: int
     """Expected counts of starts, transitions and emissions over whole texts, and their log10 likelihood.
 
     ``classes`` holds the texts, of ``lengths`` tokens, one after the other. The result does not depend on
-    ``window``; time goes by its length and memory by 4,000 windows at a time.
+    ``window``; time goes by its length and memory by ``TOGETHER`` windows.
     """
     begin, length, opens = _windows(lengths, window)
     started, moved, emitted, likelihood = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(model[2].shape), 0.0
     if not len(begin):
         return started, moved, emitted, likelihood
     before, after = _between_windows(model, classes, begin, length, opens)
-    for part in range(0, len(begin), 4000):
-        cut = slice(part, part + 4000)
+    for part in range(0, len(begin), TOGETHER):
+        cut = slice(part, part + TOGETHER)
         found = _expected_in(model, classes, begin[cut], length[cut], opens[cut], before[cut], after[cut])
         started, moved, emitted, likelihood = started + found[0], moved + found[1], emitted + found[2], likelihood + found[3]
     return started, moved, emitted, likelihood
