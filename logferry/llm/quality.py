@@ -1,16 +1,18 @@
 """Quality classifier: gated-attention multiple-instance learning over the passages of a document.
 
 A document is a bag of passages, pieces of ``PASSAGE`` bytes of its whole text. Each passage becomes
-shares of character classes, of hashed pairs of classes and of repeated words; a learned layer encodes
-it as h. The gate w . (tanh(V h) * sigmoid(U h)) gives attention weights over the bag by softmax, and a
-logistic layer scores the weighted sum. Only document labels are known; the model learns by itself which
-passages tell. It is fitted in one task on at most ``max_training`` labelled documents, drawn by a hash
-of doc_id; documents of any size are scored where they lie.
+shares of character classes, of hashed pairs of classes, of hashed words and of repeated words; a learned
+layer, which holds an embedding for each slot of the hashed words, encodes it as h. The gate
+w . (tanh(V h) * sigmoid(U h)) gives attention weights over the bag by softmax, and a logistic layer scores
+the weighted sum. Only document labels are known; the model learns by itself which passages tell. It is
+fitted in one task on at most ``max_training`` labelled documents, drawn by a hash of doc_id, on all of
+their passages; documents of any size are scored where they lie. Passages are encoded ``SLICE`` at a time,
+so a very long text needs little more memory than its bytes, for scoring, and 1.5 times that for fitting.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +20,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from logferry.llm.arrays import buffer, column, pieces
+from logferry.llm.arrays import buffer, column, mixed, pieces
 
 PASSAGE = 512
 MAX_TRAINING = 4000
-#: Passages that a training document gives at most; longer bags are thinned evenly, for fitting only.
-MAX_PASSAGES = 24
+#: Passages encoded at once, and passages of a fitting step, about: a step takes whole bags.
+SLICE = 8192
+STEP_PASSAGES = 4096
+#: Fitting steps and rounds over all bags, at least.
+STEPS, ROUNDS = 400, 4
 THRESHOLD = 0.7
 HIDDEN, GATE = 16, 8
 PAIRS = 64
+WORDS = 256
 
 # Classes of bytes: lower, upper, digit, space, line end, letters beyond ASCII, and each other sign.
 _CLASS = np.zeros(256, np.uint8)
@@ -36,25 +42,40 @@ _CLASS[_SIGNS] = np.arange(6, 6 + len(_SIGNS), dtype=np.uint8)
 CLASSES = 6 + len(_SIGNS)
 _PAIR = np.random.Generator(np.random.PCG64(3)).integers(0, PAIRS, CLASSES * CLASSES).astype(np.uint8)
 _BYTE = np.random.Generator(np.random.PCG64(4)).integers(1, 2**62, 256, dtype=np.int64)
-FEATURES = CLASSES + PAIRS + 5
+FEATURES = CLASSES + PAIRS + WORDS + 5
+#: The least spread that a slot of words is scaled by: slots of rare words stay small.
+RARE = 0.25
+LEARNT = ("W", "V", "U", "w", "c", "b")
 
 
-def passages(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all passages of the texts in ``data``, and the text that each belongs to.
-
-    An empty text has one passage without any feature but the bias.
-    """
-    sizes = np.diff(at)
+def _cut(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The text of every passage, and its number in it; an empty text has one passage."""
     counts = np.maximum(1, -(-sizes // PASSAGE))
     owner = np.repeat(np.arange(len(sizes)), counts)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def passages(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features of all passages of the texts in ``data``, ``SLICE`` at a time, and the text of each.
+
+    An empty text has one passage without any feature but the bias. A word ends where its passage does.
+    """
+    owner, nth = _cut(np.diff(at))
     start = at[owner] + nth * PASSAGE
     length = np.minimum(PASSAGE, at[owner + 1] - start).clip(0)
-    n = len(owner)
+    for low in range(0, len(owner), SLICE):
+        own = slice(low, low + SLICE)
+        begin = start[own][0]
+        yield _features(data[begin : begin + int(length[own].sum())], length[own]), owner[own]
+
+
+def _features(data: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Features of passages that lie one after the other in ``data``."""
+    n = len(length)
     out = np.zeros((n, FEATURES), np.float32)
     out[:, -1] = 1
     if not len(data):
-        return out, owner
+        return out
     passage = np.repeat(np.arange(n), length)
     kind = _CLASS[data]
     size = np.maximum(1, length)[:, None]
@@ -64,19 +85,28 @@ def passages(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     out[:, CLASSES : CLASSES + PAIRS] = np.bincount(passage[1:][same] * PAIRS + pair, minlength=n * PAIRS).reshape(n, PAIRS) / size
     # Words: runs of other bytes than white space; equal neighbours are repeats.
     inside = (kind != 3) & (kind != 4)
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
-    first, last = edge[::2], edge[1::2]
+    goes_on = np.zeros(len(data) + 1, bool)
+    goes_on[1:-1] = inside[1:] & inside[:-1] & same
+    first, last = np.flatnonzero(inside & ~goes_on[:-1]), np.flatnonzero(inside & ~goes_on[1:]) + 1
+    rest = CLASSES + PAIRS + WORDS
     if len(first):
-        total = np.concatenate([[0], np.cumsum(_BYTE[data], dtype=np.int64)])
-        value = total[last] - total[first]
+        # A word's hash is the sum of hashes of its bytes and of its pairs of neighbouring bytes.
+        lower = np.where(kind == 1, data | 32, data)
+        code = _BYTE[lower]
+        code[1:] += np.where(goes_on[1:-1], _BYTE[lower[:-1]] * (2 * _BYTE[lower[1:]] + 1), 0)
+        total = np.concatenate([[0], np.cumsum(code, dtype=np.int64)])
+        value = mixed((total[last] - total[first]).view(np.uint64))
         where = passage[first]
         words = np.bincount(where, minlength=n)
+        slot = (value >> np.uint64(40)).astype(np.int64) % WORDS
+        counted = np.bincount(where * WORDS + slot, minlength=n * WORDS).reshape(n, WORDS)
+        out[:, CLASSES + PAIRS : rest] = np.sqrt(counted / np.maximum(1, words)[:, None])
         for col, gap in ((0, 1), (1, 2)):
             equal = (value[gap:] == value[:-gap]) & (where[gap:] == where[:-gap])
-            out[:, CLASSES + PAIRS + col] = np.bincount(where[gap:][equal], minlength=n) / np.maximum(1, words)
-        out[:, CLASSES + PAIRS + 2] = words / size[:, 0] * 4
-    out[:, CLASSES + PAIRS + 3] = np.log1p(length) / np.log1p(PASSAGE)
-    return out, owner
+            out[:, rest + col] = np.bincount(where[gap:][equal], minlength=n) / np.maximum(1, words)
+        out[:, rest + 2] = words / size[:, 0] * 4
+    out[:, rest + 3] = np.log1p(length) / np.log1p(PASSAGE)
+    return out
 
 
 def _softmax_by(owner: np.ndarray, gate: np.ndarray, bags: int) -> np.ndarray:
@@ -90,53 +120,122 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def scores(model: dict[str, np.ndarray], x: np.ndarray, owner: np.ndarray, bags: int) -> np.ndarray:
-    h = np.tanh((x - model["mean"]) * model["scale"] @ model["W"])
-    gate = (np.tanh(h @ model["V"]) * _sigmoid(h @ model["U"])) @ model["w"]
+def _scaled(p: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    return np.clip((x - p["mean"]) * p["scale"], -8, 8)
+
+
+def _layers(p: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of passages with scaled features: their encoding, and both factors of the gate."""
+    h = np.tanh(x @ p["W"])
+    return h, np.tanh(h @ p["V"]), _sigmoid(h @ p["U"])
+
+
+def _looked(p: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The gate of every passage and what it says of its bag."""
+    h, tv, su = _layers(p, x)
+    return (tv * su) @ p["w"], h @ p["c"]
+
+
+def scores(model: dict[str, np.ndarray], slices: Iterable[tuple[np.ndarray, np.ndarray]], bags: int) -> np.ndarray:
+    """The score of every bag, from slices of passages (features, bag)."""
+    seen = [(*_looked(model, _scaled(model, x)), owner) for x, owner in slices]
+    gate, said, owner = (np.concatenate(v) for v in zip(*seen, strict=True))
     a = _softmax_by(owner, gate, bags)
-    z = np.bincount(owner, a * (h @ model["c"]), bags) + model["b"]
-    return _sigmoid(z)
+    return _sigmoid(np.bincount(owner, a * said, bags) + model["b"])
+
 
+def loss(p: dict[str, np.ndarray], x: np.ndarray, owner: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> float:
+    """Mean weighted cross entropy of the bags, whose passages have scaled features."""
+    gate, said = _looked(p, x)
+    z = _sigmoid(np.bincount(owner, _softmax_by(owner, gate, len(labels)) * said, len(labels)) + p["b"])
+    return float(-(weight * (labels * np.log(z) + (1 - labels) * np.log(1 - z))).mean())
 
-def fitted(x: np.ndarray, owner: np.ndarray, labels: np.ndarray, steps: int = 400, rate: float = 0.02) -> dict[str, np.ndarray]:
-    """The model after full-batch Adam steps; both labels weigh the same in total."""
+
+def gradient(p: dict[str, np.ndarray], x: np.ndarray, owner: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradient of ``loss``, summed over slices of passages."""
+    bags = len(labels)
+    cuts = [slice(k, k + SLICE) for k in range(0, len(x), SLICE)]
+    gate, said = (np.concatenate(v) for v in zip(*(_looked(p, x[k]) for k in cuts), strict=True))
+    a = _softmax_by(owner, gate, bags).astype(p["W"].dtype)
+    pooled = np.bincount(owner, a * said, bags)
+    dz = (weight * (_sigmoid(pooled + p["b"]) - labels) / bags).astype(a.dtype)
+    weighed = dz[owner] * a
+    dgate = weighed * (said - pooled[owner]).astype(a.dtype)
+    grad = {k: np.zeros_like(p[k]) for k in LEARNT}
+    grad["b"] = grad["b"] + dz.sum()
+    for k in cuts:
+        h, tv, su = _layers(p, x[k])
+        dg = dgate[k, None] * p["w"]
+        dv, du = dg * su * (1 - tv**2), dg * tv * su * (1 - su)
+        dh = weighed[k, None] * p["c"] + dv @ p["V"].T + du @ p["U"].T
+        grad["c"] += h.T @ weighed[k]
+        grad["w"] += (tv * su).T @ dgate[k]
+        grad["V"] += h.T @ dv
+        grad["U"] += h.T @ du
+        grad["W"] += x[k].T @ (dh * (1 - h**2))
+    return grad
+
+
+def _standard(x: np.ndarray) -> dict[str, np.ndarray]:
+    """Mean and scale of every feature, over slices."""
+    total, squares = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    for k in range(0, len(x), SLICE):
+        part = x[k : k + SLICE].astype(np.float64)
+        total += part.sum(axis=0)
+        squares += (part**2).sum(axis=0)
+    mean = total / len(x)
+    spread = np.sqrt(np.maximum(0, squares / len(x) - mean**2))
+    least = np.full(len(mean), 1e-3)
+    least[CLASSES + PAIRS : CLASSES + PAIRS + WORDS] = RARE
+    mean[-1], spread[-1] = 0, 1
+    return {"mean": mean.astype(np.float32), "scale": (1 / np.maximum(spread, least)).astype(np.float32)}
+
+
+def _steps(counts: np.ndarray, draw: np.random.Generator) -> list[np.ndarray]:
+    """All bags in a drawn order, cut into steps of about ``STEP_PASSAGES`` passages."""
+    order = draw.permutation(len(counts))
+    step = (np.cumsum(counts[order]) - counts[order]) // STEP_PASSAGES
+    return np.split(order, np.flatnonzero(np.diff(step)) + 1)
+
+
+def fitted(x: np.ndarray, owner: np.ndarray, labels: np.ndarray, steps: int = STEPS, rate: float = 0.02) -> dict[str, np.ndarray]:
+    """The model after Adam steps on whole bags; both labels weigh the same in total.
+
+    ``owner`` ascends. Every round takes all bags once; rounds go on for ``steps`` steps and ``ROUNDS`` rounds at least.
+    """
     draw = np.random.default_rng(7)
     bags = len(labels)
-    mean, spread = x.mean(axis=0), x.std(axis=0)
-    model = {"mean": mean, "scale": (1 / np.maximum(spread, 1e-3)).astype(np.float32)}
-    model["mean"][-1], model["scale"][-1] = 0, 1
-    xs = np.clip((x - model["mean"]) * model["scale"], -8, 8)
     p = {
         "W": draw.normal(0, 0.15, (x.shape[1], HIDDEN)), "V": draw.normal(0, 0.3, (HIDDEN, GATE)), "U": draw.normal(0, 0.3, (HIDDEN, GATE)),
         "w": draw.normal(0, 0.3, GATE), "c": draw.normal(0, 0.3, HIDDEN), "b": np.zeros(()),
     }
-    p = {k: v.astype(np.float32) for k, v in p.items()}
+    p["W"][CLASSES + PAIRS : CLASSES + PAIRS + WORDS] /= 5
+    p = _standard(x) | {k: v.astype(np.float32) for k, v in p.items()}
     ones = max(1, int(labels.sum()))
     weight = np.where(labels == 1, bags / (2 * ones), bags / (2 * max(1, bags - ones))).astype(np.float32)
-    m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
-    for step in range(1, steps + 1):
-        h = np.tanh(xs @ p["W"])
-        tv, su = np.tanh(h @ p["V"]), _sigmoid(h @ p["U"])
-        a = _softmax_by(owner, (tv * su) @ p["w"], bags).astype(np.float32)
-        hc = h @ p["c"]
-        z = np.bincount(owner, a * hc, bags) + p["b"]
-        dz = (weight * (_sigmoid(z) - labels) / bags).astype(np.float32)
-        dzo = dz[owner]
-        pooled = np.bincount(owner, a * hc, bags).astype(np.float32)
-        dgate = dzo * a * (hc - pooled[owner])
-        dg = dgate[:, None] * p["w"]
-        dv, du = dg * su * (1 - tv**2), dg * tv * su * (1 - su)
-        dh = (dzo * a)[:, None] * p["c"] + dv @ p["V"].T + du @ p["U"].T
-        grad = {
-            "c": h.T @ (dzo * a), "b": dz.sum(), "w": (tv * su).T @ dgate, "V": h.T @ dv, "U": h.T @ du,
-            "W": xs.T @ (dh * (1 - h**2)),
-        }
-        for k in p:
-            g = grad[k] + 1e-4 * p[k]
-            m[k] = 0.9 * m[k] + 0.1 * g
-            v[k] = 0.999 * v[k] + 0.001 * g * g
-            p[k] = (p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-    return model | p
+    xs = np.empty(x.shape, np.float16)
+    for k in range(0, len(x), SLICE):
+        xs[k : k + SLICE] = _scaled(p, x[k : k + SLICE])
+    counts = np.bincount(owner, minlength=bags)
+    first = np.cumsum(counts) - counts
+    m, v = ({k: np.zeros_like(p[k]) for k in LEARNT} for _ in range(2))
+    each = len(_steps(counts, draw))
+    total = max(ROUNDS, -(-steps // each)) * each
+    step = 0
+    while step < total:
+        for chosen in _steps(counts, draw):
+            step += 1
+            sizes = counts[chosen]
+            at = np.repeat(first[chosen] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            grad = gradient(p, xs[at].astype(np.float32), np.repeat(np.arange(len(chosen)), sizes), labels[chosen], weight[chosen])
+            # Steps get shorter, so that the last bags seen do not weigh more.
+            now = rate * max(0.05, 1 - step / total)
+            for k in LEARNT:
+                g = grad[k] + 1e-4 * p[k]
+                m[k] = 0.9 * m[k] + 0.1 * g
+                v[k] = 0.999 * v[k] + 0.001 * g * g
+                p[k] = (p[k] - now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+    return p
 
 
 def _flat(model: dict[str, np.ndarray]) -> list[tuple[str, list[int], list[float]]]:
@@ -144,19 +243,18 @@ def _flat(model: dict[str, np.ndarray]) -> list[tuple[str, list[int], list[float
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bags: list[np.ndarray] = []
+    parts: list[np.ndarray] = []
+    owners: list[np.ndarray] = []
     labels: list[int] = []
     for piece in pieces(batches, "text"):
-        x, owner = passages(*buffer(piece))
-        for k, label in enumerate(column(piece, "quality").to_pylist()):
-            bag = x[owner == k]
-            if len(bag) > MAX_PASSAGES:
-                bag = bag[np.linspace(0, len(bag) - 1, MAX_PASSAGES).astype(int)]
-            bags.append(bag)
-            labels.append(int(label))
+        for x, owner in passages(*buffer(piece)):
+            parts.append(x.astype(np.float16))
+            owners.append(owner + len(labels))
+        labels += column(piece, "quality").to_pylist()
     if labels:
-        owner = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-        names, shapes, values = zip(*_flat(fitted(np.concatenate(bags), owner, np.array(labels, np.float32))), strict=True)
+        x = np.concatenate(parts)
+        parts.clear()
+        names, shapes, values = zip(*_flat(fitted(x, np.concatenate(owners), np.array(labels, np.float32))), strict=True)
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(shapes, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float64()))], ["name", "shape", "value"])
 
 
@@ -168,11 +266,12 @@ def held_out(modulus: int, remainder: int) -> Column:
 def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING) -> dict[str, np.ndarray] | None:
     """The model from labelled rows outside the held-out part; None where there is no label.
 
-    The sample takes the ``max_training`` rows with the lowest hash of doc_id.
+    The sample takes the ``max_training`` rows with the lowest hash of doc_id; of rows that share a doc_id
+    the least text is learnt from.
     """
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.where(~held_out(4, 2)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_training)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.first("text").alias("text"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     one = texts.repartition(1).sortWithinPartitions("doc_id").select("quality", "text")
     rows = one.mapInArrow(_fit, "name string, shape array<int>, value array<double>").collect()
     return {r.name: np.array(r.value, np.float32).reshape(r.shape) for r in rows} or None
@@ -194,8 +293,7 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
             if model is None:
                 found = np.full(piece.num_rows, 0.5)
             else:
-                x, owner = passages(*buffer(piece))
-                found = scores(model, x, owner, piece.num_rows).astype(np.float64)
+                found = scores(model, passages(*buffer(piece)), piece.num_rows).astype(np.float64)
             yield pa.RecordBatch.from_arrays([*(column(piece, n) for n in names), pa.array(found)], [*names, "score"])
 
     out = docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(score, StructType([*own, StructField("score", DoubleType())]))

@@ -43,14 +43,55 @@ def test_quality_of_odd_rows(spark, odd):  # noqa: F811
     assert quality.scored(odd.limit(0), labels).count() == 0
 
 
-def test_attention_gradient():
+def bags_of(texts):
+    data = [t.encode() for t in texts]
+    return list(quality.passages(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])))
+
+
+@pytest.mark.parametrize("size", [4, 8192])
+def test_attention_gradient(monkeypatch, size):
+    monkeypatch.setattr(quality, "SLICE", size)
     draw = np.random.default_rng(1)
-    x = draw.normal(size=(60, quality.FEATURES)).astype(np.float32)
-    x[:, -1] = 1
-    owner = np.repeat(np.arange(20), 3)
-    labels = (x[::3, 0] > 0).astype(np.float32)
-    model = quality.fitted(x, owner, labels, steps=200)
-    assert ((quality.scores(model, x, owner, 20) > 0.5) == labels).mean() > 0.9
+    x = draw.normal(size=(23, 9))
+    owner = np.sort(np.concatenate([np.arange(6), draw.integers(0, 6, 17)]))
+    labels, weight = draw.integers(0, 2, 6).astype(float), draw.uniform(0.5, 2, 6)
+    shapes = {"W": (9, 5), "V": (5, 3), "U": (5, 3), "w": (3,), "c": (5,), "b": ()}
+    p = {k: draw.normal(0, 0.4, n) if n else np.array(0.2) for k, n in shapes.items()}
+    found = quality.gradient(p, x, owner, labels, weight)
+    for k, n in shapes.items():
+        for at in np.ndindex(*n):
+            up, down = {**p, k: p[k].copy()}, {**p, k: p[k].copy()}
+            up[k][at] += 1e-5
+            down[k][at] -= 1e-5
+            slope = (quality.loss(up, x, owner, labels, weight) - quality.loss(down, x, owner, labels, weight)) / 2e-5
+            assert abs(slope - found[k][at]) < 1e-7
+
+
+def test_features_do_not_depend_on_slices(monkeypatch):
+    texts = ["", "Ein Text, der länger ist. " * 90, "x", "word " * 700, "", "é" * 3000]
+    (x, owner), = bags_of(texts)
+    monkeypatch.setattr(quality, "SLICE", 3)
+    parts = bags_of(texts)
+    assert len(parts) > 5 and np.array_equal(np.concatenate([o for _, o in parts]), owner)
+    assert np.array_equal(np.concatenate([f for f, _ in parts]), x)
+
+
+def test_one_passage_among_a_thousand_is_learnt():
+    """Bags of 1,000 passages, one of which tells the label by a word: at any place, in held-out bags too."""
+    draw = np.random.default_rng(2)
+    usual = (" ".join(draw.choice("the of and with river stone paper light".split(), 5000)) * 2)[: 2 * quality.PASSAGE].ljust(2 * quality.PASSAGE)
+
+    def bag(bad):
+        parts = [usual[: quality.PASSAGE]] * 1000
+        parts[int(draw.integers(1000))] = ("BUY!!! NOW!!! " * 40 if bad else usual[quality.PASSAGE :])[: quality.PASSAGE].ljust(quality.PASSAGE)
+        return "".join(parts)
+
+    labels = np.tile([0.0, 1.0], 12).astype(np.float32)
+    seen, held = (bags_of([bag(y == 0) for y in labels]) for _ in range(2))
+    x, owner = (np.concatenate(v) for v in zip(*seen, strict=True))
+    assert len(x) == 24_000
+    model = quality.fitted(x, owner, labels, steps=60)
+    assert ((quality.scores(model, held, 24) > 0.5) == labels).all()
 
 
 def test_languages(spark, documents):
