@@ -340,6 +340,68 @@ def test_surrogates(spark, odd):  # noqa: F811
     assert surrogates.replaced(odd.limit(0)).count() == 0 and surrogates.replaced(odd).count() == 10
 
 
+def test_domains_stay_distinct_and_numbers_are_one_entity(spark, monkeypatch):
+    """Every domain has its own surrogate, also where one letter is all its room; +1 numbers are one with and without it."""
+    monkeypatch.setattr(surrogates, "MOST_DRAWS", 2)
+    texts = [f"{c}{k}@{c}.example" for c in "abcdefghijklmnopqrstuvwxy" for k in range(2)]
+    texts += ["+1 (988) 555-2485 or 988-555-2485, (988) 555-2485 and +19885552485", "+49 88 555248, 498-855-5248"]
+    rows = {r.doc_id: r.text for r in surrogates.replaced(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    domains = [rows[k].split("@")[1] for k in range(50)]
+    assert len(set(domains)) == 25 and domains[::2] == domains[1::2] and not set(domains) & {f"{c}.example" for c in "abcdefghijklmnopqrstuvwxy"}
+    assert len({rows[k] for k in range(50)}) == 50
+    first, *others = re.split(", | or | and ", rows[50])
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", first) and "9885552485" not in re.sub(r"\D", "", rows[50])
+    assert {re.sub(r"\D", "", n)[-10:] for n in [first, *others]} == {re.sub(r"\D", "", first)[1:]} and others[-1].startswith("+1")
+    abroad, home = rows[51].split(", ")
+    assert re.fullmatch(r"\+49 \d\d \d{6}", abroad) and re.fullmatch(r"\d{3}-\d{3}-\d{4}", home) and "49" + abroad[4:].replace(" ", "") != home.replace("-", "")
+
+
+HELPERS = "row found row_key new raw kind prefix canon kept tail n none c0 domain _found _key _new _kept n_entities _n_entities shard words copy order part _shard _words _copy _order _id _source _size _nth size key row_hash copies score predicted".split()
+
+
+def test_columns_named_as_helpers(spark):
+    text = "Ask Mrs. Lee at lee@corp.example. " + " ".join(f"word{k}" for k in range(40))
+    rows = [(k, text if k else None, "en", "s", 1, *range(len(HELPERS))) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in HELPERS))
+    held = {c: k for k, c in enumerate(HELPERS)}
+    out = {r.doc_id: r.asDict() for r in surrogates.replaced(docs).collect()}
+    assert [out[1][c] for c in HELPERS if c != "n_entities"] == [held[c] for c in HELPERS if c != "n_entities"]
+    assert (out[0]["n_entities"], out[1]["n_entities"], out[0]["text"]) == (0, 2, None) and "lee@" not in out[1]["text"]
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        after = stage(spark, docs, FOLDER)
+        assert after.columns == docs.columns, name
+        assert [{c: r[c] for c in HELPERS} for r in after.collect()] == [held] * 2, name
+    mix = corpus_pipeline.mixture(spark, docs, FOLDER)
+    mine = [c for c in docs.columns if c not in ("shard", "words", "copy")]
+    assert mix.columns == [*mine, "shard", "words", "copy"]
+    taken = [r.asDict() for r in mix.collect()]
+    assert sum(r["words"] for r in taken) == 68 and all(r[c] == held[c] for r in taken for c in HELPERS if c in mine)
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_with_odd_rows(spark, odd, number):  # noqa: F811
+    """Nulls in any column, empty and very long texts, repeated rows, extra columns and empty tables, in every stage."""
+    name, stage = corpus_pipeline.STAGES[number]
+    nulls = spark.createDataFrame([(None,) * 6] * 2, odd.schema)
+    rows = odd.union(nulls)
+    out = stage(spark, rows, FOLDER)
+    left = out.collect()
+    assert out.columns[:6] == odd.columns and stage(spark, odd.limit(0), FOLDER).columns == out.columns
+    assert stage(spark, odd.limit(0), FOLDER).count() == 0
+    if name == "mixing":
+        # The words of all rows are 7 * 4 + 2 + 2 + 50,001: sources stop at twice their size.
+        assert all(r.text and r.text.strip() for r in left) and {r.doc_id for r in left} <= {1, 2, None, 6, 7, 8}
+        assert abs(sum(r.words for r in left) - 1.5 * 50_033) <= 5
+    elif name == "near-duplicates":
+        # Rows 1 and 2 are copies, and so are 6 and 7; the null doc_id stays with all its rows.
+        assert sorted(r.doc_id for r in left if r.doc_id) == [1, 1, 3, 4, 5, 6, 8] and sum(r.doc_id is None for r in left) == 3
+    elif name == "quality classifier":
+        assert len(left) <= 12
+    else:
+        # Nothing here is personal or tested; n_chars alone follows the text, which it does not in these rows.
+        assert len(left) == 12 and sorted(map(str, out.drop("n_chars").collect())) == sorted(map(str, rows.drop("n_chars").collect()))
+
+
 def test_surrogates_stay_distinct(spark):
     """A format with little room: draws are repeated until no two entities share a surrogate."""
     entities = spark.createDataFrame([("ssn", f"{k}") for k in range(0, 10, 2)], "kind string, canon string")
