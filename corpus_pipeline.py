@@ -22,21 +22,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one of the smallest doc_id. A null doc_id stays."""
+    """One document of each group of near copies, the one of the smallest doc_id. A null doc_id stays.
+
+    Null, empty and wordless texts are linked with nothing, so they stay. Rows that share a doc_id stay together.
+    """
     kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, docs.doc_id.eqNullSafe(kept["_kept"]), "left_semi")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that cover no test item; the others go as a whole."""
+    """Documents that cover no test item; the others go as a whole.
+
+    Null and empty texts cover nothing, so they stay; equal rows stay or go together.
+    """
     found = contaminated(docs, table(spark, sf_dir, "benchmark"), shortest=1).select("row_key").distinct()
     rows = row_key(docs.select("doc_id", "text", F.struct("*").alias("row")))
     return rows.join(found, "row_key", "left_anti").select("row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates for personal data; n_chars follows the changed text."""
-    out = replaced(docs.withColumnRenamed("n_entities", "_n_entities")).drop("n_entities").withColumnRenamed("_n_entities", "n_entities")
+    """All documents, with surrogates for personal data; n_chars follows the changed text.
+
+    Null and empty texts stay as they are, equal rows stay equal, and an empty table stays empty.
+    """
+    out = replaced(docs, counted=None)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast("long"))
     return out.select(*docs.columns)
@@ -45,8 +54,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for every copy that a shard takes, in the order of shards and shuffled inside them.
 
-    Adds shard, words (taken from this copy) and copy to the columns. Rows of equal doc_id, source and
-    size stand for each other. Documents without words are in no mix.
+    Adds shard, words (taken from this copy) and copy to the columns, in place of columns of these names.
+    Rows of equal doc_id, source and size stand for each other. Documents without words, as of null or
+    empty text, are in no mix; a null source is a source of its own. An empty table gives an empty mix.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0)).cast("long")
     same = Window.partitionBy("_id", "_source", "_size").orderBy(F.lit(0))
@@ -58,14 +68,12 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     joined = rows.join(plan, [F.col(c).eqNullSafe(F.col(f"p{c}")) for c in keys])
     copies = joined.select("row", "row_hash", F.posexplode("copies").alias("copy", "part"))
     order = F.md5(F.concat_ws("|", "row_hash", "copy", F.col("part.shard").cast("string")))
-    extra = [n for n in ("shard", "words", "copy") if n in docs.columns]
+    own = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("shard", "words", "copy")]
     return (
-        copies.select("row.*", F.col("part.shard").alias("_shard"), F.col("part.words").alias("_words"), F.col("copy").alias("_copy"), order.alias("_order"))
-        .drop(*extra)
-        .repartitionByRange("_shard", "_order")
-        .sortWithinPartitions("_shard", "_order")
-        .drop("_order")
-        .withColumnsRenamed({"_shard": "shard", "_words": "words", "_copy": "copy"})
+        copies.select("row", F.col("part.shard").alias("shard"), F.col("part.words").alias("words"), "copy", order.alias("order"))
+        .repartitionByRange("shard", "order")
+        .sortWithinPartitions("shard", "order")
+        .select(*own, "shard", "words", "copy")
     )
 
 
