@@ -177,33 +177,38 @@ def require_allowed(actions: DataFrame, force: bool) -> None:
 def apply_to_catalog(catalog: DataFrame, actions: DataFrame, cluster: str) -> DataFrame:
     """The catalog after the actions. A rebuilt topic is a new generation with a new identity and
     therefore an empty log; topics with nothing to do, and undeclared ones, keep theirs."""
-    changed = actions.where(F.col("action") != "none")
-    generations = catalog.select("name", F.col("generation").alias("old_generation"))
     stamped = F.map_concat(
         F.coalesce("config", F.create_map().cast("map<string,string>")),
         F.create_map(F.lit(TIMESTAMP_SETTING), F.lit(TIMESTAMP_VALUE)),
     )
-    new = (
-        changed.join(generations, "name", "left")
-        .withColumn("generation", F.coalesce(F.col("old_generation") + 1, F.lit(1)))
-        .select(
-            "name",
-            topic_identity(cluster, F.col("name"), F.col("generation")).alias("topic_id"),
-            "generation",
+    shapes = _changed(actions).select(
+        "name",
+        F.struct(
             F.col("desired_partitions").cast("int").alias("partitions"),
-            F.coalesce("replication_factor", F.lit(DEFAULT_REPLICATION)).alias(
-                "replication_factor"
-            ),
+            F.coalesce("replication_factor", F.lit(DEFAULT_REPLICATION)).alias("replication_factor"),
             stamped.alias("config"),
-        )
+        ).alias("new"),
     )
-    kept = catalog.join(changed.select("name"), "name", "left_anti").select(*catalog.columns)
-    return kept.unionByName(new)
+    # One join says which topics are kept, rebuilt and new.
+    both = catalog.select("name", F.struct(*catalog.columns).alias("old")).join(shapes, "name", "full")
+    generation = F.coalesce(F.col("old.generation") + 1, F.lit(1))
+    rebuilt = {"name": F.col("name"), "topic_id": topic_identity(cluster, F.col("name"), generation), "generation": generation}
+    return both.select(
+        *[
+            F.when(F.col("new").isNull(), F.col(f"old.{c}")).otherwise(rebuilt.get(c, F.col(f"new.{c}"))).alias(c)
+            for c in catalog.columns
+        ]
+    )
+
+
+def _changed(actions: DataFrame) -> DataFrame:
+    """What is created or rebuilt. Stored decisions are small as files, which must not make them a broadcast."""
+    return actions.where(F.col("action") != "none").hint("merge")
 
 
 def apply_to_state(state: DataFrame, actions: DataFrame, cluster: str) -> DataFrame:
     """State without the rows of created and rebuilt topics."""
-    changed = actions.where(F.col("action") != "none").select(
+    changed = _changed(actions).select(
         F.lit(cluster).alias("dest_cluster"), F.col("name").alias("dest_topic")
     )
     return state.join(changed, TOPIC, "left_anti")

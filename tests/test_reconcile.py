@@ -5,6 +5,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from checks.jobs import QUERIES
 from logferry.operators import catalog, mappings, state
 from logferry.plans.run import (
     BadMappings,
@@ -16,6 +17,7 @@ from logferry.plans.run import (
 )
 from logferry.plans.transfer import dump
 from logferry.schemas import CATALOG, MAPPINGS, MARKERS, PROGRESS
+from tests.conftest import FOLDER
 
 SOURCE = ("source-cluster", "source", "source-topic-id")
 DEST = ("dest-cluster", "destination")
@@ -377,3 +379,39 @@ def test_first_failure_stops_all(spark, source, dest, make_log, tmp_path):
     lines = {r["topic"]: r for r in status(dest, started).collect()}
     assert (lines["bad"]["status"], lines["good"]["status"]) == ("error", "ok")
     assert "source identity" in lines["bad"]["last_error"]
+
+
+def test_changed_topics_and_undeclared_ones(spark):
+    shape = "name STRING, action STRING, desired_partitions INT, replication_factor INT, config MAP<STRING, STRING>"
+    before = spark.createDataFrame(
+        [("kept", "a", 2, 1, 1, {"x": "1"}), ("rebuilt", "b", 4, 2, 2, {"y": "2"}), ("undeclared", "c", 1, 1, 1, None)], CATALOG
+    )
+    actions = spark.createDataFrame(
+        [("kept", "none", 9, 9, {}), ("rebuilt", "recreate", 3, None, None), ("new", "create", 5, 6, {"z": "3"})], shape
+    )
+    after = {r["name"]: r for r in catalog.apply_to_catalog(before, actions, "c").collect()}
+    stamp = {"message.timestamp.type": "CreateTime"}
+    assert set(after) == {"kept", "rebuilt", "undeclared", "new"}
+    assert tuple(after["kept"]) == ("kept", "a", 2, 1, 1, {"x": "1"})
+    assert tuple(after["undeclared"]) == ("undeclared", "c", 1, 1, 1, None)
+    assert tuple(after["rebuilt"])[2:] == (5, 3, 1, stamp) and len({after[n]["topic_id"] for n in after}) == 4
+    assert tuple(after["new"])[2:] == (1, 5, 6, {"z": "3"} | stamp)
+
+
+def test_decisions_are_made_once(spark):
+    # Each join holds rows of both sides until its task ends: decisions made again for each use add up in one stage.
+    plan = QUERIES["apply_actions"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") < 12
+
+
+def test_stored_decisions_are_not_broadcast(spark, tmp_path):
+    live_rows = spark.range(100).selectExpr(
+        "cast(id AS STRING) AS name", "'i' AS topic_id", "1 AS generation", "1 AS partitions", "1 AS replication_factor",
+        "cast(map() AS map<string,string>) AS config",
+    )
+    shapes = live_rows.selectExpr("name", "'create' AS action", "1 AS desired_partitions", "replication_factor", "config")
+    shapes.write.parquet(str(tmp_path / "actions"))
+    actions = spark.read.parquet(str(tmp_path / "actions"))
+    state_rows = live_rows.selectExpr("'c' AS dest_cluster", "name AS dest_topic")
+    for after in (catalog.apply_to_catalog(live_rows, actions, "c"), catalog.apply_to_state(state_rows, actions, "c")):
+        assert "Broadcast" not in after._jdf.queryExecution().sparkPlan().toString()
