@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logferry.llm.arrays import column, pieces, texts, words_of
+from logferry.llm.arrays import column, pieces
 from logferry.llm.quality import held_out
 from logferry.llm.store import written
 
@@ -35,7 +35,7 @@ GAIN = 1e-3
 #: Longer ones need fewer matrices, shorter ones fewer steps and less memory.
 WINDOW = 512
 #: Windows whose shares are held at once.
-TOGETHER = 2000
+TOGETHER = 1000
 PIECE = 12 << 20
 _PIECE_SCHEMA = "piece string, doc_ids array<long>, held_out array<boolean>, lengths array<int>, tokens binary, classes binary, number int, word binary, n long"
 
@@ -44,36 +44,45 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % CLASSES
 
 
+def _numbered(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Tokens of all texts as numbers in order of first use, 0 after each text; tokens a text; the words, A-Z in lower case."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column(part, "text"), "")))
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)
+    codes = lists.flatten().dictionary_encode()
+    words = codes.dictionary.cast(pa.binary())
+    codes = codes.indices.to_numpy()
+    # White space at an end of a text leaves an empty string there, which is no word.
+    full = pc.binary_length(words).to_numpy() > 0
+    is_word = full[codes]
+    before = np.concatenate([[0], np.cumsum(is_word, dtype=np.int64)])
+    lengths = np.diff(before[np.concatenate([[0], ends])]) + 1
+    inside = np.ones(int(lengths.sum()), bool)
+    inside[np.cumsum(lengths) - 1] = False
+    tokens = np.zeros(len(inside), np.int32)
+    tokens[inside] = np.cumsum(full, dtype=np.int32)[codes[is_word]]
+    return tokens, lengths, pa.concat_arrays([pa.array([b""]), words.filter(pa.array(full))])
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each piece as one row of tokens (numbers of words, 0 ends a text) and one row per word."""
     kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.int64()]
     names = ["piece", "doc_ids", "held_out", "lengths", "tokens", "classes", "number", "word", "n"]
     for part in pieces(batches, "text", PIECE):
         name = uuid.uuid4().hex
-        number: dict[bytes, int] = {b"": 0}
-        parts, lengths = [], []
-        for text in texts(part):
-            w = words_of(text)
-            w.append(b"")
-            for x in w:
-                if x not in number:
-                    number[x] = len(number)
-            parts.append(np.fromiter(map(number.__getitem__, w), np.int32, len(w)))
-            lengths.append(len(w))
-        tokens = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        tokens, lengths, vocabulary = _numbered(part)
         held = column(part, "held_out").to_pylist()
-        learnt = np.bincount(tokens[np.repeat(~np.array(held, bool), lengths)], minlength=len(number))
-        classes = np.fromiter(map(word_class, number), np.uint16, len(number))
+        learnt = np.bincount(tokens[np.repeat(~np.array(held, bool), lengths)], minlength=len(vocabulary))
+        endings = pc.binary_slice(vocabulary, -3).dictionary_encode()
+        classes = np.array([word_class(w) for w in endings.dictionary.to_pylist()], np.uint16)[endings.indices.to_numpy()]
         classes[0] = END
         yield pa.RecordBatch.from_arrays(
             [pa.array(v, k) for v, k in zip(([name], [column(part, "doc_id").to_pylist()], [held], [lengths], [tokens.tobytes()], [classes.tobytes()], [None], [None], [None]), kinds, strict=True)], names
         )
-        vocabulary = list(number)
         for start in range(0, len(vocabulary), 50_000):
             w = vocabulary[start : start + 50_000]
             k = len(w)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * k), *(pa.nulls(k, t) for t in kinds[1:6]), pa.array(np.arange(start, start + k, dtype=np.int32)), pa.array(w, pa.binary()), pa.array(learnt[start : start + k])], names
+                [pa.array([name] * k), *(pa.nulls(k, t) for t in kinds[1:6]), pa.array(np.arange(start, start + k, dtype=np.int32)), w, pa.array(learnt[start : start + k])], names
             )
 
 
@@ -97,8 +106,8 @@ def _between_windows(model: Model, classes: np.ndarray, begin: np.ndarray, lengt
     """
     start, between64, emit = model
     between = between64.astype(np.float32)
-    n = len(begin)
-    before, after = np.zeros((n, STATES), np.float32), np.ones((n, STATES), np.float32)
+    n, states = len(begin), len(start)
+    before, after = np.zeros((n, states), np.float32), np.ones((n, states), np.float32)
     # Windows of one text lie in a row; only texts of two and more need matrices.
     text = np.cumsum(opens) - 1
     first = np.flatnonzero(opens)
@@ -109,13 +118,16 @@ def _between_windows(model: Model, classes: np.ndarray, begin: np.ndarray, lengt
     by_class = np.ascontiguousarray(emit.T).astype(np.float32)
     order = many[np.argsort(-length[many], kind="stable")]
     active = np.searchsorted(-length[order], -np.arange(int(length[order[0]])), side="left")
-    through = np.tile(np.eye(STATES, dtype=np.float32), (len(order), 1, 1))
+    # Windows lie along the last axis, so that every operation runs over many of them.
+    forth = np.ascontiguousarray(between.T)
+    through = np.tile(np.eye(states, dtype=np.float32)[:, :, None], (1, 1, len(order)))
     for t in range(1, len(active)):
         m = active[t]
-        moved = (through[:m].reshape(-1, STATES) @ between).reshape(m, STATES, STATES) * by_class[classes[begin[order[:m]] + t]][:, None, :]
-        through[:m] = moved / np.maximum(moved.max(axis=(1, 2), keepdims=True), 1e-30)
-    matrix = np.zeros((n, STATES, STATES), np.float32)
-    matrix[order] = through
+        moved = np.matmul(forth, through[:, :, :m])
+        moved *= np.ascontiguousarray(by_class.take(classes[begin[order[:m]] + t], axis=0).T)
+        np.divide(moved, np.maximum(moved.reshape(states * states, m).sum(axis=0), 1e-30), out=through[:, :, :m])
+    matrix = np.zeros((n, states, states), np.float32)
+    matrix[order] = through.transpose(2, 0, 1)
     opening = by_class[classes[begin]]
     texts_ = np.argsort(-count, kind="stable")
     longest = int(count.max())
@@ -156,49 +168,45 @@ def _expected_in(model: Model, classes: np.ndarray, begin: np.ndarray, length: n
 
     A window counts the transition to its first token, unless it opens a text.
     """
-    start, between64, emit = model
+    start, between, emit = (x.astype(np.float32) for x in model)
     order = np.argsort(-length, kind="stable")
-    begin, length, opens, before, after = begin[order], length[order], opens[order], before[order], after[order]
+    begin, length, opens, before, after = begin[order], length[order], opens[order], before[order].T, after[order].T
     steps = int(length[0])
     active = np.searchsorted(-length, -np.arange(steps + 1), side="left")
-    by_class = np.ascontiguousarray(emit.T).astype(np.float32)
-    between = between64.astype(np.float32)
-    alphas, symbols = [], []
-    alpha, likelihood = np.where(opens[:, None], start.astype(np.float32), before @ between), 0.0
+    # One column a token, step after step; windows are sorted by length, so a step's columns are the first of the step before.
+    ends = np.cumsum(active[:-1])
+    at = ends - active[:-1]
+    step = np.repeat(np.arange(steps), active[:-1])
+    here = classes[begin[np.arange(len(step)) - at[step]] + step].astype(np.intp)
+    seen = np.ascontiguousarray(np.ascontiguousarray(emit.T).take(here, axis=0).T)
+    alpha, scale = np.empty_like(seen), np.empty(len(here), np.float32)
+    forth = np.ascontiguousarray(between.T)
+    now = np.where(opens, start[:, None], forth @ before)
     for t in range(steps):
-        m = active[t]
-        seen = by_class[classes[begin[:m] + t]]
-        alpha = (alpha[:m] if t == 0 else alpha[:m] @ between) * seen
-        scale = np.maximum(alpha.sum(axis=1, keepdims=True), 1e-30)
-        likelihood += float(np.log10(scale, dtype=np.float64).sum())
-        alpha = alpha / scale
-        alphas.append(alpha)
-        symbols.append(seen)
-    emitted = np.zeros(emit.shape)
+        own = slice(at[t], ends[t])
+        if t:
+            now = forth @ alpha[:, at[t - 1] : at[t - 1] + active[t]]
+        now *= seen[:, own]
+        total = np.maximum(now.sum(axis=0), 1e-30, out=scale[own])
+        np.divide(now, total, out=alpha[:, own])
     moved = np.zeros(between.shape)
-    beta = np.zeros((0, STATES), np.float32)
     for t in range(steps - 1, -1, -1):
-        m = active[t]
-        later = active[t + 1]
-        whole = after[:m].copy()
+        own, later = slice(at[t], ends[t]), active[t + 1]
+        whole = after[:, : active[t]].copy()
         if later:
-            ahead = beta[:later] * symbols[t + 1]
-            whole[:later] = ahead @ between.T
-            scale = (alphas[t][:later] * whole[:later]).sum(axis=1, keepdims=True)
-            moved += between * (alphas[t][:later].T @ (ahead / np.maximum(scale, 1e-30)))
-            whole[:later] /= np.maximum(whole[:later].max(axis=1, keepdims=True), 1e-30)
-        beta = whole
-        gamma = alphas[t] * beta
-        gamma /= np.maximum(gamma.sum(axis=1, keepdims=True), 1e-30)
-        here = classes[begin[:m] + t]
-        for k in range(STATES):
-            emitted[k] += np.bincount(here, gamma[:, k], emitted.shape[1])
-    started = gamma[opens].sum(axis=0)
-    inner = ~opens
-    ahead = beta[inner] * symbols[0][inner]
-    scale = (before[inner] * (ahead @ between.T)).sum(axis=1, keepdims=True)
-    moved += between * (before[inner].T @ (ahead / np.maximum(scale, 1e-30)))
-    return started.astype(np.float64), moved, emitted, likelihood
+            moved += alpha[:, at[t] : at[t] + later] @ ahead.T
+            whole[:, :later] = between @ ahead
+        # The posteriors take the place of alpha, which no earlier step reads.
+        gamma = alpha[:, own] * whole
+        total = np.maximum(gamma.sum(axis=0), 1e-30)
+        np.divide(gamma, total, out=alpha[:, own])
+        whole *= seen[:, own]
+        whole /= scale[own] * total
+        ahead = whole
+    started = alpha[:, : len(begin)][:, opens].sum(axis=1, dtype=np.float64)
+    moved += before[:, ~opens] @ ahead[:, ~opens].T
+    emitted = np.stack([np.bincount(here, row, emit.shape[1]) for row in alpha])
+    return started, moved * model[1], emitted, float(np.log10(scale, dtype=np.float64).sum())
 
 
 def _windows(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -249,14 +257,15 @@ def log_likelihood(model: Model, classes: np.ndarray, lengths: np.ndarray) -> np
     order = np.argsort(-lengths, kind="stable")
     begin, length = at[order], lengths[order]
     active = np.searchsorted(-length, -np.arange(length[0]), side="left")
-    by_class = np.ascontiguousarray(emit.T)
+    forth, by_class = np.ascontiguousarray(between.T), np.ascontiguousarray(emit.T)
     out = np.zeros(len(lengths))
-    alpha = np.tile(start, (len(lengths), 1))
+    alpha = np.tile(start[:, None], len(lengths))
     for t in range(int(length[0])):
         m = active[t]
-        alpha = (alpha if t == 0 else alpha[:m] @ between) * by_class[classes[begin[:m] + t]]
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
+        alpha = alpha if t == 0 else forth @ alpha[:, :m]
+        alpha *= by_class.take(classes[begin[:m] + t], axis=0).T
+        scale = alpha.sum(axis=0)
+        alpha /= scale
         out[:m] += np.log10(scale)
     result = np.empty(len(lengths))
     result[order] = out

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -222,6 +224,42 @@ def test_expected_counts_do_not_depend_on_windows():
     assert want[1].sum() == pytest.approx((lengths - 1).sum(), rel=1e-4)
 
 
+def seconds(work):
+    """CPU seconds, the least of five runs."""
+    spent = []
+    for _ in range(5):
+        began = time.process_time()
+        work()
+        spent.append(time.process_time() - began)
+    return min(spent)
+
+
+def cut_rows(texts):
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "held_out": [d % 3 == 0 for d in range(len(texts))], "text": pa.array(texts, pa.string())})
+    out = [b for cut in language_model._cut(iter([batch])) for b in cut.to_pylist()]
+    return [r for r in out if r["number"] is None], [r for r in out if r["number"] is not None]
+
+
+def test_tokens_are_the_words_of_each_text():
+    texts = [" \x1c a\x0bBÄ\u2003x\x85 ", None, "", "\t\n", "A a\x00B c ", "ſ K", "abcd xbcd"]
+    (row,), entries = cut_rows(texts)
+    words = {r["number"]: r["word"] for r in sorted(entries, key=lambda r: r["number"])}
+    assert list(words) == list(range(len(words))) and words[0] == b"" and len(set(words.values())) == len(words)
+    tokens, wanted = np.frombuffer(row["tokens"], np.int32), [[*(t or "").encode().lower().split(), b""] for t in texts]
+    assert [words[t] for t in tokens] == [w for ws in wanted for w in ws] and row["lengths"] == [len(w) for w in wanted]
+    learnt = Counter(w for d, ws in enumerate(wanted) for w in ws if d % 3)
+    assert {r["word"]: r["n"] for r in entries} == {w: learnt[w] for w in words.values()}
+    classes = np.frombuffer(row["classes"], np.uint16)
+    assert [*classes] == [language_model.END if not w else language_model.word_class(w) for w in words.values()]
+
+
+def test_cutting_costs_little_more_than_splitting(documents):
+    texts = [r.text or "" for r in documents.select("text").collect()]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "held_out": [False] * len(texts), "text": pa.array(texts, pa.string())})
+    split = seconds(lambda: [t.encode().lower().split() for t in texts])
+    assert seconds(lambda: list(language_model._cut(iter([batch])))) < 3 * split
+
+
 def test_every_step_raises_the_likelihood(monkeypatch, documents):
     seen, step = [], language_model._step
 
